@@ -31,11 +31,15 @@ def stamp(df: DataFrame, source: str, ingested_at: Column | None = None) -> Data
         "ingested_at", ingested_at if ingested_at is not None else F.current_timestamp())
 
 
-def read_universe(spark: SparkSession, path: str) -> DataFrame:
+def universe_from_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """One ticker per line -> distinct upper-case ``ticker`` rows, blanks dropped."""
-    t = spark.read.text(path).select(F.upper(F.trim("value")).alias("ticker"))
+    t = lines.select(F.upper(F.trim(F.col(column))).alias("ticker"))
     return t.filter(F.col("ticker") != "").distinct()
 
 
+def read_universe(spark: SparkSession, path: str) -> DataFrame:
+    return universe_from_lines(spark.read.text(path))
+
+
 def only_tickers(df: DataFrame, universe: DataFrame, ticker: str = "ticker") -> DataFrame:
     return df.join(universe.select(F.col("ticker").alias(ticker)), ticker, "left_semi")
