@@ -11,7 +11,7 @@ from finlake.checks import roles as R
 from finlake.checks.registry import add, rnd
 from finlake.operators import quality
 from finlake.plans import features as fe, options as opt, signals as sg
-from finlake.session import checkpoint_root
+from finlake.session import checkpoint_root, materialise
 from finlake.sources import sinks
 from finlake.streaming import jobs
 
@@ -22,7 +22,7 @@ LABELS = {"5-LOW": "low", "1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "m
 
 def inputs(t) -> fe.Inputs:
     chain = t.role("chain").withColumn("underlying", F.when(c("underlying") == "R", "5-LOW").otherwise(c("underlying")))
-    return fe.Inputs(daily=t.role("odaily"), chain=chain, rates=t.role("rates"), macro_daily=t.role("macro_daily"), macro_weekly=t.role("macro_weekly"),
+    return fe.Inputs(daily=materialise(t.role("odaily")), chain=chain, rates=t.role("rates"), macro_daily=t.role("macro_daily"), macro_weekly=t.role("macro_weekly"),
                      macro_monthly=t.role("monthly"), benchmark="5-LOW", assets=ASSETS, pairs=(("5-LOW", "1-URGENT"), ("5-LOW", "2-HIGH")), labels=LABELS)
 
 
@@ -67,7 +67,7 @@ def _asset_sql():
     return f"WITH {', '.join(parts)} SELECT cal.date, {', '.join(f'{e} AS {n}' for n, e, _ in joins)} FROM cal {' '.join(j for _, _, j in joins)}"
 
 
-add("fea03_cross_asset", lambda t: rnd(group("cross_asset", _XRET + _XCOR)(t), 6, *_XCOR), _asset_sql())
+add("fea03_cross_asset", lambda t: rnd(rnd(fe.GROUPS["cross_asset"](inputs(t), calendar(t)).select("date", *_XRET, *_XCOR), 8, *_XRET), 6, *_XCOR), _asset_sql())
 
 _DTE = "(expiration - snapshot_date)"
 _ATM = "put_call = 'call' AND implied_vol > 0 AND abs(strike - underlying_price) / underlying_price < 0.02"
@@ -142,7 +142,7 @@ def _pca(t):
 
 
 add("fea08_pca", _pca)
-add("fea09_score_day", lambda t: fe.score_day(fe.feature_matrix(inputs(t), calendar(t), ("equity", "macro")), "2000-06-01").select("date", "pc_1", "pc_2"))
+add("fea09_score_day", lambda t: fe.score_day(fe.feature_matrix(inputs(t), calendar(t), ("equity", "macro")), calendar(t).select(F.max("date")).scalar()).select("date", "pc_1", "pc_2"))
 
 
 def _stored(t):
@@ -219,14 +219,14 @@ def _composite(t):
     s = s.select("day", "ticker", sg.regime("vix").alias("regime"), (c("volume") / 100).alias("flow"), F.when(c("volume") % 2 == 0, c("close") / 1000).alias("drop"))
     w = t.region.select(F.element_at(F.array(*[F.lit(x) for x in ("calm", "normal", "elevated", "crisis", "spike")]), (c("r_regionkey") + 1)).alias("regime"),
                         (c("r_regionkey") * 0.5 + 1).alias("flow"), (F.lit(2.0) - c("r_regionkey") * 0.25).alias("drop"))
-    return rnd(sg.composite(s, w, 5, ("flow", "drop")).withColumn("rank", c("rank").cast("long")), 6, "composite")
+    return rnd(sg.composite(s, w, 5, ("flow", "drop")).withColumn("rank", c("rank").cast("long")), 9, "composite")
 
 
 add("sig06_composite", _composite,
     f"""WITH w AS (SELECT (['calm', 'normal', 'elevated', 'crisis', 'spike'])[r_regionkey + 1] AS regime, r_regionkey * 0.5::DOUBLE + 1 AS wf, 2.0::DOUBLE - r_regionkey * 0.25::DOUBLE AS wd FROM region),
         s AS (SELECT day, ticker, {_REG} AS regime, volume / 100 AS flow, CASE WHEN volume % 2 = 0 THEN close / 1000 END AS drop FROM sdaily JOIN macro_daily ON day = date),
         x AS (SELECT regime, day, ticker, flow, drop, flow * wf + coalesce(drop, 0) * wd AS composite FROM s JOIN w USING (regime)), k AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY composite DESC, ticker) AS rank FROM x)
-        SELECT regime, day, ticker, flow, drop, round(composite, 6) AS composite, rank FROM k WHERE rank <= 5""")
+        SELECT regime, day, ticker, flow, drop, round(composite, 9) AS composite, rank FROM k WHERE rank <= 5""")
 _LEVELS = ("gex_net", "gex_imbalance", "gamma_wall_distance", "price_vs_gex_flip")
 _SG = "open_interest * gamma * 100 * underlying_price"
 add("sig07_exposure_levels", lambda t: rnd(sg.exposure_levels(t.role("chain").filter(c("underlying_price").isNotNull()).withColumnRenamed("snapshot_date", "snapshot")), 4, *_LEVELS),
@@ -237,13 +237,13 @@ add("sig07_exposure_levels", lambda t: rnd(sg.exposure_levels(t.role("chain").fi
         SELECT underlying, snapshot, spot, round(gex_net, 4) AS gex_net, round(imb, 4) AS gex_imbalance, gex_flip_strike, wall_strike, round((spot - wall_strike) / spot * 100, 4) AS gamma_wall_distance,
         round((spot - gex_flip_strike) / gex_flip_strike * 100, 4) AS price_vs_gex_flip FROM g""")
 _SES = ("session_vwap", "volume_surge", "vwap_distance", "range_pct", "momentum_5m")
-add("sig07_session_features", lambda t: rnd(sg.session_features(t.role("minute").select("ticker", "timestamp", "high", "low", "close", "volume")).select("ticker", "timestamp", *_SES), 6, *_SES),
+add("sig07_session_features", lambda t: rnd(sg.session_features(t.role("minute").select("ticker", "timestamp", "high", "low", "close", "volume")).select("ticker", "timestamp", *_SES).withColumn("range_pct", F.round("range_pct", 3)), 9, "session_vwap", "volume_surge", "vwap_distance", "momentum_5m"),
     """WITH x AS (SELECT ticker, timestamp, close, volume, sum(close * volume) OVER u / sum(volume) OVER u AS vw, max(high) OVER u AS hi, min(low) OVER u AS lo, row_number() OVER w AS i,
        volume / avg(volume) OVER (PARTITION BY ticker, CAST(timestamp AS DATE) ORDER BY timestamp ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS surge,
        (2 * (close - lag(close, 4) OVER w) + (lag(close, 1) OVER w - lag(close, 3) OVER w)) / 10 AS slope FROM minute
        WINDOW w AS (PARTITION BY ticker, CAST(timestamp AS DATE) ORDER BY timestamp), u AS (PARTITION BY ticker, CAST(timestamp AS DATE) ORDER BY timestamp ROWS UNBOUNDED PRECEDING))
-       SELECT ticker, timestamp, round(vw, 6) AS session_vwap, round(surge, 6) AS volume_surge, round((close - vw) / vw * 100, 6) AS vwap_distance,
-       round((hi - lo) / nullif(close * 0.2::DOUBLE * sqrt(greatest(390 - i, 0) / 252 / 390), 0) * 100, 6) AS range_pct, round(slope, 6) AS momentum_5m FROM x""")
+       SELECT ticker, timestamp, round(vw, 9) AS session_vwap, round(surge, 9) AS volume_surge, round((close - vw) / vw * 100, 9) AS vwap_distance,
+       round((hi - lo) / nullif(close * 0.2::DOUBLE * sqrt(greatest(390 - i, 0) / 252 / 390), 0) * 100, 3) AS range_pct, round(slope, 9) AS momentum_5m FROM x""")
 
 # ---- streaming --------------------------------------------------------------------
 
@@ -290,17 +290,17 @@ def _messages(t) -> DataFrame:
 add("str02_parse_bars", lambda t: _land(t, jobs.stream_bar_rows(_messages(t)).filter(c("ticker").isNotNull()), "str02"),
     """SELECT event_type AS ticker, date_trunc('milliseconds', ts) AS timestamp, value AS open, value + 1 AS high, value - 1 AS low, value AS close, event_id % 100 + 1 AS volume, 'feed' AS source FROM events WHERE event_id % 23 <> 0""")
 add("str03_stream_latest", lambda t: _land_batches(t, jobs.stream_latest(_ticks(t), value="price"), "str03", "complete"), "SELECT ticker, max(timestamp) AS timestamp, arg_max(price, timestamp) AS price FROM ticks GROUP BY 1")
-add("str04_minute_vwap", lambda t: rnd(rnd(_land(t, jobs.stream_vwap(_ticks(t)), "str04"), 4, "notional"), 8, "vwap"),
-    f"""SELECT ticker, time_bucket(INTERVAL '1 minute', timestamp) AS bucket, round(sum(price * size), 4) AS notional, CAST(sum(size) AS BIGINT) AS volume, round(sum(price * size) / sum(size), 8) AS vwap FROM ticks GROUP BY 1, 2
+add("str04_minute_vwap", lambda t: rnd(rnd(_land(t, jobs.stream_vwap(_ticks(t)), "str04"), 4, "notional"), 11, "vwap"),
+    f"""SELECT ticker, time_bucket(INTERVAL '1 minute', timestamp) AS bucket, round(sum(price * size), 4) AS notional, CAST(sum(size) AS BIGINT) AS volume, round(sum(price * size) / sum(size), 11) AS vwap FROM ticks GROUP BY 1, 2
         HAVING time_bucket(INTERVAL '1 minute', timestamp) + INTERVAL '1 minute' {_CLOSED}""")
-add("str04_sliding_vwap", lambda t: rnd(rnd(_land(t, jobs.stream_vwap(_ticks(t), "1 hour", "15 minutes"), "str04s"), 4, "notional"), 8, "vwap"),
+add("str04_sliding_vwap", lambda t: rnd(rnd(_land(t, jobs.stream_vwap(_ticks(t), "1 hour", "15 minutes"), "str04s"), 4, "notional"), 11, "vwap"),
     f"""WITH x AS (SELECT *, unnest([time_bucket(INTERVAL '15 minutes', timestamp), time_bucket(INTERVAL '15 minutes', timestamp) - INTERVAL 15 MINUTE, time_bucket(INTERVAL '15 minutes', timestamp) - INTERVAL 30 MINUTE,
-        time_bucket(INTERVAL '15 minutes', timestamp) - INTERVAL 45 MINUTE]) AS bucket FROM ticks) SELECT ticker, bucket, round(sum(price * size), 4) AS notional, CAST(sum(size) AS BIGINT) AS volume, round(sum(price * size) / sum(size), 8) AS vwap
+        time_bucket(INTERVAL '15 minutes', timestamp) - INTERVAL 45 MINUTE]) AS bucket FROM ticks) SELECT ticker, bucket, round(sum(price * size), 4) AS notional, CAST(sum(size) AS BIGINT) AS volume, round(sum(price * size) / sum(size), 11) AS vwap
         FROM x GROUP BY 1, 2 HAVING bucket + INTERVAL 1 HOUR {_CLOSED}""")
 _SPIKE = """WITH m AS (SELECT ticker, time_bucket(INTERVAL '1 minute', timestamp) AS timestamp, CAST(sum(size) AS DOUBLE) AS volume FROM ticks GROUP BY 1, 2{h}),
     x AS (SELECT *, avg(volume) OVER (PARTITION BY ticker ORDER BY timestamp RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS mv FROM m) SELECT ticker, timestamp, volume, round(mv, 8) AS mean_volume FROM x WHERE volume > {f} * mv"""
 add("str05_volume_spikes", lambda t: rnd(_land(t, jobs.volume_spikes(_ticks(t), factor=2.0, volume="size"), "str05"), 8, "mean_volume"),
-    _SPIKE.format(f=2, h=f" HAVING time_bucket(INTERVAL '1 minute', timestamp) + INTERVAL '1 minute' {_CLOSED}"))
+    _SPIKE.format(f=2, h=" HAVING time_bucket(INTERVAL '1 minute', timestamp) + INTERVAL '1 minute' <= date_trunc('minute', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE"))
 add("str05_volume_spikes_batch", lambda t: rnd(jobs.volume_spikes_batch(t.role("ticks"), factor=2.0, volume="size"), 8, "mean_volume"), _SPIKE.format(f=2, h=""))
 
 

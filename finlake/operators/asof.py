@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from finlake.functions.exprs import bucket, names, seconds
+from finlake.operators.pivots import full_merge
 
 
 def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, tolerance_days: int,
@@ -64,6 +65,25 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
         *[F.when(fresh, F.col(f"_m.{c}")).alias(c if c not in clash else f"right_{c}") for c in values])
 
 
+def asof_timeline(calendar: DataFrame, sides: dict[str, tuple[DataFrame, str, int]], date: str = "date") -> DataFrame:
+    """As-of join of a calendar with many day-grain tables at once.
+
+    ``sides`` maps a name to (table, its date column, tolerance in days); each table has at
+    most one row per date.  All tables are merged into one row per date by a single
+    aggregate, and one ordered window carries the latest row of each forward.  The window
+    sees one row per date, so its single partition stays small.  The result has one
+    struct column per side, NULL where nothing is recent enough.
+    """
+    parts = [calendar.select(date).withColumn("_ask", F.lit(1))]
+    for name, (df, time, _) in sides.items():
+        parts.append(df.select(F.col(time).alias(date), F.struct(*df.columns).alias(name)))
+    w = W.orderBy(date).rowsBetween(W.unboundedPreceding, 0)
+    d = full_merge(parts, date)
+    d = d.select(date, "_ask", *[F.last(n, ignorenulls=True).over(w).alias(n) for n in sides]).filter(F.col("_ask") == 1)
+    return d.select(date, *[F.when(F.col(f"{n}.{time}") >= F.date_sub(date, days), F.col(n)).alias(n)
+                            for n, (_, time, days) in sides.items()])
+
+
 def ffill(df: DataFrame, keys: str | Sequence[str] | None, time: str, cols: str | Sequence[str],
           max_age_days: int | None = None, seq: str | Sequence[str] | None = None,
           slot: str | None = None) -> DataFrame:

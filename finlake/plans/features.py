@@ -19,10 +19,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from finlake.functions.exprs import safe_corr, safe_div
-from finlake.operators.asof import asof_join
+from finlake.operators.asof import asof_timeline
 from finlake.operators.pivots import full_merge
 from finlake.operators.returns import rolling_mean
 from finlake.plans import options as opt
+from finlake.session import materialise
 
 ANNUAL = math.sqrt(252)
 
@@ -111,27 +112,21 @@ def cross_asset_features(x: Inputs, calendar: DataFrame, window: int = 20) -> Da
     w = W.partitionBy("ticker").orderBy("day")
     b = x.daily.filter(F.col("ticker").isin(*x.assets) & (F.coalesce("close", F.lit(0.0)) != 0)).select("ticker", "day", "close")
     b = b.withColumns({"_p": F.lag("close").over(w), "_pd": F.lag("day").over(w)})
-    b = b.withColumn("_ret", F.when(F.col("_p") > 0, safe_div(F.col("close") - F.col("_p"), "_p")))
-    out, stale = calendar, []
-    for t in x.assets:
-        name = f"ret_{x.label(t)}"
-        one = b.filter(F.col("ticker") == t).select("day", F.col("_ret").alias("_v"), F.col("_pd").alias("_from"))
-        d = asof_join(calendar, one, "date", "day", reach)
-        fresh = F.col("_from") >= F.date_sub("date", reach)
-        out = out.join(d.select("date", F.when(fresh, F.col("_v")).alias(name)), "date", "left")
-        stale.append(F.when(F.col(name).isNull(), F.lit(name)))
+    one = F.struct("day", F.when(F.col("_p") > 0, safe_div(F.col("close") - F.col("_p"), "_p")).alias("v"), F.col("_pd").alias("start"))
+    wide = b.groupBy("day").agg(*[F.max(F.when(F.col("ticker") == t, one)).alias(x.label(t)) for t in x.assets])
+    sides = {f"ret_{x.label(t)}": (wide.filter(F.col(x.label(t)).isNotNull()).select(f"{x.label(t)}.*"), "day", reach) for t in x.assets}
+    rows = W.orderBy("day").rowsBetween(-(window - 1), 0)
     for a, c in x.pairs:
-        name = f"corr_{x.label(a)}_{x.label(c)}_{window}d"
-        side = lambda t, v: b.filter((F.col("ticker") == t) & F.col("_ret").isNotNull()).select("day", F.col("_ret").alias(v), F.col("_pd").alias(f"{v}_from"))
-        both = side(a, "_a").join(side(c, "_b"), "day")
-        wd = W.orderBy("day").rowsBetween(-(window - 1), 0)
-        both = both.select(
-            "day", safe_corr("_a", "_b", wd).alias("_v"), F.count(F.lit(1)).over(wd).alias("_n"),
-            F.min(F.least("_a_from", "_b_from")).over(wd).alias("_from"))
-        d = asof_join(calendar, both, "date", "day", reach)
-        ok = (F.col("_n") >= window) & (F.col("_from") >= F.date_sub("date", reach))
-        out = out.join(d.select("date", F.when(ok, F.col("_v")).alias(name)), "date", "left")
-    return out.withColumn("stale", F.filter(F.array(*stale), lambda s: s.isNotNull()))
+        a, c = x.label(a), x.label(c)
+        both = wide.filter(F.col(f"{a}.v").isNotNull() & F.col(f"{c}.v").isNotNull())
+        enough = F.count(F.lit(1)).over(rows) >= window
+        corr = safe_corr(F.col(f"{a}.v"), F.col(f"{c}.v"), rows)
+        start = F.min(F.least(f"{a}.start", f"{c}.start")).over(rows)
+        sides[f"corr_{a}_{c}_{window}d"] = (both.select("day", F.when(enough, corr).alias("v"), start.alias("start")), "day", reach)
+    d = asof_timeline(calendar, sides)
+    d = d.withColumns({n: F.when(F.col(f"{n}.start") >= F.date_sub("date", reach), F.col(f"{n}.v")) for n in sides})
+    stale = [F.when(F.col(n).isNull(), F.lit(n)) for n in sides if n.startswith("ret_")]
+    return d.withColumn("stale", F.filter(F.array(*stale), lambda s: s.isNotNull()))
 
 
 # ---- options ----------------------------------------------------------------------
@@ -185,9 +180,9 @@ def option_snapshots(x: Inputs) -> DataFrame:
 
 @feature_group("options")
 def option_features(x: Inputs, calendar: DataFrame) -> DataFrame:
-    d = asof_join(calendar, option_snapshots(x), "date", "snapshot_date", 5)
-    old = F.col("snapshot_date").isNull() | (F.datediff("date", "snapshot_date") > 1)
-    return d.withColumn("stale", stale_if(old, OPTIONS)).drop("snapshot_date")
+    d = asof_timeline(calendar, {"_o": (option_snapshots(x), "snapshot_date", 5)})
+    old = F.col("_o").isNull() | (F.datediff("date", F.col("_o.snapshot_date")) > 1)
+    return d.select("date", *[F.col(f"_o.{c}").alias(c) for c in OPTIONS], stale_if(old, OPTIONS).alias("stale"))
 
 
 # ---- macro ------------------------------------------------------------------------
@@ -217,26 +212,23 @@ def macro_features(x: Inputs, calendar: DataFrame) -> DataFrame:
 
     The claims momentum uses the whole series: 13 observations back needs 17 of them.
     """
-    rates = x.rates.select("date", "tips_10y", "hy_oas", "commercial_paper_3m", "tbill_3m")
-    r = asof_join(calendar, rates.withColumnRenamed("date", "_on"), "date", "_on", 5)
-    d = r.select(
-        "date", F.col("tips_10y").alias("real_yield_10y"), "hy_oas",
-        (F.col("commercial_paper_3m") - F.col("tbill_3m")).alias("cp_stress_spread"), F.col("_on").alias("_r"))
-    d = d.join(momentum_5d(x.rates, calendar, "tips_10y", "real_yield_momentum_5d"), "date", "left")
-    daily = x.macro_daily.select(F.col("date").alias("_d"), "yield_curve_10y2y", "yield_curve_10y3m", "vix")
-    d = d.join(asof_join(calendar, daily, "date", "_d", 5), "date", "left")
-    weekly = x.macro_weekly.select(F.col("date").alias("_w"), "financial_stress", "financial_conditions")
-    d = d.join(asof_join(calendar, weekly, "date", "_w", 10), "date", "left")
     w = W.orderBy("date")
     claims = x.macro_weekly.filter(F.col("initial_claims").isNotNull()).select("date", "initial_claims")
-    claims = rolling_mean(claims, None, "date", "initial_claims", 4, True, "_avg").withColumns({
-        "_from": F.lag("date", 3).over(w), "_ago": F.when(F.lag("date", 16).over(w).isNotNull(), F.lag("_avg", 13).over(w))})
-    claims = claims.select(F.col("date").alias("_c"), "_avg", "_from", "_ago")
-    d = d.join(asof_join(calendar, claims, "date", "_c", 112), "date", "left")
-    ok = F.col("_from") >= F.date_sub("date", 112)
-    d = d.withColumns({"jobless_claims_4wk_avg": F.when(ok, F.col("_avg")), "jobless_claims_momentum": F.when(ok, F.col("_avg") - F.col("_ago"))})
-    sahm = x.macro_monthly.select(F.col("date").alias("_m"), "sahm_rule")
-    d = d.join(asof_join(calendar, sahm, "date", "_m", 45, require="sahm_rule"), "date", "left")
+    claims = rolling_mean(claims, None, "date", "initial_claims", 4, True, "avg").withColumns({
+        "start": F.lag("date", 3).over(w), "ago": F.when(F.lag("date", 16).over(w).isNotNull(), F.lag("avg", 13).over(w))})
+    d = asof_timeline(calendar, {
+        "_r": (x.rates.select("date", "tips_10y", "hy_oas", "commercial_paper_3m", "tbill_3m"), "date", 5),
+        "_d": (x.macro_daily.select("date", "yield_curve_10y2y", "yield_curve_10y3m", "vix"), "date", 5),
+        "_w": (x.macro_weekly.select("date", "financial_stress", "financial_conditions"), "date", 10),
+        "_c": (claims, "date", 112),
+        "_s": (x.macro_monthly.filter(F.col("sahm_rule").isNotNull()).select("date", "sahm_rule"), "date", 45)})
+    ok = F.col("_c.start") >= F.date_sub("date", 112)
+    d = d.withColumns({
+        "real_yield_10y": F.col("_r.tips_10y"), "hy_oas": F.col("_r.hy_oas"), "cp_stress_spread": F.col("_r.commercial_paper_3m") - F.col("_r.tbill_3m"),
+        "yield_curve_10y2y": F.col("_d.yield_curve_10y2y"), "yield_curve_10y3m": F.col("_d.yield_curve_10y3m"), "vix": F.col("_d.vix"),
+        "financial_stress": F.col("_w.financial_stress"), "financial_conditions": F.col("_w.financial_conditions"), "sahm_rule": F.col("_s.sahm_rule"),
+        "jobless_claims_4wk_avg": F.when(ok, F.col("_c.avg")), "jobless_claims_momentum": F.when(ok, F.col("_c.avg") - F.col("_c.ago"))})
+    d = d.join(momentum_5d(x.rates, calendar, "tips_10y", "real_yield_momentum_5d"), "date", "left")
     stale = F.concat(
         stale_if(F.col("_r").isNull(), ["real_yield_10y", "cp_stress_spread", "hy_oas"]),
         stale_if(F.col("_d").isNull(), ["yield_curve_10y2y", "yield_curve_10y3m", "vix"]),
@@ -268,11 +260,12 @@ def feature_columns(df: DataFrame) -> list[str]:
 def pca(df: DataFrame, cols: list[str] | None = None, k: int = 10) -> DataFrame:
     """Add ``pc_1..pc_k``: mean-impute, standardise by population deviation, project.
 
-    Two passes over the rows (moments, then the covariance inside MLlib); only a few
-    numbers per column come to the driver.  Each component's sign is fixed so that its
+    The matrix is materialised first: the moments, the covariance inside MLlib and the
+    projection each read it once.  Only a few numbers per column come to the driver.  Each component's sign is fixed so that its
     largest loading is positive.  Components beyond the data's rank limit are NULL.
     """
     cols = cols or feature_columns(df)
+    df = materialise(df)
     stats = df.agg(F.count(F.lit(1)).alias("n"), *[f(F.col(c).cast("double")).alias(f"{t}_{c}")
                    for c in cols for t, f in (("m", F.avg), ("s", F.stddev_pop), ("n", F.count))]).first()
     n = stats["n"]
@@ -302,10 +295,11 @@ def pca(df: DataFrame, cols: list[str] | None = None, k: int = 10) -> DataFrame:
 def score_day(matrix: DataFrame, day, lookback: int = 252, k: int = 10, min_rows: int = 30) -> DataFrame:
     """Components of one day, fitted on the days before it (NULL with too little history)."""
     cols = feature_columns(matrix)
+    matrix = materialise(matrix)
     d = F.lit(day).cast("date")
     hist = matrix.filter((F.col("date") >= F.date_sub(d, lookback + 30)) & (F.col("date") < d))
     today = matrix.filter(F.col("date") == d)
-    if hist.limit(min_rows).count() < min_rows:
+    if hist.select("date").limit(min_rows).count() < min_rows:
         return today.withColumns({f"pc_{i + 1}": F.lit(None).cast("double") for i in range(k)})
     return pca(hist.unionByName(today, allowMissingColumns=True), cols, k).filter(F.col("date") == d)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "finlake", master: str | None = None,
@@ -40,3 +40,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     return root or tempfile.mkdtemp(prefix="finlake-checkpoint-")
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: written once to the shared folder, read back by later stages.
+
+    Used where a result is read several times (daily bars feeding many features, the
+    matrix feeding the passes of a model).  Unlike a cache it survives lost executors.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
+    return df.checkpoint()

@@ -80,34 +80,50 @@ def dedup_stream(rows: DataFrame, keys: list[str], ts: str = "timestamp", waterm
 
 # ---- stateful alert ---------------------------------------------------------------
 
-def volume_spikes(bars: DataFrame, factor: float = 3.0, horizon_seconds: int = 3600, watermark: str = "10 minutes",
+def volume_spikes(rows: DataFrame, factor: float = 3.0, horizon_seconds: int = 3600, watermark: str = "10 minutes",
                   key: str = "ticker", ts: str = "timestamp", volume: str = "volume") -> DataFrame:
-    """Rows whose volume exceeds ``factor`` times the mean of the hour before and including them.
+    """Minutes whose volume exceeds ``factor`` times the mean minute of the hour up to them.
 
-    Rows are first summed to one row per key and minute, so the state of a key is at most
-    an hour of minutes whatever its tick rate.  Each minute is judged once it is closed
-    by the watermark.
+    Ticks are first summed per key and minute inside each task, so a hot key reaches its
+    stateful task as a few rows per partition and minute.  The state of a key holds its
+    open minutes and the last hour of closed ones; a minute is judged once the watermark
+    has passed it.
     """
-    minutes = bars.withWatermark(ts, watermark).groupBy(F.window(ts, "1 minute"), key).agg(F.sum(volume).alias("volume"))
-    minutes = minutes.select(F.col(key).alias("key"), F.unix_timestamp(F.col("window.start")).alias("minute"), F.col("volume").cast("double"))
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b["minute"] = b["minute"].dt.floor("min")
+            yield b.groupby(["key", "minute"], as_index=False)["volume"].sum()
+
+    minutes = rows.select(F.col(key).alias("key"), F.col(ts).alias("minute"), F.col(volume).cast("double").alias("volume"))
+    minutes = minutes.mapInPandas(partial, "key string, minute timestamp, volume double").withWatermark("minute", watermark)
 
     def judge(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = json.loads(state.get[0]) if state.exists else []
-        hits = []
-        arrived = pd.concat(list(batches)).sort_values("minute")
-        for minute, vol in zip(arrived["minute"].tolist(), arrived["volume"].tolist()):
+        opened, kept = json.loads(state.get[0]) if state.exists else ({}, [])
+        if not state.hasTimedOut:
+            for b in batches:
+                for minute, vol in zip(_epoch(b["minute"]), b["volume"].tolist()):
+                    opened[str(minute)] = opened.get(str(minute), 0.0) + vol
+        mark, hits = state.getCurrentWatermarkMs() // 1000, []
+        for minute in sorted(int(m) for m in opened if int(m) + 60 <= mark):
+            vol = opened.pop(str(minute))
             kept = [r for r in kept if r[0] >= minute - horizon_seconds] + [[minute, vol]]
             mean = sum(r[1] for r in kept) / len(kept)
             if vol > factor * mean:
                 hits.append((k[0], minute, vol, mean))
-        state.update((json.dumps(kept),))
+        state.update((json.dumps((opened, kept)),))
+        if opened:
+            state.setTimeoutTimestamp(max(min(int(m) for m in opened) + 60, mark + 1) * 1000)
         yield pd.DataFrame(hits, columns=["key", "minute", "volume", "mean_volume"])
 
     out = minutes.groupBy("key").applyInPandasWithState(
-        judge, "key string, minute long, volume double, mean_volume double", "kept string", "append", GroupStateTimeout.NoTimeout)
+        judge, "key string, minute long, volume double, mean_volume double", "kept string", "append", GroupStateTimeout.EventTimeTimeout)
     return out.select(F.col("key").alias(key), F.timestamp_seconds("minute").alias(ts), "volume", "mean_volume")
 
 
+def _epoch(times: pd.Series) -> list[int]:
+    return [int(x.timestamp()) for x in times]
+
+
 def volume_spikes_batch(bars: DataFrame, factor: float = 3.0, horizon_seconds: int = 3600, key: str = "ticker", ts: str = "timestamp",
                         volume: str = "volume") -> DataFrame:
     """The same alert over stored rows."""
