@@ -73,7 +73,7 @@ _DTE = "(expiration - snapshot_date)"
 _ATM = "put_call = 'call' AND implied_vol > 0 AND abs(strike - underlying_price) / underlying_price < 0.02"
 _GEX = "open_interest * gamma * underlying_price * underlying_price * 0.01::DOUBLE"
 _OPT = f"""iv AS (SELECT snapshot_date AS d, avg(implied_vol) AS iv FROM rchain WHERE {_ATM} AND {_DTE} BETWEEN 20 AND 40 GROUP BY 1),
-    rk AS (SELECT a.d, a.iv, CASE WHEN count(*) >= 20 THEN count(*) FILTER (b.iv < a.iv) / count(*) END AS rank FROM iv a JOIN iv b ON b.d BETWEEN a.d - 365 AND a.d GROUP BY 1, 2),
+    rk AS (SELECT a.d, a.iv, CASE WHEN count(*) >= 20 THEN count(*) FILTER (round(b.iv, 10) < round(a.iv, 10)) / count(*) END AS rank FROM iv a JOIN iv b ON b.d BETWEEN a.d - 365 AND a.d GROUP BY 1, 2),
     ts AS (SELECT d, arg_min(iv, dte) - arg_max(iv, dte) AS slope FROM (SELECT snapshot_date AS d, {_DTE} AS dte, avg(implied_vol) AS iv FROM rchain WHERE {_ATM} AND {_DTE} BETWEEN 7 AND 90 GROUP BY 1, 2) GROUP BY 1),
     sk AS (SELECT d, p - k AS skew FROM (SELECT snapshot_date AS d, avg(implied_vol) FILTER (put_call = 'put' AND delta BETWEEN -0.30 AND -0.20) AS p, avg(implied_vol) FILTER (put_call = 'call' AND delta BETWEEN 0.20 AND 0.30) AS k
       FROM rchain WHERE implied_vol > 0 AND {_DTE} BETWEEN 20 AND 40 GROUP BY 1) WHERE p > 0 AND k > 0),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions.exprs import names, safe_div
 from finlake.operators.series import Split, over_rows
+from finlake.session import materialise
 
 
 def group_median(df: DataFrame, by: str | Sequence[str], value: str, out: str = "median",
@@ -45,8 +46,12 @@ def group_median(df: DataFrame, by: str | Sequence[str], value: str, out: str =
 
 
 def event_study(df: DataFrame, bucket: Column, forward: str, name: str = "bucket") -> DataFrame:
-    """Observations, mean, median (basis points) and win rate of a forward return per bucket."""
-    d = df.withColumn(name, bucket).filter(F.col(name).isNotNull())
+    """Observations, mean, median (basis points) and win rate of a forward return per bucket.
+
+    The (bucket, return) pairs are written once: the mean and the steps of the exact
+    median read them several times.
+    """
+    d = materialise(df.select(bucket.alias(name), F.col(forward)).filter(F.col(name).isNotNull()))
     agg = d.groupBy(name).agg(
         F.count(F.lit(1)).alias("obs"), (F.avg(forward) * 10000).alias("avg_fwd_bps"),
         (safe_div(F.count(F.when(F.col(forward) > 0, 1)), F.count(F.lit(1))) * 100).alias("win_rate"))

@@ -43,15 +43,19 @@ def offset_join(df: DataFrame, key: str | Sequence[str], day: str, value: str, o
     """Attach ``value`` of the same key exactly ``n`` calendar days away, for each (name, n).
 
     Rows without every offset day are dropped.  Day grain: one row per key and day.
-    The lookups are folded into one union + aggregate on (key, day) instead of one self
-    join per offset.
+    One scan: every row is sent to its own day and, as a lookup value, to the days that
+    ask for it; one aggregate on (key, day) puts them together.
     """
     ks = names(key)
     own = [c for c in df.columns if c not in ks and c != day]
-    parts = df.select(*ks, day, *own, F.lit(1).alias("_here"))
-    for name, n in offsets.items():
-        there = df.select(*ks, F.date_sub(F.col(day), n).alias(day), F.col(value).cast("double").alias(name))
-        parts = parts.unionByName(there, allowMissingColumns=True)
+
+    def sent(to: Column, name: str | None) -> Column:
+        carried = [(F.col(c) if name is None else F.lit(None).cast(df.schema[c].dataType)).alias(c) for c in own]
+        looked = [(F.col(value).cast("double") if m == name else F.lit(None).cast("double")).alias(m) for m in offsets]
+        return F.struct(to.alias(day), *carried, F.lit(1 if name is None else None).cast("int").alias("_here"), *looked)
+
+    rows = F.array(sent(F.col(day), None), *[sent(F.date_sub(F.col(day), n), m) for m, n in offsets.items()])
+    parts = df.select(*ks, F.explode(rows).alias("_s")).select(*ks, "_s.*")
     g = parts.groupBy(*ks, day).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in own], F.max("_here").alias("_here"),
         *[F.max(m).alias(m) for m in offsets])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from finlake.functions.exprs import safe_corr, safe_div
 from finlake.operators.asof import asof_timeline
 from finlake.operators.pivots import full_merge
-from finlake.operators.returns import rolling_mean
+from finlake.operators.returns import percentile_rank, rolling_mean
 from finlake.plans import options as opt
 from finlake.session import materialise
 
@@ -165,17 +165,17 @@ def vol_risk_premium(iv: DataFrame, daily: DataFrame, reach: int = 35) -> DataFr
 
 
 def option_snapshots(x: Inputs) -> DataFrame:
-    """Chain features of the benchmark, one row per snapshot date."""
+    """Chain features of the benchmark, one row per snapshot date.
+
+    The chain is read once; its daily summary (one row per day) is written and reused.
+    """
     c = x.chain.filter(F.col("underlying") == x.benchmark)
-    iv = opt.iv_rank(c).drop("underlying")
-    parts = [
-        c.select("snapshot_date").distinct().withColumn("_snapshot", F.lit(1)), iv,
-        opt.term_slope(c).drop("underlying"), opt.skew_25d(c).select("snapshot_date", F.col("skew").alias("skew_25d")),
-        opt.net_gex(c).drop("underlying"), opt.volume_ratio(c).drop("underlying"), opt.zero_day_flow(c).drop("underlying"),
-        vol_risk_premium(iv.select("snapshot_date", "iv_current"), x.daily.filter(F.col("ticker") == x.benchmark)),
-    ]
-    d = full_merge(parts, "snapshot_date")
-    return d.withColumn("gex_sign", F.coalesce("gex_sign", F.lit(0))).select("snapshot_date", *OPTIONS)
+    day = materialise(opt.daily_summary(c).drop("underlying"))
+    iv = day.filter(F.col("iv_current").isNotNull()).select("snapshot_date", "iv_current")
+    # Means are compared at ten digits: the last bits depend on the order of summation.
+    rank = percentile_rank(iv.withColumn("iv_current", F.round("iv_current", 10)), None, "snapshot_date", "iv_current", 365, True, 20, "iv_rank").drop("iv_current")
+    premium = vol_risk_premium(iv, x.daily.filter(F.col("ticker") == x.benchmark))
+    return full_merge([day, rank, premium], "snapshot_date").select("snapshot_date", *OPTIONS)
 
 
 @feature_group("options")

@@ -200,8 +200,8 @@ def iv_gauge(chain: DataFrame, as_of: Column) -> DataFrame:
 
 
 def iv_rank(chain: DataFrame, days: int = 365, min_days: int = 20) -> DataFrame:
-    """Daily at-the-money volatility (by strike) and the share of the past year below it."""
-    iv = atm_iv(chain, "strike").withColumnRenamed("iv", "iv_current")
+    """Daily at-the-money volatility (by strike, ten digits) and the share of the past year below it."""
+    iv = atm_iv(chain, "strike").select("underlying", "snapshot_date", F.round("iv", 10).alias("iv_current"))
     return percentile_rank(iv, "underlying", "snapshot_date", "iv_current", days, True, min_days, "iv_rank")
 
 
@@ -223,6 +223,42 @@ def term_slope(chain: DataFrame) -> DataFrame:
         (F.min_by("iv", "dte") - F.max_by("iv", "dte")).alias("term_structure_slope"))
 
 
+def daily_summary(chain: DataFrame) -> DataFrame:
+    """All per-day option features of each underlying in one pass over the chain.
+
+    The chain is reduced to one row per (underlying, day, days to expiry) of sums and
+    counts, and those rows to one per day.  Same definitions as the single marts above:
+    ``iv_current`` (at the money by strike), ``term_structure_slope``, ``skew_25d``,
+    ``gex_net`` and sign, ``put_call_ratio`` and the zero-day volumes.
+    """
+    vol, iv = F.col("volume") > 0, F.col("implied_vol") > 0
+    atm, far = is_call() & iv & near_spot(), iv & dte().between(20, 40)
+    put25 = far & is_put() & F.col("delta").between(-0.30, -0.20)
+    call25 = far & is_call() & F.col("delta").between(0.20, 0.30)
+    gex = (F.col("gamma") > 0) & (F.col("open_interest") > 0) & dte().between(0, 60)
+    signed = F.when(is_call(), SCALES["spot_squared"]()).otherwise(-SCALES["spot_squared"]())
+    total = lambda cond, value: F.sum(F.when(cond, value))
+    ivs = F.col("implied_vol")
+    by_dte = chain.groupBy("underlying", "snapshot_date", dte().alias("dte")).agg(
+        total(atm, ivs).alias("atm"), count_if(atm).alias("atm_n"), total(put25, ivs).alias("p25"), count_if(put25).alias("p25_n"),
+        total(call25, ivs).alias("c25"), count_if(call25).alias("c25_n"), total(gex, signed).alias("gex"),
+        total(vol & is_put(), F.col("volume")).alias("put_v"), total(vol & is_call(), F.col("volume")).alias("call_v"), count_if(vol).alias("v_n"))
+    d = F.col("dte")
+    month, curve, zero = d.between(20, 40), d.between(7, 90) & (F.col("atm_n") > 0), d == 0
+    level = safe_div("atm", "atm_n")
+    g = by_dte.groupBy("underlying", "snapshot_date").agg(
+        safe_div(total(month, F.col("atm")), total(month, F.col("atm_n"))).alias("iv_current"),
+        (F.min_by(level, F.when(curve, d)) - F.max_by(level, F.when(curve, d))).alias("term_structure_slope"),
+        safe_div(F.sum("p25"), F.sum("p25_n")).alias("_p25"), safe_div(F.sum("c25"), F.sum("c25_n")).alias("_c25"), F.sum("gex").alias("gex_net"),
+        safe_div(F.coalesce(F.sum("put_v"), F.lit(0)), F.sum("call_v")).alias("put_call_ratio"),
+        total(zero, F.col("v_n")).alias("_zero"), F.coalesce(total(zero, F.col("put_v")), F.lit(0)).alias("_zp"), F.coalesce(total(zero, F.col("call_v")), F.lit(0)).alias("_zc"))
+    zero_traded = F.col("_zero") > 0
+    return g.select(
+        "underlying", "snapshot_date", "iv_current", "term_structure_slope", F.when((F.col("_p25") > 0) & (F.col("_c25") > 0), F.col("_p25") - F.col("_c25")).alias("skew_25d"),
+        "gex_net", F.coalesce(F.signum("gex_net").cast("int"), F.lit(0)).alias("gex_sign"), "put_call_ratio", F.when(zero_traded, F.col("_zp")).alias("zero_dte_put_volume"),
+        F.when(zero_traded, F.col("_zc")).alias("zero_dte_call_volume"), F.when(zero_traded, safe_div("_zp", "_zc")).alias("zero_dte_pc_ratio"))
+
+
 def hv_vs_iv(daily: DataFrame, chain: DataFrame, as_of: Column, days: int = 365) -> DataFrame:
     """30-row realised volatility next to implied volatility, by ticker and day, in percent."""
     since = F.date_sub(as_of, days)
