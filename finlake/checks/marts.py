@@ -163,16 +163,16 @@ add("mrt14_dividend_yield", lambda t: mk.dividend_yield(t.role("dividends"), t.r
 _RET = "r AS (SELECT ticker, day, ln(close) - ln(lag(close) OVER (PARTITION BY ticker ORDER BY day)) AS ret FROM {src} WHERE day BETWEEN {a} - {n} AND {a}{w})"
 _BENCH = "b AS (SELECT day, ret AS bench FROM r WHERE ticker = '5-LOW')"
 add("mrt15_beta", lambda t: mk.beta(t.role("odaily"), "5-LOW", R.o_asof(t)),
-    f"""WITH {_RET.format(src='odaily', a=O_AS_OF, n=252, w='')}, {_BENCH} SELECT ticker, round(covar_pop(ret, bench) / var_pop(bench), 3) AS beta, round(corr(ret, bench), 3) AS correlation,
+    f"""WITH {_RET.format(src='odaily', a=O_AS_OF, n=252, w='')}, {_BENCH} SELECT ticker, round(covar_pop(ret, bench) / var_pop(bench), 3) AS beta, round(covar_pop(ret, bench) / nullif(stddev_pop(ret) * stddev_pop(bench), 0), 3) AS correlation,
         round(stddev_pop(ret) * sqrt(252) * 100, 1) AS annual_vol_pct, count(*) AS trading_days FROM r JOIN b USING (day) WHERE ticker <> '5-LOW' AND ret IS NOT NULL AND bench IS NOT NULL
         GROUP BY 1 HAVING count(*) > 100""")
 add("mrt16_corr_returns", lambda t: rnd(mk.correlation_matrix(t.role("odaily"), FIVE, R.o_asof(t), 365, "returns"), 6, "correlation"),
-    f"WITH {_RET.format(src='odaily', a=O_AS_OF, n=365, w='')} SELECT x.ticker AS a, y.ticker AS b, round(corr(x.ret, y.ret), 6) AS correlation FROM r x JOIN r y ON x.day = y.day AND x.ticker < y.ticker GROUP BY 1, 2")
+    f"WITH {_RET.format(src='odaily', a=O_AS_OF, n=365, w='')} SELECT x.ticker AS a, y.ticker AS b, round(covar_pop(x.ret, y.ret) / nullif(stddev_pop(x.ret) * stddev_pop(y.ret), 0), 6) AS correlation FROM r x JOIN r y ON x.day = y.day AND x.ticker < y.ticker WHERE x.ret IS NOT NULL AND y.ret IS NOT NULL GROUP BY 1, 2")
 add("mrt16_corr_closes_two_tables", lambda t: rnd(mk.correlation_matrix(
     t.role("odaily").select("ticker", "day", "close").unionByName(t.role("futures").select("ticker", c("date").alias("day"), "close")), ["5-LOW", "2-HIGH", "CL=F", "GC=F", "SI=F"], R.o_asof(t), 1500), 6, "correlation"),
     f"""WITH u AS (SELECT ticker, day, close FROM odaily UNION ALL SELECT ticker, date, close FROM futures),
         d AS (SELECT * FROM u WHERE ticker IN ('5-LOW', '2-HIGH', 'CL=F', 'GC=F', 'SI=F') AND day BETWEEN {O_AS_OF} - 1500 AND {O_AS_OF})
-        SELECT x.ticker AS a, y.ticker AS b, round(corr(x.close, y.close), 6) AS correlation FROM d x JOIN d y ON x.day = y.day AND x.ticker < y.ticker GROUP BY 1, 2""")
+        SELECT x.ticker AS a, y.ticker AS b, round(covar_pop(x.close, y.close) / nullif(stddev_pop(x.close) * stddev_pop(y.close), 0), 6) AS correlation FROM d x JOIN d y ON x.day = y.day AND x.ticker < y.ticker GROUP BY 1, 2""")
 add("mrt17_rotation", lambda t: mk.rotation(t.role("odaily"), FIVE, "5-LOW", R.o_asof(t)),
     f"""WITH {_RET.format(src='odaily', a=O_AS_OF, n=60, w='')}, {_BENCH}, g AS (SELECT ticker, sum(ret) AS s, sum(bench) AS q FROM r JOIN b USING (day) WHERE ticker <> '5-LOW' AND ret IS NOT NULL AND bench IS NOT NULL GROUP BY 1)
         SELECT ticker, round(s * 100, 2) AS total_return_pct, round(q * 100, 2) AS bench_return_pct, round((s - q) * 100, 2) AS relative_pct, CASE WHEN s > q THEN 'outperform' ELSE 'underperform' END AS vs_bench FROM g""")
