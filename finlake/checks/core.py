@@ -75,11 +75,11 @@ add("dq07_pending_months", _progress,
        SELECT ticker, month, status FROM g LEFT JOIN p USING (ticker, month) WHERE status IS NULL OR month = (SELECT max(month) FROM g)""")
 
 add("dq08_calendar_coverage", lambda t: (
-    quality.weekday_grid(t.spark, "2001-07-31", 400).join(t.orders.select(F.to_date("o_orderdate").alias("day"), "o_totalprice"), "day", "left")
+    quality.weekday_grid(t.spark, R.o_asof(t), 2400).join(t.orders.select(F.to_date("o_orderdate").alias("day"), "o_totalprice"), "day", "left")
     .groupBy("day").agg(F.count("o_totalprice").alias("orders"))
-    .join(quality.month_grid(t.spark, "2001-07-31", 12), F.trunc("day", "month") == c("month"))),
-    """WITH g AS (SELECT CAST(d AS DATE) AS day FROM range(DATE '2001-07-31' - 400, DATE '2001-08-01', INTERVAL 1 DAY) r(d) WHERE isodow(d) < 6),
-       m AS (SELECT CAST(d AS DATE) AS month FROM range(DATE '2000-08-01', DATE '2001-07-02', INTERVAL 1 MONTH) r(d))
+    .join(quality.month_grid(t.spark, R.o_asof(t), 70), F.trunc("day", "month") == c("month"))),
+    """WITH g AS (SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(x - INTERVAL 2400 DAY, x, INTERVAL 1 DAY)) AS d FROM (SELECT max(o_orderdate) AS x FROM orders)) WHERE isodow(d) < 6),
+       m AS (SELECT CAST(d AS DATE) AS month FROM (SELECT unnest(generate_series(date_trunc('month', x) - INTERVAL 69 MONTH, date_trunc('month', x), INTERVAL 1 MONTH)) AS d FROM (SELECT max(o_orderdate) AS x FROM orders)))
        SELECT day, count(o_totalprice) AS orders, month FROM g LEFT JOIN orders ON CAST(o_orderdate AS DATE) = day JOIN m ON date_trunc('month', day) = month GROUP BY day, month""")
 
 add("dq09_clamp_outlier", lambda t: t.role("financials").select(
@@ -155,7 +155,7 @@ add("join06_asof_required", lambda t: asof.asof_join(t.role("odaily").select("da
 # Trades of one kind next to the last purchase of the same user: both sides are raw rows.
 add("join06_asof_ticks", lambda t: asof.asof_join(
     t.events.filter(c("event_type") != "purchase").select("user_id", "event_id", "ts"),
-    t.events.filter(c("event_type") == "purchase").select("user_id", c("ts").alias("bought_at"), c("value").alias("paid")), "ts", "bought_at", 2, by="user_id", slot_days=1),
+    t.events.filter(c("event_type") == "purchase").select("user_id", c("ts").alias("bought_at"), c("value").alias("paid")), "ts", "bought_at", 2, by="user_id", slot_seconds=6 * 3600),
     """SELECT l.user_id, l.event_id, l.ts, CASE WHEN r.bought_at >= l.ts - INTERVAL 2 DAY THEN r.bought_at END AS bought_at, CASE WHEN r.bought_at >= l.ts - INTERVAL 2 DAY THEN r.paid END AS paid
        FROM (SELECT user_id, event_id, ts FROM events WHERE event_type <> 'purchase') l ASOF LEFT JOIN
        (SELECT user_id, ts AS bought_at, value AS paid FROM events WHERE event_type = 'purchase') r ON l.user_id = r.user_id AND l.ts >= r.bought_at""")

@@ -92,7 +92,7 @@ add("prj19_yield_curve", lambda t: macro.yield_curve(t.role("yields").filter(c("
     """WITH y AS (SELECT * FROM yields WHERE yield_1_year > 1), q AS (SELECT DISTINCT CAST(o_orderdate AS DATE) + 3 AS requested FROM orders),
        m AS (SELECT requested, (SELECT max(date) FROM y WHERE date <= requested AND date >= requested - 30) AS date FROM q)
        SELECT requested, date, maturity, yield FROM (SELECT m.requested, y.date, unnest(['1Y', '2Y', '5Y', '10Y', '30Y']) AS maturity,
-       unnest([yield_1_year, yield_2_year, yield_5_year, yield_10_year, yield_30_year]) AS yield FROM m JOIN y USING (date)) WHERE yield IS NOT NULL""")
+       unnest([yield_1_year, yield_2_year, yield_5_year, yield_10_year, yield_30_year]) AS yield FROM m JOIN y USING (date))""")
 add("prj20_sector_from_code", lambda t: t.part.select("p_partkey", sector_from_code((c("p_partkey") % 8000 + 1000).cast("string")).alias("sector")),
     f"SELECT p_partkey, {SECTOR} AS sector FROM (SELECT p_partkey, CAST(p_partkey % 8000 + 1000 AS VARCHAR) AS sic_code FROM part)")
 
@@ -320,8 +320,8 @@ for _tf, _w in (("quarterly", "CASE WHEN (SELECT count(*) FROM financials i WHER
             round((shares_authorized - eff) / nullif(eff, 0) * 100, 1) AS headroom_pct, revenue FROM d""")
 add("mrt27_latest_statements", lambda t: fun.latest_statements(t.role("financials")).select("ticker", "period_end", "revenue", "net_income"),
     "SELECT ticker, period_end, revenue, net_income FROM financials JOIN (SELECT ticker, max(period_end) AS period_end FROM financials WHERE fiscal_period = 'FY' GROUP BY 1) USING (ticker, period_end) WHERE fiscal_period = 'FY'")
-add("mrt28_latest_holders", lambda t: fil.latest_holders(t.role("holders"), limit=200),
-    "SELECT h.* FROM holders h JOIN (SELECT ticker, holder_name, max(filed_date) AS filed_date FROM holders GROUP BY 1, 2) USING (ticker, holder_name, filed_date) ORDER BY shares_held DESC, ticker, holder_name LIMIT 200")
+add("mrt28_latest_holders", lambda t: fil.latest_holders(t.role("holders")),
+    "SELECT h.* FROM holders h JOIN (SELECT ticker, holder_name, max(filed_date) AS filed_date FROM holders GROUP BY 1, 2) USING (ticker, holder_name, filed_date)")
 add("agg10_insider_monthly", lambda t: rnd(fil.insider_monthly(t.role("insider")), 2, "buy_value", "sell_value", "net_value"),
     """SELECT ticker, CAST(date_trunc('month', report_date) AS DATE) AS month, count(*) FILTER (transaction_code = 'P') AS buy_count, count(*) FILTER (transaction_code = 'S') AS sell_count,
        round(sum(CASE WHEN transaction_code = 'P' THEN value ELSE 0 END), 2) AS buy_value, round(sum(CASE WHEN transaction_code = 'S' THEN value ELSE 0 END), 2) AS sell_value,

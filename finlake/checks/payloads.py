@@ -97,12 +97,12 @@ add("src04_option_greeks", _chain, _CHAIN_SQL)
 
 def _oi(t):
     d, k = _contract_fields(t)
-    d = d.filter(c("seq") % 3 == 0).select("snapshot_date", js(**k, open_interest=F.when(c("open_interest") % 7 == 0, F.lit("-")).otherwise(c("open_interest").cast("string"))).alias("payload"))
+    d = d.filter(c("put_call") == "call").select("snapshot_date", js(**k, open_interest=F.when(c("open_interest") % 7 == 0, F.lit("-")).otherwise(c("open_interest").cast("string"))).alias("payload"))
     parsed = common.parse_text(d, "payload", S.OPEN_INTEREST, ("snapshot_date",))
     return so.oi_from_ndjson(parsed)
 
 
-_OI_SQL = "SELECT underlying, expiration, strike, put_call, CASE WHEN open_interest % 7 = 0 THEN 0 ELSE open_interest END AS open_interest FROM chain WHERE seq % 3 = 0"
+_OI_SQL = "SELECT underlying, expiration, strike, put_call, CASE WHEN open_interest % 7 = 0 THEN 0 ELSE open_interest END AS open_interest FROM chain WHERE put_call = 'call'"
 add("src05_open_interest", _oi, _OI_SQL)
 add("src06_merge_chain_oi", lambda t: so.merge_chain_oi(
     _chain(t).select("underlying", "expiration", "strike", "put_call", "bid"), _oi(t).groupBy("underlying", "expiration", "strike", "put_call").agg(F.max("open_interest").alias("open_interest"))),
@@ -139,9 +139,9 @@ def _dividends(t):
 add("src08_dividends", _dividends,
     """SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS ex_dividend_date, NULL::DATE AS declaration_date, NULL::DATE AS record_date, NULL::DATE AS pay_date,
        CASE WHEN l_tax > 0 THEN l_discount ELSE 0 END AS cash_amount, 'USD' AS currency, CASE WHEN l_linenumber < 6 THEN l_linenumber ELSE 0 END AS frequency, CASE WHEN l_linenumber = 1 THEN 'CD' ELSE '' END AS dividend_type FROM lineitem""")
-add("src09_splits", lambda t: sr.splits_from_json(common.parse_text(t.lineitem.filter(c("l_linenumber") == 7).select(js(
+add("src09_splits", lambda t: sr.splits_from_json(common.parse_text(t.lineitem.select(js(
     ticker=c("l_suppkey").cast("string"), execution_date=F.to_date("l_shipdate").cast("string"), split_from=F.when(c("l_tax") > 0, F.lit(1.0)), split_to=c("l_quantity")).alias("payload")), "payload", S.SPLITS)),
-    """SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS execution_date, CASE WHEN l_tax > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS split_from, l_quantity AS split_to FROM lineitem WHERE l_linenumber = 7""")
+    """SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS execution_date, CASE WHEN l_tax > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS split_from, l_quantity AS split_to FROM lineitem""")
 
 _MICS = [*list(EXCHANGES)[:12], "XXXX"]
 
@@ -163,8 +163,8 @@ add("src10_ticker_details", _details,
         CASE s_suppkey % 13 {_MIC_SQL} END AS mic_code, CASE s_suppkey % 13 {_EX_SQL} END AS exchange, s_acctbal AS market_cap, s_suppkey AS total_employees,
         CASE WHEN s_suppkey % 3 = 0 THEN DATE '2001-05-06' ELSE DATE '1970-01-01' END AS list_date, 'City ' || s_nationkey AS address_city, '' AS address_state, '' AS composite_figi, TRUE AS active FROM supplier""")
 add("src21_attach_cik", lambda t: sr.attach_cik(t.role("dividends").select(F.lower("ticker").alias("ticker"), "seq"), sr.cik_map(
-    t.supplier.filter(c("s_suppkey") % 4 != 0).select(c("s_suppkey").cast("string").alias("ticker"), c("s_suppkey").alias("cik"), F.lit(None).cast("string").alias("exchange")))),
-    "SELECT d.ticker, seq, lpad(ticker, 10, '0') AS cik FROM dividends d WHERE CAST(ticker AS BIGINT) % 4 <> 0")
+    t.supplier.filter(c("s_acctbal") > 0).select(c("s_suppkey").cast("string").alias("ticker"), c("s_suppkey").alias("cik"), F.lit(None).cast("string").alias("exchange")))),
+    "SELECT d.ticker, seq, lpad(ticker, 10, '0') AS cik FROM dividends d JOIN supplier ON ticker = CAST(s_suppkey AS VARCHAR) WHERE s_acctbal > 0")
 add("src22_filing_url", lambda t: t.role("filings").select("seq", sf.filing_url(c("cik"), c("accession_number")).alias("url")),
     "SELECT seq, 'https://www.sec.gov/Archives/edgar/data/' || ltrim(cik, '0') || '/' || replace(accession_number, '-', '') || '/' AS url FROM filings")
 add("src23_universe_lines", lambda t: common.only_tickers(t.part.select(F.upper("p_name").alias("ticker"), "p_partkey"), common.universe_from_lines(
@@ -250,10 +250,10 @@ add("dq04_dedup_periods", lambda t: dedup.dedup_periods(t.orders.select(
     F.to_date("o_orderdate").alias("filed_date"), "o_orderkey").groupBy("cik", "period_end", "fiscal_period", "form_type", "filed_date").agg(F.max("o_orderkey").alias("k"))),
     """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY cik, period_end ORDER BY form_type = '10-K/A', filed_date DESC) AS rn FROM (SELECT o_custkey AS cik, CAST(year(o_orderdate) AS INTEGER) AS period_end,
        'FY' AS fiscal_period, CASE WHEN o_orderkey % 2 = 0 THEN '10-K/A' ELSE '10-K' END AS form_type, CAST(o_orderdate AS DATE) AS filed_date, max(o_orderkey) AS k FROM orders GROUP BY ALL)) WHERE rn = 1""")
-add("src15_shape_financials", lambda t: sf.shape_financials(sf.financials_from_facts(_facts(t)), t.customer.filter(c("c_custkey") % 2 == 0).select(
+add("src15_shape_financials", lambda t: sf.shape_financials(sf.financials_from_facts(_facts(t)), t.customer.filter(c("c_acctbal") > 0).select(
     c("c_name").alias("ticker"), F.lpad(c("c_custkey").cast("string"), 10, "0").alias("cik"))).select("ticker", "cik", "period_start", "period_end", "fiscal_year", "fiscal_period", "revenue", "filing_url", "source"),
     _FACTS_SQL + """SELECT c_name AS ticker, cik, CAST(period_start AS DATE) AS period_start, CAST(period_end AS DATE) AS period_end, substring(period_end, 1, 4) AS fiscal_year, fiscal_period, revenue,
-       'https://www.sec.gov/Archives/edgar/data/' || ltrim(cik, '0') || '/' || accession_number || '/' AS filing_url, 'sec_edgar' AS source FROM z JOIN customer ON lpad(CAST(c_custkey AS VARCHAR), 10, '0') = cik WHERE rn = 1 AND c_custkey % 2 = 0""")
+       'https://www.sec.gov/Archives/edgar/data/' || ltrim(cik, '0') || '/' || accession_number || '/' AS filing_url, 'sec_edgar' AS source FROM z JOIN customer ON lpad(CAST(c_custkey AS VARCHAR), 10, '0') = cik WHERE rn = 1 AND c_acctbal > 0""")
 
 # ---- submissions ------------------------------------------------------------------
 
@@ -362,9 +362,9 @@ def _roundtrip(t):
 
 add("snk01_append_roundtrip", _roundtrip, "SELECT ticker, day, close, volume, CAST(year(day) AS INTEGER) AS year FROM odaily")
 add("snk02_reconcile_months", lambda t: sinks.reconcile(
-    t.lineitem.select(F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ym")), t.lineitem.filter(c("l_orderkey") % 500 != 1).select(F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ym")), "ym"),
-    """WITH s AS (SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS ym, count(*) AS source_rows, count(*) FILTER (l_orderkey % 500 <> 1) AS target_rows FROM lineitem GROUP BY 1)
+    t.lineitem.select(F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ym")), t.lineitem.filter(c("l_quantity") < 50).select(F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ym")), "ym"),
+    """WITH s AS (SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS ym, count(*) AS source_rows, count(*) FILTER (l_quantity < 50) AS target_rows FROM lineitem GROUP BY 1)
        SELECT ym, source_rows, target_rows, source_rows = target_rows AS matches FROM s""")
 add("snk03_merge_latest", lambda t: dedup.merge_latest(
-    t.orders.filter(c("o_orderkey") % 2 == 0), t.orders.withColumn("o_totalprice", c("o_totalprice") + (c("o_orderkey") % 3 - 1)), ["o_orderkey"], ["o_totalprice"]),
-    """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 = 0 THEN o_totalprice ELSE o_totalprice + (o_orderkey % 3 - 1) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+    t.orders.filter(c("o_orderstatus") == "F"), t.orders.withColumn("o_totalprice", c("o_totalprice") + (c("o_orderkey") % 3 - 1)), ["o_orderkey"], ["o_totalprice"]),
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN o_totalprice ELSE o_totalprice + (o_orderkey % 3 - 1) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders""")

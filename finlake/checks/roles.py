@@ -234,12 +234,12 @@ _FIN_BASE = """SELECT o_custkey AS k, {p} AS fiscal_period, year(o_orderdate) AS
 
 
 @role("financials", f"""SELECT CAST(k AS VARCHAR) AS ticker, period_end, CAST(y AS VARCHAR) AS fiscal_year, fiscal_period, v AS revenue, {_ITEMS_SQL} FROM (
-    {_FIN_BASE.format(p="'Q' || quarter(o_orderdate)", e="last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH)", w="WHERE o_custkey % 5 <> 0")}
+    {_FIN_BASE.format(p="'Q' || quarter(o_orderdate)", e="last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH)", w="WHERE o_orderpriority = '1-URGENT'")}
     UNION ALL {_FIN_BASE.format(p="'FY'", e="make_date(year(o_orderdate), 12, 31)", w="")})""")
 def financials(t: Tables) -> DataFrame:
     o, day = t.orders, F.to_date("o_orderdate")
     sums = [F.round(F.sum("o_totalprice"), 2).alias("v"), F.count(F.lit(1)).alias("n")]
-    q = o.filter(F.col("o_custkey") % 5 != 0).groupBy(
+    q = o.filter(F.col("o_orderpriority") == "1-URGENT").groupBy(
         F.col("o_custkey").alias("k"), F.concat(F.lit("Q"), F.quarter(day).cast("string")).alias("fiscal_period"), F.year(day).alias("y"),
         F.last_day(F.add_months(F.trunc(day, "quarter"), 2)).alias("period_end")).agg(*sums)
     fy = o.groupBy(F.col("o_custkey").alias("k"), F.lit("FY").alias("fiscal_period"), F.year(day).alias("y"),
@@ -249,9 +249,9 @@ def financials(t: Tables) -> DataFrame:
                     F.col("v").alias("revenue"), *[F.expr(e).cast("double").alias(c) for c, e in _LINE_ITEMS.items()])
 
 
-@role("prices", """SELECT CAST(o_custkey AS VARCHAR) AS ticker, arg_max(o_totalprice, o_orderkey) / 1000 AS close FROM orders GROUP BY 1""")
+@role("prices", """SELECT CAST(o_custkey AS VARCHAR) AS ticker, arg_max(o_totalprice, o_orderkey) / 611.7::DOUBLE AS close FROM orders GROUP BY 1""")
 def prices(t: Tables) -> DataFrame:
-    return t.orders.groupBy(F.col("o_custkey").cast("string").alias("ticker")).agg((F.max_by("o_totalprice", "o_orderkey") / 1000).alias("close"))
+    return t.orders.groupBy(F.col("o_custkey").cast("string").alias("ticker")).agg((F.max_by("o_totalprice", "o_orderkey") / 611.7).alias("close"))
 
 
 @role("insider", """SELECT CAST(o_custkey % 200 AS VARCHAR) AS ticker, 'C' || o_custkey AS reporter_name,
@@ -317,24 +317,30 @@ def monthly(t: Tables) -> DataFrame:
         F.when(F.month(F.min("o_orderdate")) % 4 != 0, F.count(F.lit(1)) / 100).alias("sahm_rule"))
 
 
-@role("rates", """SELECT CAST(l_shipdate AS DATE) AS date, max(CASE WHEN l_linenumber = 1 THEN l_extendedprice END) / 10000 AS tips_10y,
-    max(CASE WHEN l_linenumber = 2 THEN l_extendedprice END) / 10000 AS hy_oas, max(CASE WHEN l_linenumber = 3 THEN l_extendedprice END) / 10000 AS commercial_paper_3m,
-    max(CASE WHEN l_linenumber = 4 THEN l_extendedprice END) / 10000 AS tbill_3m FROM lineitem WHERE l_partkey % 40 = 0 GROUP BY 1""")
+# Weekly dates leave the seventh day outside a five-day tolerance; ten-day dates leave
+# half of the days outside.  The size condition leaves gaps in single columns.
+_GAPPY = "max(CASE WHEN l_linenumber = {i} AND l_quantity > {q} THEN l_extendedprice END) / 10000 AS {c}"
+_RATES = {1: "tips_10y", 2: "hy_oas", 3: "commercial_paper_3m", 4: "tbill_3m"}
+
+
+@role("rates", f"SELECT {_WEEK} AS date, " + ", ".join(_GAPPY.format(i=i, q=48, c=c) for i, c in _RATES.items()) + " FROM lineitem GROUP BY 1")
 def rates(t: Tables) -> DataFrame:
     n, v = F.col("l_linenumber"), F.col("l_extendedprice")
-    pick = lambda i: F.max(F.when(n == i, v)) / 10000
-    return t.lineitem.filter(F.col("l_partkey") % 40 == 0).groupBy(F.to_date("l_shipdate").alias("date")).agg(
-        pick(1).alias("tips_10y"), pick(2).alias("hy_oas"), pick(3).alias("commercial_paper_3m"), pick(4).alias("tbill_3m"))
+    return t.lineitem.groupBy(week_of("l_shipdate").alias("date")).agg(
+        *[(F.max(F.when((n == i) & (F.col("l_quantity") > 48), v)) / 10000).alias(c) for i, c in _RATES.items()])
 
 
-@role("macro_daily", """SELECT CAST(l_shipdate AS DATE) AS date, max(CASE WHEN l_linenumber = 1 THEN l_extendedprice END) / 10000 AS yield_curve_10y2y,
-    max(CASE WHEN l_linenumber = 2 THEN l_extendedprice END) / 10000 AS yield_curve_10y3m, max(l_extendedprice) / 1000 AS vix
-    FROM lineitem WHERE l_partkey % 90 = 1 GROUP BY 1""")
+_TEN_DAYS = "CAST(date_trunc('month', l_shipdate) AS DATE) + CAST(least((day(l_shipdate) - 1) // 10, 2) * 10 AS INTEGER)"
+
+
+@role("macro_daily", f"SELECT {_TEN_DAYS} AS date, {_GAPPY.format(i=1, q=47, c='yield_curve_10y2y')}, {_GAPPY.format(i=2, q=47, c='yield_curve_10y3m')}, "
+      "min(l_extendedprice) / 50 AS vix FROM lineitem GROUP BY 1")
 def macro_daily(t: Tables) -> DataFrame:
-    n, v = F.col("l_linenumber"), F.col("l_extendedprice")
-    return t.lineitem.filter(F.col("l_partkey") % 90 == 1).groupBy(F.to_date("l_shipdate").alias("date")).agg(
-        (F.max(F.when(n == 1, v)) / 10000).alias("yield_curve_10y2y"), (F.max(F.when(n == 2, v)) / 10000).alias("yield_curve_10y3m"),
-        (F.max(v) / 1000).alias("vix"))
+    n, v, day = F.col("l_linenumber"), F.col("l_extendedprice"), F.to_date("l_shipdate")
+    step = F.least(F.floor((F.dayofmonth(day) - 1) / 10), F.lit(2)).cast("int") * 10
+    big = F.col("l_quantity") > 47
+    return t.lineitem.groupBy(F.date_add(F.trunc(day, "month"), step).alias("date")).agg(
+        (F.max(F.when((n == 1) & big, v)) / 10000).alias("yield_curve_10y2y"), (F.max(F.when((n == 2) & big, v)) / 10000).alias("yield_curve_10y3m"), (F.min(v) / 50).alias("vix"))
 
 
 @role("macro_weekly", """SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS date, max(o_totalprice) / 100000 AS financial_stress,

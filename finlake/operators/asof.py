@@ -15,7 +15,7 @@ from finlake.operators.pivots import full_merge
 
 def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, tolerance_days: int,
               by: str | Sequence[str] | None = None, require: str | Sequence[str] | None = None,
-              seq: str | None = None, slot_days: int | None = None) -> DataFrame:
+              seq: str | None = None, slot_seconds: int | None = None) -> DataFrame:
     """Latest right row at or before each left row and at most ``tolerance_days`` older.
 
     Left columns are kept, right columns (except ``by``) are NULL without a match.
@@ -25,9 +25,10 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     Both sides are cut into time slots and unioned, so one shuffle on (by, slot) does the
     work and a hot key is spread over its slots.  Only the last right row of a slot can
     matter to later slots; those (one per slot) are copied into the slots within reach.
+    The default slot is as wide as the tolerance; choose a narrow one for tick data.
     """
     keys = names(by)
-    width = (slot_days or max(tolerance_days, 1)) * 86400
+    width = slot_seconds or max(tolerance_days, 1) * 86400
     copies = math.ceil(tolerance_days * 86400 / width)
     values = [c for c in right.columns if c not in keys]
 

@@ -59,12 +59,12 @@ def latest_non_null(df: DataFrame, cols: Sequence[str], time: str,
     return df.groupBy(*names(by)).agg(F.max(time).alias(time), *aggs)
 
 
-def unpivot_columns(df: DataFrame, ids: Sequence[str], columns: Mapping[str, str], name: str, value: str) -> DataFrame:
-    """Wide row -> (name, value) rows, NULL values dropped."""
+def unpivot_columns(df: DataFrame, ids: Sequence[str], columns: Mapping[str, str], name: str, value: str, keep_null: bool = False) -> DataFrame:
+    """Wide row -> (name, value) rows, NULL values dropped unless ``keep_null``."""
     rows = F.array(*[F.struct(F.lit(label).alias(name), F.col(c).cast("double").alias(value))
                      for c, label in columns.items()])
     d = df.select(*ids, F.explode(rows).alias("_r")).select(*ids, f"_r.{name}", f"_r.{value}")
-    return d.filter(F.col(value).isNotNull())
+    return d if keep_null else d.filter(F.col(value).isNotNull())
 
 
 def full_merge(frames: Sequence[DataFrame], on: str) -> DataFrame:

@@ -75,15 +75,15 @@ def pending_months(grid: DataFrame, progress: DataFrame, newest) -> DataFrame:
     return d.filter(F.col("status").isNull() | (F.col("month") == newest))
 
 
-def month_grid(spark: SparkSession, as_of: str, months: int) -> DataFrame:
+def month_grid(spark: SparkSession, as_of: str | Column, months: int) -> DataFrame:
     """First days of the last ``months`` months up to the month of ``as_of``."""
-    last = F.trunc(F.to_date(F.lit(as_of)), "month")
+    last = F.trunc(F.lit(as_of).cast("date"), "month")
     return spark.range(1).select(F.explode(F.sequence(F.add_months(last, 1 - months), last, F.expr("interval 1 month"))).alias("month"))
 
 
-def weekday_grid(spark: SparkSession, as_of: str, days: int) -> DataFrame:
+def weekday_grid(spark: SparkSession, as_of: str | Column, days: int) -> DataFrame:
     """Monday-to-Friday dates of the last ``days`` calendar days up to ``as_of``."""
-    last = F.to_date(F.lit(as_of))
+    last = F.lit(as_of).cast("date")
     d = spark.range(1).select(F.explode(F.sequence(F.date_sub(last, days), last)).alias("day"))
     return d.filter(F.weekday("day") < 5)
 

@@ -150,8 +150,9 @@ def over_range(df: DataFrame, keys: str | Sequence[str] | None, time: str, reach
                build: Builder, split: bool = False) -> DataFrame:
     """Window columns over a trailing time range of at most ``reach_seconds``.
 
-    With ``split`` the key is cut into time slots as wide as the range; rows of a slot
-    are also sent to the next one, where they can only be inside the frame.
+    With ``split`` the key is cut into time slots four times as wide as the range; only
+    the rows of a slot's last quarter can be inside a frame of the next one, so only they
+    are sent there as well.
     """
     ks = names(keys)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
@@ -159,8 +160,11 @@ def over_range(df: DataFrame, keys: str | Sequence[str] | None, time: str, reach
     if not split:
         w = W.partitionBy(*ks).orderBy("_us").rangeBetween(-reach_seconds * 1_000_000, 0)
         return d.withColumns(build(w)).drop("_us")
-    d = d.withColumn("_home", F.floor(F.col("_us") / (reach_seconds * 1_000_000)))
-    d = d.withColumn("_slot", F.explode(F.array(F.col("_home"), F.col("_home") + 1)))
+    width = reach_seconds * 4_000_000
+    d = d.withColumn("_home", F.floor(F.col("_us") / width))
+    late = F.pmod(F.col("_us"), F.lit(width)) >= width - reach_seconds * 1_000_000
+    d = d.withColumn("_slot", F.explode(
+        F.when(late, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array(F.col("_home")))))
     w = W.partitionBy(*ks, "_slot").orderBy("_us").rangeBetween(-reach_seconds * 1_000_000, 0)
     d = d.withColumns(build(w)).filter(F.col("_slot") == F.col("_home"))
     return d.drop("_us", "_home", "_slot")

@@ -26,14 +26,14 @@ def macro_series(table: DataFrame, start=None, end=None, day: str = "date") -> D
     return table
 
 
-def yield_curve(yields: DataFrame, dates: DataFrame, tolerance_days: int = 3660) -> DataFrame:
+def yield_curve(yields: DataFrame, dates: DataFrame, tolerance_days: int = 36_500) -> DataFrame:
     """(requested, date, maturity, yield) of the latest curve on or before each date.
 
     ``dates`` has one DATE column ``requested``; all dates are answered by one as-of join.
     """
     have = {c: m for c, m in MATURITIES.items() if c in yields.columns}
     d = asof_join(dates, yields.select("date", *have), "requested", "date", tolerance_days)
-    return unpivot_columns(d.filter(F.col("date").isNotNull()), ["requested", "date"], have, "maturity", "yield")
+    return unpivot_columns(d.filter(F.col("date").isNotNull()), ["requested", "date"], have, "maturity", "yield", keep_null=True)
 
 
 def curve_history(yields: DataFrame, start: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from finlake.functions.exprs import lookup
@@ -60,13 +61,16 @@ def financials_from_facts(df: DataFrame, payload: str = "payload", cik: str = "c
     broadcast.
     """
     facts = explode_facts(df, payload, cik).join(F.broadcast(_concept_table(df)), "concept")
-    chosen = facts.groupBy("cik", "field").agg(F.min("priority").alias("priority"))
-    facts = facts.join(chosen, ["cik", "field", "priority"], "left_semi")
-    facts = facts.filter(F.col("form").isin(*STATEMENT_FORMS) & F.col("fp").isin(*STATEMENT_PERIODS)
-                         & (F.coalesce("end", F.lit("")) != ""))
     key = ["cik", F.col("end").alias("period_end"), F.col("fp").alias("fiscal_period"), F.col("form").alias("form_type")]
     first = F.struct("field_no", "ord", "start", "filed", "accn")
-    per_item = facts.groupBy(*key, "field").agg(F.min(first).alias("_first"), F.max(F.struct("ord", "val")).alias("_last"))
+    per_item = facts.groupBy(*key, "field", "priority").agg(
+        F.min(first).alias("_first"), F.max(F.struct("ord", "val")).alias("_last"))
+    # After the aggregate a company and line item has one row per period and concept, a
+    # few hundred at most, so the best concept can be found in a window.
+    best = F.min("priority").over(W.partitionBy("cik", "field"))
+    per_item = per_item.withColumn("_best", best).filter(F.col("priority") == F.col("_best"))
+    per_item = per_item.filter(F.col("form_type").isin(*STATEMENT_FORMS) & F.col("fiscal_period").isin(*STATEMENT_PERIODS)
+                               & (F.coalesce("period_end", F.lit("")) != ""))
     ids = ["cik", "period_end", "fiscal_period", "form_type"]
     fields = [f for f, cs in CONCEPTS.items() if cs]
     wide = per_item.groupBy(*ids).agg(
