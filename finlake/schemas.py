@@ -85,12 +85,28 @@ BAR_MESSAGE = _ENVELOPE + (
 
 # Tables: identity key, version column, time column ----------------------------------
 
-TABLES = {
+_SERIES = (("date",), "ingested_at", "date")
+TABLES: dict[str, tuple[tuple[str, ...], str, str | None]] = {
     "ohlcv": (("ticker", "timestamp"), "ingested_at", "timestamp"),
     "ohlcv_daily": (("ticker", "day"), "ingested_at", "day"),
+    "universe": (("ticker",), "updated_at", None),
+    "dividends": (("ticker", "ex_dividend_date"), "ingested_at", "ex_dividend_date"),
+    "stock_splits": (("ticker", "execution_date"), "ingested_at", "execution_date"),
     "option_chains": (("underlying", "expiration", "strike", "put_call", "snapshot_date"), "ingested_at", "snapshot_date"),
     "option_trades": (("underlying", "trade_date", "expiration", "strike", "put_call", "trade_timestamp", "sequence"),
-                      "ingested_at", "trade_timestamp"),
+                      "ingested_at", "trade_date"),
     "financials": (("ticker", "period_end", "fiscal_period"), "ingested_at", "period_end"),
-    "algo_features": (("date",), "computed_at", "date"),
+    "sec_filings": (("ticker", "filed_date", "form_type", "accession_number"), "ingested_at", "filed_date"),
+    "material_events": (("ticker", "filed_date", "item_code", "accession_number"), "ingested_at", "filed_date"),
+    "insider_trades": (("ticker", "report_date", "reporter_name", "transaction_code", "shares"), "ingested_at", "report_date"),
+    "institutional_holders": (("ticker", "filed_date", "holder_name", "accession_number"), "ingested_at", "filed_date"),
+    "commodities_ohlcv": (("ticker", "date"), "ingested_at", "date"),
+    "commodities_ohlcv_15m": (("ticker", "timestamp"), "ingested_at", "timestamp"),
+    "commodities_ohlcv_1h": (("ticker", "timestamp"), "ingested_at", "timestamp"),
+    "commodities_ohlcv_4h": (("ticker", "timestamp"), "ingested_at", "timestamp"),
+    "zbt_breadth": (("day",), "ingested_at", "day"),
+    "algo_feature_matrix": (("date",), "computed_at", "date"),
+    **{name: _SERIES for name in (
+        "treasury_yields", "inflation", "inflation_expectations", "labor_market", "rates", "macro_daily", "macro_weekly", "macro_monthly",
+        "commodity_prices", "eia_petroleum_weekly", "eia_petroleum_monthly")},
 }
