@@ -345,6 +345,9 @@ add("ind02_ema_first_seed", lambda t: rnd(ind.ema(_D(t), "ticker", "day", "close
 add("ind02_ema_ticks_split", lambda t: rnd(ind.ema(t.role("ticks"), "ticker", "timestamp", "price", 12, seq="seq", split=TICKS), 4, "ema"),
     ema_sql("ticks", "ticker", "timestamp, seq", "price", 12, "sma", cols="ticker, timestamp, price, size, seq"))
 
+add("ind03_bollinger_ticks_split", lambda t: rnd(ind.bollinger(t.role("ticks").select("ticker", "timestamp", "seq", "price"), "ticker", "timestamp", "price", 50, seq="seq", split=TICKS), 4, "middle", "upper", "lower"),
+    """SELECT ticker, timestamp, seq, price, round(m, 4) AS middle, round(m + 2 * s, 4) AS upper, round(m - 2 * s, 4) AS lower FROM (SELECT ticker, timestamp, seq, price, avg(price) OVER w AS m,
+       stddev_pop(price) OVER w AS s, count(*) OVER w AS n FROM ticks WINDOW w AS (PARTITION BY ticker ORDER BY timestamp, seq ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)) WHERE n = 50""")
 add("ind03_bollinger", lambda t: rnd(ind.bollinger(_D(t), "ticker", "day", "close"), 4, "middle", "upper", "lower"),
     """SELECT ticker, day, close, round(m, 4) AS middle, round(m + 2 * s, 4) AS upper, round(m - 2 * s, 4) AS lower FROM (SELECT ticker, day, close, avg(close) OVER w AS m,
        stddev_pop(close) OVER w AS s, count(*) OVER w AS n FROM odaily WINDOW w AS (PARTITION BY ticker ORDER BY day ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)) WHERE n = 20""")

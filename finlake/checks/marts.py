@@ -8,6 +8,7 @@ from finlake.checks import roles as R
 from finlake.checks.registry import add, rnd
 from finlake.functions.exprs import sector_from_code
 from finlake.operators.bars import weekly_returns
+from finlake.operators.pivots import latest_non_null
 from finlake.plans import breadth, commodities as com, filings as fil, fundamentals as fun, macro, market as mk, options as opt
 
 c = F.col
@@ -122,7 +123,7 @@ add("mrt10_screener", lambda t: mk.screener(t.role("sdaily"), t.role("universe")
         SELECT ticker, name, {SECTOR} AS sector, exchange, market_cap, close, change_pct, volume, revenue, net_income, CASE WHEN revenue > 0 THEN round(gross_profit / revenue * 100, 1) END AS gross_margin,
         CASE WHEN revenue > 0 THEN round(net_income / revenue * 100, 1) END AS net_margin, CASE WHEN eps > 0 THEN round(close / eps, 1) END AS pe
         FROM universe JOIN mv USING (ticker) LEFT JOIN f USING (ticker) WHERE sic_code <> ''""")
-add("agg30_latest_statement_values", lambda t: __import__("finlake.operators.pivots", fromlist=["x"]).latest_non_null(
+add("agg30_latest_statement_values", lambda t: latest_non_null(
     t.role("financials").filter(c("fiscal_period") == "FY"), ["revenue", "gross_profit", "research_and_dev", "shares_outstanding"], "period_end", "ticker"),
     """SELECT ticker, max(period_end) AS period_end, arg_max(revenue, period_end) AS revenue, arg_max(gross_profit, period_end) AS gross_profit, arg_max(research_and_dev, period_end) AS research_and_dev,
        arg_max(shares_outstanding, period_end) AS shares_outstanding FROM financials WHERE fiscal_period = 'FY' GROUP BY 1""")

@@ -13,6 +13,7 @@ from finlake.operators import quality
 from finlake.plans import features as fe, options as opt, signals as sg
 from finlake.session import checkpoint_root, materialise
 from finlake.sources import sinks
+from finlake.sources.template import daily_load
 from finlake.streaming import jobs
 
 c = F.col
@@ -176,7 +177,7 @@ def _extra_group(t):
 add("udf01_registered_group", _extra_group,
     "SELECT date, CAST(date - lag(date) OVER (ORDER BY date) AS INTEGER) AS days_since_last, CAST(lag(date) OVER (ORDER BY date) IS NOT NULL AS BIGINT) AS feature_count FROM cal")
 
-add("udf02_load_template", lambda t: __import__("finlake.sources.template", fromlist=["x"]).daily_load(
+add("udf02_load_template", lambda t: daily_load(
     t.lineitem.select(F.to_date("l_shipdate").alias("day"), c("l_suppkey").cast("string").alias("T"), c("l_extendedprice").alias("o"), (c("l_extendedprice") + 2 - c("l_linenumber")).alias("h"), c("l_extendedprice").alias("l"),
                       c("l_extendedprice").alias("c"), c("l_quantity").alias("v"), c("l_extendedprice").alias("vw"), c("l_linenumber").alias("n"))).select("ticker", "day", "close", "volume"),
     """SELECT ticker, day, close, volume FROM (SELECT CAST(l_suppkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS day, l_extendedprice AS close, CAST(l_quantity AS BIGINT) AS volume,

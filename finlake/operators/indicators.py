@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.exprs import names, pct_change, pct_of, safe_div
-from finlake.operators.series import OrderedSeries, Split
+from finlake.operators.series import OrderedSeries, Split, over_rows
 
 
 def _full(w, n: int):
@@ -26,8 +26,7 @@ def sma(df: DataFrame, key, time: str, price: str, n: int, seq=None, split: Spli
     def build(w):
         f, full = _full(w, n)
         return {out: F.when(full, F.avg(price).over(f))}
-    d = OrderedSeries(df, key, time, seq, split, n).with_columns(build).done()
-    return d.filter(F.col(out).isNotNull())
+    return over_rows(df, key, time, build, n - 1, seq, split).filter(F.col(out).isNotNull())
 
 
 def bollinger(df: DataFrame, key, time: str, price: str, n: int = 20, k: float = 2.0, seq=None,
@@ -35,8 +34,7 @@ def bollinger(df: DataFrame, key, time: str, price: str, n: int = 20, k: float =
     def build(w):
         f, full = _full(w, n)
         return {"middle": F.when(full, F.avg(price).over(f)), "_sd": F.stddev_pop(price).over(f)}
-    d = OrderedSeries(df, key, time, seq, split, n).with_columns(build).done()
-    d = d.filter(F.col("middle").isNotNull())
+    d = over_rows(df, key, time, build, n - 1, seq, split).filter(F.col("middle").isNotNull())
     return (d.withColumn("upper", F.col("middle") + k * F.col("_sd"))
             .withColumn("lower", F.col("middle") - k * F.col("_sd")).drop("_sd"))
 
