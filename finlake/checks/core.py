@@ -187,7 +187,7 @@ add("join11_full_merge", _full_merge,
     """SELECT CAST(o_orderdate AS DATE) AS date, max(o_totalprice) FILTER (o_orderpriority = '1-URGENT') AS a, max(o_totalprice) FILTER (o_orderpriority = '2-HIGH') AS b,
        max(o_totalprice) FILTER (o_orderpriority = '3-MEDIUM') AS c FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY 1""")
 
-add("join12_scalar_max", lambda t: t.role("sdaily").filter(c("day") == R.s_asof(t)).select("ticker", "day", "close"),
+add("join12_scalar_max", lambda t: t.role("sdaily").filter(c("day") == joins.scalar_max(t.lineitem.select(R.day_of("l_shipdate").alias("day")), "day")).select("ticker", "day", "close"),
     f"SELECT ticker, day, close FROM sdaily WHERE day = {R.S_ASOF}")
 
 _HIST = "SELECT underlying, expiration, strike, put_call, avg(volume) AS avg_volume, count(*) AS seen FROM chain GROUP BY ALL"
@@ -459,6 +459,23 @@ add("agg33_study_put_call", _pcr_study,
         e AS (SELECT a.day, pc, f.close / a.close - 1 AS fwd_5d FROM odaily a JOIN odaily f ON a.ticker = f.ticker AND f.day = a.day + 7 JOIN p ON p.day = a.day WHERE a.ticker = '5-LOW')
         SELECT CASE WHEN pc < 0.7 THEN 'call_heavy' WHEN pc < 1.0 THEN 'slight_call' WHEN pc < 1.3 THEN 'balanced' WHEN pc < 1.8 THEN 'slight_put' ELSE 'put_heavy' END AS bucket, {_STUDY} FROM e GROUP BY 1""")
 
+
+
+def _otm_study(t):
+    from finlake.plans.options import otm_flow
+    flow = otm_flow(t.role("chain").withColumn("underlying", F.when(c("underlying") == "R", "5-LOW").otherwise("1-URGENT")), 0)
+    flow = flow.filter(c("otm_call_vol") > c("atm_call_vol") * 1.5).select(c("underlying").alias("ticker"), c("snapshot_date").alias("day"))
+    d = joins.offset_join(t.role("odaily").select("ticker", "day", "close"), "ticker", "day", "close", {"b": -7, "f": 7})
+    d = d.withColumns({"past": c("close") / c("b") - 1, "fwd_5d": c("f") / c("close") - 1}).join(flow, ["ticker", "day"])
+    return _study(d, F.when(c("past") < -0.03, "otm_calls_after_drop").when(c("past") > 0.03, "otm_calls_after_rally").otherwise("otm_calls_flat"))
+
+
+add("agg33_study_otm_flow", _otm_study,
+    f"""WITH {_FWD}, k AS (SELECT CASE underlying WHEN 'R' THEN '5-LOW' ELSE '1-URGENT' END AS ticker, snapshot_date AS day,
+        sum(CASE WHEN put_call = 'call' AND abs(strike - underlying_price) / underlying_price < 0.02 THEN volume ELSE 0 END) AS atm,
+        sum(CASE WHEN put_call = 'call' AND strike > underlying_price * 1.03::DOUBLE AND strike < underlying_price * 1.10::DOUBLE THEN volume ELSE 0 END) AS otm FROM chain WHERE underlying_price > 0 GROUP BY 1, 2 HAVING sum(volume) > 0)
+        SELECT CASE WHEN ret_5d < -0.03::DOUBLE THEN 'otm_calls_after_drop' WHEN ret_5d > 0.03::DOUBLE THEN 'otm_calls_after_rally' ELSE 'otm_calls_flat' END AS bucket, {_STUDY} FROM e JOIN k USING (ticker, day) WHERE otm > atm * 1.5 GROUP BY 1""")
+
 add("agg33_group_median", lambda t: rnd(events.group_median(t.lineitem, "l_returnflag", "l_extendedprice"), 6, "median"),
     "SELECT l_returnflag, round(median(l_extendedprice), 6) AS median FROM lineitem GROUP BY 1")
 

@@ -126,16 +126,24 @@ def sdaily(t: Tables) -> DataFrame:
     return bars_from_ticks(sticks(t), "ticker", "timestamp", "price", "size", "1d", "seq", "day")
 
 
+def newest(df: DataFrame, day: Column) -> Column:
+    """Newest date of a table as a literal: one value from a one-column scan.
+
+    A literal lets Spark prune row groups and folders while planning.
+    """
+    return F.lit(df.select(F.max(day)).first()[0])
+
+
 def s_asof(t: Tables) -> Column:
-    """Last market day, from a one-column scan of the base table."""
-    return t.lineitem.select(F.max(day_of("l_shipdate"))).scalar()
+    """Last market day of the many series."""
+    return newest(t.lineitem, day_of("l_shipdate"))
 
 
 S_ASOF = "(SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"
 
 
 def o_asof(t: Tables) -> Column:
-    return t.orders.select(F.max(day_of("o_orderdate"))).scalar()
+    return newest(t.orders, day_of("o_orderdate"))
 
 
 O_ASOF = "(SELECT max(CAST(o_orderdate AS DATE)) FROM orders)"
@@ -374,7 +382,7 @@ F_ASOF = "(SELECT max(CAST(date_trunc('week', o_orderdate) AS DATE)) FROM orders
 
 
 def f_asof(t: Tables) -> Column:
-    return t.orders.select(F.max(week_of("o_orderdate"))).scalar()
+    return newest(t.orders, week_of("o_orderdate"))
 
 
 _ENERGY = {"click": "wti_crude", "view": "brent_crude", "purchase": "natural_gas", "signup": "gasoline", "error": "heating_oil"}

@@ -34,6 +34,7 @@ def _date(value) -> Column:
 class Lake:
     def __init__(self, spark: SparkSession, root: str, as_of: str | None = None):
         self.spark, self.root, self._as_of = spark, root.rstrip("/"), as_of
+        self._newest: dict[str, object] = {}
 
     # ---- tables -------------------------------------------------------------------
 
@@ -63,15 +64,22 @@ class Lake:
         """Idempotent load of new rows."""
         keys, version, time = TABLES[name]
         sinks.upsert(self.spark, rows, self.path(name), time, list(keys), [version], grain)
+        self._newest.pop(name, None)
 
     def as_of(self, name: str) -> Column:
-        """The fixed report date, or the newest date of a table (read from its newest year)."""
+        """The fixed report date, or the newest date of a table.
+
+        The newest date is read once, from the newest year, and kept as a literal: all
+        queries of one ``Lake`` agree on it and folders are pruned while planning.
+        """
         if self._as_of:
             return _date(self._as_of)
-        time, d = TABLES[name][2], self.raw(name)
-        if "year" in d.columns:
-            d = d.filter(F.col("year") == d.select(F.max("year")).scalar())
-        return d.select(F.max(F.to_date(time))).scalar()
+        if name not in self._newest:
+            time, d = TABLES[name][2], self.raw(name)
+            if "year" in d.columns:
+                d = d.filter(F.col("year") == d.select(F.max("year")).scalar())
+            self._newest[name] = d.select(F.max(F.to_date(time))).first()[0]
+        return F.lit(self._newest[name])
 
     def since(self, name: str, days: int) -> Column:
         return F.date_sub(self.as_of(name), days)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.exprs import names, pct_change, pct_of, safe_div
-from finlake.operators.series import OrderedSeries, Split, over_rows
+from finlake.operators.series import OrderedSeries, Recurrence, Split, over_rows
 
 
 def _full(w, n: int):
@@ -39,30 +39,23 @@ def bollinger(df: DataFrame, key, time: str, price: str, n: int = 20, k: float =
             .withColumn("lower", F.col("middle") - k * F.col("_sd")).drop("_sd"))
 
 
-def _ema_terms(x: Column, n: int, seed: str, start: int, seed_value: Column) -> tuple[Column, Column]:
-    """Coefficients (a, b) of an EMA whose input begins at position ``start``."""
+def _ema(x: Column, w, n: int, seed: str, start: int = 0) -> tuple[Column, float, int]:
+    """(input term, decay, seed position) of an EMA whose input begins at position ``start``."""
     k = 2.0 / (n + 1)
-    pos = F.col("_pos")
     first = start if seed == "first" else start + n - 1
-    init = x if seed == "first" else seed_value
-    a = F.when(pos <= first, F.lit(0.0)).otherwise(F.lit(1.0 - k))
-    b = F.when(pos < first, F.lit(None).cast("double")).when(pos == first, init).otherwise(x * k)
-    return a, b
+    init = x if seed == "first" else F.avg(x).over(w.rowsBetween(-(n - 1), 0))
+    pos = F.col("_pos")
+    return F.when(pos > first, x * k).when(pos == first, init), 1.0 - k, first
 
 
 def ema(df: DataFrame, key, time: str, price: str, n: int, seed: str = "sma", seq=None,
         split: Split | None = None, out: str = "ema") -> DataFrame:
     """Exponential mean with factor 2/(n+1), seeded by the mean of the first ``n`` values
     (``seed='sma'``, output starts there) or by the first value (``seed='first'``)."""
-    x = F.col(price).cast("double")
-
-    def build(w):
-        a, b = _ema_terms(x, n, seed, 0, F.avg(x).over(w.rowsBetween(-(n - 1), 0)))
-        return {"_a": a, "_b": b}
-
-    s = OrderedSeries(df, key, time, seq, split).with_columns(build).scan([("_a", "_b", out)])
-    d = s.done("_a", "_b")
-    return d.filter(F.col(out).isNotNull())
+    s = OrderedSeries(df, key, time, seq, split)
+    b, decay, first = _ema(F.col(price).cast("double"), s.window, n, seed)
+    s.with_columns(lambda w: {"_b": b}).scan([Recurrence("_b", out, decay, first)])
+    return s.done("_b").filter(F.col(out).isNotNull())
 
 
 def rsi(df: DataFrame, key, time: str, price: str, n: int = 14, seq=None, split: Split | None = None,
@@ -73,17 +66,13 @@ def rsi(df: DataFrame, key, time: str, price: str, n: int = 14, seq=None, split:
         return {"_g": F.when(d > 0, d).otherwise(0.0), "_l": F.when(d < 0, -d).otherwise(0.0)}
 
     def terms(w):
-        cols, pos = {}, F.col("_pos")
-        for name in ("_g", "_l"):
-            mean = F.avg(name).over(w.rowsBetween(-(n - 1), 0))
-            cols[f"{name}a"] = F.when(pos <= n, F.lit(0.0)).otherwise(F.lit((n - 1) / n))
-            cols[f"{name}b"] = (F.when(pos < n, F.lit(None).cast("double"))
-                                .when(pos == n, mean).otherwise(F.col(name) / n))
-        return cols
+        pos = F.col("_pos")
+        return {f"{c}b": F.when(pos > n, F.col(c) / n).when(pos == n, F.avg(c).over(w.rowsBetween(-(n - 1), 0))) for c in ("_g", "_l")}
 
     s = OrderedSeries(df, key, time, seq, split, before=1).with_columns(changes).only_home()
-    s.with_columns(terms).scan([("_ga", "_gb", "_gain"), ("_la", "_lb", "_loss")])
-    d = s.done("_g", "_l", "_ga", "_gb", "_la", "_lb").filter(F.col("_gain").isNotNull())
+    decay = (n - 1) / n
+    s.with_columns(terms).scan([Recurrence("_gb", "_gain", decay, n), Recurrence("_lb", "_loss", decay, n)])
+    d = s.done("_g", "_l", "_gb", "_lb").filter(F.col("_gain").isNotNull())
     rs = F.when(F.col("_loss") == 0, F.lit(100.0)).otherwise(safe_div("_gain", "_loss"))
     return d.withColumn(out, 100 - 100 / (1 + rs)).drop("_gain", "_loss")
 
@@ -92,23 +81,14 @@ def macd(df: DataFrame, key, time: str, price: str, fast: int = 12, slow: int =
          seq=None, split: Split | None = None) -> DataFrame:
     """Fast minus slow EMA, its signal EMA and the histogram, from the first full signal."""
     x = F.col(price).cast("double")
-
-    def lines(w):
-        cols = {}
-        for tag, n in (("f", fast), ("s", slow)):
-            cols[f"_{tag}a"], cols[f"_{tag}b"] = _ema_terms(x, n, "sma", 0, F.avg(x).over(w.rowsBetween(-(n - 1), 0)))
-        return cols
-
-    def signal_terms(w):
-        m = F.col("macd")
-        a, b = _ema_terms(m, signal, "sma", slow - 1, F.avg(m).over(w.rowsBetween(-(signal - 1), 0)))
-        return {"_ga": a, "_gb": b}
-
-    s = OrderedSeries(df, key, time, seq, split).with_columns(lines)
-    s.scan([("_fa", "_fb", "_fast"), ("_sa", "_sb", "_slow")])
-    s.with_columns(lambda w: {"macd": F.col("_fast") - F.col("_slow")}).with_columns(signal_terms)
-    s.scan([("_ga", "_gb", "signal")])
-    d = s.done("_fa", "_fb", "_sa", "_sb", "_fast", "_slow", "_ga", "_gb").filter(F.col("signal").isNotNull())
+    s = OrderedSeries(df, key, time, seq, split)
+    fb, fd, ff = _ema(x, s.window, fast, "sma")
+    sb, sd, sf = _ema(x, s.window, slow, "sma")
+    s.with_columns(lambda w: {"_fb": fb, "_sb": sb}).scan([Recurrence("_fb", "_fast", fd, ff), Recurrence("_sb", "_slow", sd, sf)])
+    s.with_columns(lambda w: {"macd": F.col("_fast") - F.col("_slow")})
+    gb, gd, gf = _ema(F.col("macd"), s.window, signal, "sma", slow - 1)
+    s.with_columns(lambda w: {"_gb": gb}).scan([Recurrence("_gb", "signal", gd, gf)])
+    d = s.done("_fb", "_sb", "_fast", "_slow", "_gb").filter(F.col("signal").isNotNull())
     return d.withColumn("histogram", F.col("macd") - F.col("signal"))
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,6 +35,16 @@ class Split:
     rows: int = 100_000
 
 
+@dataclass(frozen=True)
+class Recurrence:
+    """``out = decay * out_prev + b`` from position ``first``, where ``out`` is ``b`` itself."""
+
+    b: str
+    out: str
+    decay: float
+    first: int
+
+
 Builder = Callable[[W], dict[str, Column]]
 
 
@@ -86,27 +97,27 @@ class OrderedSeries:
             self.df = self.df.filter(F.col("_home") == F.col("_chunk"))
         return self
 
-    def scan(self, states: Sequence[tuple[str, str, str]]) -> OrderedSeries:
-        """Solve ``out = a * out_prev + b`` for each (a, b, out); ``a = 0`` restarts.
-
-        A NULL ``b`` with ``a = 0`` gives NULL (before the recurrence starts).
-        """
+    def scan(self, states: Sequence[Recurrence]) -> OrderedSeries:
+        """Add the solution of each recurrence as a column."""
         self.only_home()
-        self.df = _solve(self.df, self.group, "_pos", states)
         if self.split is None:
-            self.df = self.df.drop(*[f"_a_{o}" for _, _, o in states])
+            self.df = _solve(self.df, self.group, states)
             return self
-        ends = self.df.groupBy(*self.group).agg(
-            *[F.max_by(f"_a_{o}", "_pos").alias(f"_ea_{o}") for _, _, o in states],
-            *[F.max_by(F.coalesce(F.col(o), F.lit(0.0)), F.col("_pos")).alias(f"_eb_{o}") for _, _, o in states],
-        )
-        carry = _solve(ends, self.keys, "_chunk", [(f"_ea_{o}", f"_eb_{o}", f"_in_{o}") for _, _, o in states])
-        carry = carry.select(*self.keys, (F.col("_chunk") + 1).alias("_chunk"), *[f"_in_{o}" for _, _, o in states])
-        d = self.df.join(carry, self.group, "left")
-        for _, _, o in states:
-            fixed = F.col(o) + F.col(f"_a_{o}") * F.coalesce(F.col(f"_in_{o}"), F.lit(0.0))
-            d = d.withColumn(o, F.when(F.col(f"_a_{o}") == 0, F.col(o)).otherwise(fixed))
-        self.df = d.drop(*[f"_a_{o}" for _, _, o in states], *[f"_in_{o}" for _, _, o in states])
+        n = self.split.rows
+        if any(r.first >= n for r in states):
+            raise ValueError("split.rows must exceed the seed position, so that seeds lie in the first chunk")
+        # Value a chunk would end with if it started from zero, and what its start adds:
+        # plain aggregates, so the rows are not scanned a second time.
+        last = (F.col("_chunk") + 1) * n - 1
+        ends = self.df.groupBy(*self.group).agg(*[
+            F.sum(F.coalesce(F.when(F.col("_pos") >= r.first, F.col(r.b)), F.lit(0.0)) * F.pow(F.lit(r.decay), last - F.col("_pos"))).alias(f"_end_{r.out}")
+            for r in states])
+        carry = _carry(ends, self.keys, n, states)
+        d = _solve(self.df, self.group, states).join(carry, self.group, "left")
+        for r in states:
+            reach = F.pow(F.lit(r.decay), F.col("_pos") - F.col("_chunk") * n + 1)
+            d = d.withColumn(r.out, F.col(r.out) + F.when(F.col("_chunk") * n > r.first, reach * F.coalesce(f"_in_{r.out}", F.lit(0.0))).otherwise(0.0))
+        self.df = d.drop(*[f"_in_{r.out}" for r in states])
         return self
 
     def done(self, *keep: str) -> DataFrame:
@@ -115,29 +126,62 @@ class OrderedSeries:
         return self.df.drop("_pos", "_home", "_chunk", *keep)
 
 
-def _solve(df: DataFrame, group: Sequence[str], order: str, states: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """Grouped pandas scan; also returns the running product of ``a`` since the group start."""
+def _scan(values: np.ndarray, seed: int | None, decay: float) -> np.ndarray:
+    """``y = decay*y_prev + b`` from zero, or from the value at index ``seed`` (nothing before it)."""
+    out = np.full(len(values), np.nan)
+    start = 0 if seed is None else seed
+    b = values[start:]
+    if not len(b):
+        return out
+    if np.isnan(b).any():
+        y = 0.0
+        for k, v in enumerate(b):
+            y = v if seed is not None and k == 0 else decay * y + v
+            out[start + k] = y
+        return out
+    head = b[0] if seed is not None else 0.0
+    tail = (b[1:] if seed is not None else b) / (1 - decay)
+    y = pd.Series(np.concatenate(([head], tail))).ewm(alpha=1 - decay, adjust=False).mean().to_numpy()
+    out[start:] = y if seed is not None else y[1:]
+    return out
+
+
+def _solve(df: DataFrame, group: Sequence[str], states: Sequence[Recurrence]) -> DataFrame:
+    """Solve the recurrences inside each group, starting from zero or from the seed position."""
     states = list(states)
-    extra = [T.StructField(o, T.DoubleType()) for _, _, o in states]
-    extra += [T.StructField(f"_a_{o}", T.DoubleType()) for _, _, o in states]
-    schema = T.StructType(list(df.schema.fields) + extra)
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(r.out, T.DoubleType()) for r in states])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        for a_col, b_col, out in states:
-            y, prod, ys, prods = 0.0, 1.0, [], []
-            for a, b in zip(pdf[a_col].tolist(), pdf[b_col].tolist()):
-                y = b if a == 0 else a * y + b
-                prod *= a
-                ys.append(y)
-                prods.append(prod)
-            pdf[out] = pd.Series(ys, index=pdf.index, dtype="float64")
-            pdf[f"_a_{out}"] = pd.Series(prods, index=pdf.index, dtype="float64")
+        pdf = pdf.sort_values("_pos", kind="stable")
+        at = int(pdf["_pos"].iloc[0])
+        for r in states:
+            seed = r.first - at if at <= r.first else None
+            pdf[r.out] = _scan(pdf[r.b].to_numpy(dtype="float64"), seed, r.decay)
         return pdf
 
     return df.groupBy(*group).applyInPandas(run, schema)
 
 
+def _carry(ends: DataFrame, keys: Sequence[str], rows: int, states: Sequence[Recurrence]) -> DataFrame:
+    """(keys, chunk, value entering the chunk): one row per chunk, combined in order."""
+    states = list(states)
+    fields = [f for f in ends.schema.fields if f.name in (*keys, "_chunk")]
+    schema = T.StructType(fields + [T.StructField(f"_in_{r.out}", T.DoubleType()) for r in states])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
+        out = pdf[[f.name for f in fields]].copy()
+        for r in states:
+            y, entering = 0.0, []
+            for chunk, end in zip(pdf["_chunk"].tolist(), pdf[f"_end_{r.out}"].tolist()):
+                entering.append(y)
+                y = end + (r.decay ** rows * y if chunk * rows > r.first else 0.0)
+            out[f"_in_{r.out}"] = entering
+        return out
+
+    return ends.groupBy(*keys).applyInPandas(run, schema)
+
+
 def over_rows(df: DataFrame, keys: str | Sequence[str] | None, time: str, build: Builder, before: int,
               seq: str | Sequence[str] | None = None, split: Split | None = None) -> DataFrame:
     """Window columns whose frames reach at most ``before`` rows back."""
