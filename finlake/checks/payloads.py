@@ -229,7 +229,7 @@ def _facts(t):
     concept = F.element_at(F.create_map(*[F.lit(x) for kv in _CONCEPT.items() for x in kv]), (k % 4).cast("int"))
     tax = F.when(c("o_custkey") % 6 == 0, "ifrs-full").otherwise("us-gaap")
     doc = F.struct(F.create_map(tax, F.create_map(concept, F.struct(F.create_map(F.lit("USD"), F.array(fact)).alias("units")))).alias("facts"))
-    return t.orders.select(F.lpad(c("o_custkey").cast("string"), 10, "0").alias("cik"), F.to_json(doc).alias("payload"))
+    return common.spread(t.orders).select(F.lpad(c("o_custkey").cast("string"), 10, "0").alias("cik"), F.to_json(doc).alias("payload"))
 
 
 _FACTS_SQL = """WITH f AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS cik, CASE o_orderkey % 4 WHEN 0 THEN 'revenue' WHEN 1 THEN 'revenue' WHEN 2 THEN 'net_income' ELSE 'total_assets' END AS field,
@@ -300,7 +300,7 @@ def _insider(t):
         F.when(k % 2 == 0, "1").otherwise("false"), "</isOfficer><isDirector>true</isDirector></reportingOwnerRelationship></reportingOwner><nonDerivativeTable>",
         tx("nonDerivativeTransaction", k % 1000, F.concat(F.lit("<value>"), F.lit("12.5"), F.lit("</value>"))), tx("nonDerivativeTransaction", F.lit("1,000"), F.lit("2")), "</nonDerivativeTable>",
         F.when(k % 3 == 0, F.concat(F.lit("<derivativeTable>"), tx("derivativeTransaction", F.lit("7"), F.lit("<footnoteId id=\"F1\"/>")), F.lit("</derivativeTable>"))).otherwise(""), "</ownershipDocument>")
-    d = t.orders.select(k.alias("seq"), F.when(k % 50 == 7, F.lit("<broken")).otherwise(xml).alias("payload"))
+    d = common.spread(t.orders).select(k.alias("seq"), F.when(k % 50 == 7, F.lit("<broken")).otherwise(xml).alias("payload"))
     return sf.insider_from_xml(d, keep=("seq",)).drop("reporter_title", "ownership_type", "is_ten_pct_owner")
 
 
@@ -323,7 +323,7 @@ def _ownership(t):
         "</n1:eventDateRequiresFilingThisStatement>", F.when(k % 4 == 0, "<n1:amendmentNo>2</n1:amendmentNo>").otherwise(""), "</n1:coverPageHeader><n1:coverPageHeaderReportingPersonDetails><n1:reportingPersonName>Fund ",
         c("o_custkey"), "</n1:reportingPersonName><n1:reportingPersonBeneficiallyOwnedNumberOfShares><n1:soleVotingPower>5</n1:soleVotingPower></n1:reportingPersonBeneficiallyOwnedNumberOfShares>", total,
         "</n1:coverPageHeaderReportingPersonDetails><n1:items><n1:item4><n1:amountBeneficiallyOwned>77</n1:amountBeneficiallyOwned><n1:classPercent>4.5%</n1:classPercent></n1:item4></n1:items></n1:formData></n1:edgarSubmission>")
-    d = t.orders.select(k.alias("seq"), F.when(k % 50 == 7, F.lit("<html>no form</html>")).otherwise(xml).alias("payload"))
+    d = common.spread(t.orders).select(k.alias("seq"), F.when(k % 50 == 7, F.lit("<html>no form</html>")).otherwise(xml).alias("payload"))
     return sf.holders_from_xml(d, keep=("seq",)).select("seq", "holder_cik", "holder_name", "shares_held", "class_percent", "sole_voting_power", "event_date", "amendment_number", "is_amendment")
 
 

@@ -392,14 +392,15 @@ class Lake:
         return fil.within_days(self.table("material_events"), self.as_of("material_events"), days, "filed_date", ticker, limit)
 
     def insider_trades(self, ticker: str, days: int = 365, limit: int = 50) -> DataFrame:
-        return fil.within_days(fil.open_market(self.table("insider_trades")), self.as_of("sec_filings"), days, "filed_date", ticker, limit)
+        return fil.within_days(
+            fil.open_market(self.table("insider_trades")), self.as_of("insider_trades"), days, "filed_date", ticker, limit, "report_date")
 
     def insider_monthly(self, ticker: str | None = None) -> DataFrame:
         d = self.table("insider_trades")
         return fil.insider_monthly(d if ticker is None else d.filter(F.col("ticker") == ticker))
 
     def notable_buys(self, limit: int = 20) -> DataFrame:
-        return fil.notable_buys(self.table("insider_trades"), self.as_of("sec_filings"), limit=limit)
+        return fil.notable_buys(self.table("insider_trades"), self.as_of("insider_trades"), limit=limit)
 
     def holders(self, ticker: str, limit: int = 20) -> DataFrame:
         return fil.latest_holders(self.table("institutional_holders"), ticker, limit)

@@ -22,12 +22,12 @@ def filings_of_family(filings: DataFrame, family: str, form: str = "form_type")
 
 
 def within_days(df: DataFrame, as_of: Column, days: int, day: str = "filed_date", ticker: str | None = None,
-                limit: int | None = None) -> DataFrame:
-    """Rows of the last ``days`` (of a ticker), newest first."""
+                limit: int | None = None, newest_by: str | None = None) -> DataFrame:
+    """Rows of the last ``days`` (of a ticker); with a limit the newest ones."""
     d = df.filter((F.col(day) >= F.date_sub(as_of, days)) & (F.col(day) <= as_of))
     if ticker is not None:
         d = d.filter(F.col("ticker") == ticker)
-    return d.orderBy(F.desc(day)).limit(limit) if limit else d
+    return d.orderBy(F.desc(newest_by or day)).limit(limit) if limit else d
 
 
 def open_market(insider: DataFrame, derivative: bool = False) -> DataFrame:

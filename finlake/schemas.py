@@ -98,7 +98,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str, str | None]] = {
     "financials": (("ticker", "period_end", "fiscal_period"), "ingested_at", "period_end"),
     "sec_filings": (("ticker", "filed_date", "form_type", "accession_number"), "ingested_at", "filed_date"),
     "material_events": (("ticker", "filed_date", "item_code", "accession_number"), "ingested_at", "filed_date"),
-    "insider_trades": (("ticker", "report_date", "reporter_name", "transaction_code", "shares"), "ingested_at", "report_date"),
+    "insider_trades": (("ticker", "report_date", "reporter_name", "transaction_code", "shares"), "ingested_at", "filed_date"),
     "institutional_holders": (("ticker", "filed_date", "holder_name", "accession_number"), "ingested_at", "filed_date"),
     "commodities_ohlcv": (("ticker", "date"), "ingested_at", "date"),
     "commodities_ohlcv_15m": (("ticker", "timestamp"), "ingested_at", "timestamp"),

@@ -13,8 +13,8 @@ from tests.conftest import rows
 def lake(spark, tmp_path_factory):
     lk = Lake(spark, str(tmp_path_factory.mktemp("lake")))
     days = spark.range(800).select(F.date_add(F.lit("2022-01-03").cast("date"), F.col("id").cast("int")).alias("day"), F.col("id").alias("i"))
-    names = spark.createDataFrame([("SPY", 1.0), ("AAA", 2.0), ("BBB", 3.0)], "ticker string, k double")
-    b = days.join(names).select(
+    names = F.array(*[F.struct(F.lit(t).alias("ticker"), F.lit(k).alias("k")) for t, k in (("SPY", 1.0), ("AAA", 2.0), ("BBB", 3.0))])
+    b = days.select("day", "i", F.inline(names)).select(
         "ticker", "day", *[(100 + F.col("k") * (F.col("i") % 17) + F.col("i") * 0.1).alias(c) for c in ("open", "close")],
         (F.lit(200.0) + F.col("i")).alias("high"), F.lit(1.0).alias("low"), (F.col("i") + 1).alias("volume"), F.lit(None).cast("double").alias("vwap"),
         F.lit(1).cast("long").alias("transactions"), F.lit("t").alias("source"), F.lit("2024-01-01").cast("timestamp").alias("ingested_at"))
