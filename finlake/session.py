@@ -8,7 +8,9 @@ coalesces small partitions and splits skewed ones at run time.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,18 +30,45 @@ def build_session(app: str = "finlake", master: str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder for streaming checkpoints and lineage cuts.
+    """Folder of this application for streaming checkpoints, lineage cuts and intermediate tables.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; only a session
-    without one (a local test) falls back to a temporary folder.
+    A cluster names a shared folder in ``spark.checkpoint.dir``.  Only a local session may do
+    without one: it gets a single temporary folder.  The folder goes when the session ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    return root or tempfile.mkdtemp(prefix="finlake-checkpoint-")
+    app = spark.sparkContext.applicationId
+    if app not in _ROOTS:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            shared = tempfile.mkdtemp(prefix="finlake-")
+        _ROOTS[app] = f"{shared.rstrip('/')}/finlake-{app}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(_ROOTS[app])
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return _ROOTS[app]
+
+
+_ROOTS: dict[str, str] = {}
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet into the shared folder and read it back: a lineage cut that survives lost executors."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialise(df: DataFrame) -> DataFrame:
