@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe
+from finlake.llm import bpe, lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -25,6 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op7_line_dedup", r"""
+    WITH line AS (
+      SELECT doc_id, pos, l,
+             translate(regexp_replace(l, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+    often AS (SELECT key, max(doc_id) AS holder FROM line WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    marked AS (SELECT line.*, coalesce(often.holder <> line.doc_id, FALSE) AS gone FROM line LEFT JOIN often USING (key))
+    SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+           sha256(coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op10_byte_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
