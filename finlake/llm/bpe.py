@@ -1,9 +1,7 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Encoding.  Each block of documents (see ``common``) splits its texts with the pre-token pattern and explodes them into
-distinct words and positions.  Only the distinct words of the block travel to the shards of the word space; a shard
-encodes each distinct word of the corpus that it holds once, however many blocks ask for it, and sends the ids back.
-They are joined to the block's positions and put together again in their order.
+Encoding.  Texts are exploded into pre-tokens and positions, each distinct pre-token of the corpus is encoded once, and
+the ids are joined back and put together in the order of the positions (see ``words``).
 
 Decoding joins ids with the token-byte table, which has a row for each id of the vocabulary and so a proven bound; every
 task looks the bytes up in it.
@@ -17,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm import common
+from finlake.llm import common, words
 
 
 @functools.lru_cache(maxsize=2)
@@ -58,81 +55,21 @@ def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table), np.uint8), common.spans(lengths)[:-1], lengths
 
 
-def _words(texts: list[str | None], pattern: str, n_shards: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words in the order of their first use, the shard of each, all positions as word numbers, words of each text."""
-    find, number = splitter(pattern).findall, {}
-    at, counts = [], np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            found = find(text)
-            counts[k] = len(found)
-            at.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.uint32, len(found)))
-    words = list(number)
-    shard = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_shards for w in words), np.uint32, len(words))
-    return words, shard, np.concatenate(at) if at else np.zeros(0, np.uint32), counts
-
-
-def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 24 << 20) -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens long, ids binary): the ids of each text as little-endian unsigned 32-bit integers.
 
     ``docs`` is read twice and has to give the same rows in the same order, as a stored table does.
     """
-    docs = docs.select(id_col, text_col)
-    n_shards, kind = common.shards(docs, text_col, shard_bytes), common.id_type(docs, id_col)
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, texts in common.blocks(batches):
-            words, shard, _, _ = _words(texts, pattern, n_shards)
-            order = np.argsort(shard, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                if len(part):
-                    yield pa.record_batch({"shard": pa.array([shard[part[0]]], pa.int32()), "block": pa.array([name]), "n": pa.array([len(part)], pa.int32()),
-                                           "words": pa.array([common.pack_words([words[i] for i in part])], pa.binary())})
-
-    def answered(table: pa.Table) -> pa.Table:
-        known: dict[str, list[int]] = {}
-        one = encoder(rank_path, pattern).encode_ordinary
-        lens, ids = [], []
-        for n, data in zip(table.column("n").to_pylist(), table.column("words").to_pylist()):
-            found = []
-            for w in common.unpack_words(data, n):
-                if (x := known.get(w)) is None:
-                    known[w] = x = one(w)
-                found.append(x)
-            lens.append(common.pack_ints(np.fromiter(map(len, found), np.uint32, n)))
-            ids.append(common.pack_ints(np.fromiter((i for x in found for i in x), np.uint32)))
-        return pa.table({"block": table.column("block"), "shard": table.column("shard"), "lens": pa.array(lens, pa.binary()), "ids": pa.array(ids, pa.binary())})
-
-    def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, ids, texts in common.blocks(batches):
-            _, shard, at, counts = _words(texts, pattern, n_shards)
-            yield pa.record_batch({"block": pa.array([name]), "doc": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                                   "counts": pa.array([common.pack_ints(counts)], pa.binary()), "shard": pa.array([common.pack_ints(shard)], pa.binary()),
-                                   "at": pa.array([common.pack_ints(at)], pa.binary())})
-
-    def joined(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = [pa.table({"doc": pa.array([], left.schema.field("doc").type.value_type), "n": pa.array([], pa.int64()), "ids": pa.array([], pa.binary())})]
-        answers = {s: (le, i) for s, le, i in zip(right.column("shard").to_pylist(), right.column("lens").to_pylist(), right.column("ids").to_pylist())}
-        for row in range(left.num_rows):
-            doc = left.column("doc").combine_chunks().slice(row, 1).flatten()
-            counts, shard, at = (common.unpack_ints(left.column(c)[row].as_py(), t) for c, t in (("counts", np.int64), ("shard", np.uint32), ("at", np.uint32)))
-            order = np.argsort(shard, kind="stable")
-            if sorted(answers) != np.unique(shard).tolist():
-                raise RuntimeError("a block has other words than in the first pass: the input changes between reads; store it first")
-            lens = np.zeros(len(shard), np.int64)
-            got = [common.unpack_ints(answers[s][0], np.uint32) for s in sorted(answers)]
-            lens[order] = np.concatenate(got) if got else 0
-            values = np.concatenate([common.unpack_ints(answers[s][1], np.uint32) for s in sorted(answers)]) if got else np.zeros(0, np.uint32)
-            starts = np.zeros(len(shard), np.int64)
-            starts[order] = common.spans(lens[order])[:-1]
-            n = common.per_run(lens[at], counts)
-            parts.append(pa.table({"doc": doc, "n": pa.array(n), "ids": common.as_binary(common.gather(values, starts, lens, at), n, 4)}))
-        return pa.concat_tables(parts).rename_columns([id_col, "n_tokens", "ids"])
-
-    words = docs.mapInArrow(asked, "shard int, block string, n int, words binary")
-    found = words.groupBy("shard").applyInArrow(answered, "block string, shard int, lens binary, ids binary")
-    at = docs.mapInArrow(positions, f"block string, doc array<{kind}>, counts binary, shard binary, at binary")
-    return at.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(joined, f"{id_col} {kind}, n_tokens bigint, ids binary")
+    def find(text: str) -> list[str]:
+        return splitter(pattern).findall(text)
+
+    def each(found: list[str]) -> list[list[int]]:
+        return [*map(encoder(rank_path, pattern).encode_ordinary, found)]
+
+    def shape(doc: pa.Array, n: np.ndarray, ids: np.ndarray) -> pa.Table:
+        return pa.table([doc, pa.array(n), common.as_binary(ids, n, 4)], names=[id_col, "n_tokens", "ids"])
+
+    return words.encode_words(docs, find, each, shape, f"{id_col} {common.id_type(docs, id_col)}, n_tokens bigint, ids binary", id_col, text_col)
 
 
 def decode(tokens: DataFrame, rank_path: str, ids_col: str = "ids") -> DataFrame:

@@ -66,6 +66,10 @@ def _name(ids: pa.Array, texts: list[str | None]) -> str:
     return h.hexdigest()
 
 
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def squeeze(data: bytes) -> bytes:
     return zstandard.compress(data, 1)
 

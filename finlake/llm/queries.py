@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, lines
+from finlake.llm import bpe, lines, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query("op7_line_dedup", r"""
     WITH line AS (
       SELECT doc_id, pos, l,
