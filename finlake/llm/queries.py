@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, jaccard, lines, packing
+from finlake.llm import bpe, jaccard, lines, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -51,6 +51,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+#: Rows whose labels op9 keeps for measuring.
+TOXIC_HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 5 = 0"
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"), usable=f"NOT {TOXIC_HELD_OUT}")
+    return toxicity.score(docs, net).select("doc_id", F.expr(f"coalesce({TOXIC_HELD_OUT}, false)").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op10_byte_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
