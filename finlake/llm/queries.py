@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, jaccard, lines, packing, toxicity
+from finlake.llm import bpe, jaccard, langid, lines, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -36,6 +36,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+#: Rows that op5 keeps for measuring.
+LANG_HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 4 = 2"
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = langid.fit(docs.filter(f"NOT {LANG_HELD_OUT}"))
+    return langid.predict(docs.select("doc_id", "text"), filters).select("doc_id", F.expr(f"coalesce({LANG_HELD_OUT}, false)").alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_line_dedup", r"""
     WITH line AS (
       SELECT doc_id, pos, l,
