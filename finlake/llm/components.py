@@ -13,16 +13,17 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating stars: every node tells its larger neighbours the smallest one it knows, then its smaller ones; both
     keep the components and shrink the paths, so few rounds are needed even for long chains.  Each round is a grouping
-    for the smallest neighbour and a join with it, and its links are stored.  Nodes without links have no row.
+    for the smallest neighbour and a join with it for either star, and its links are stored.  Nodes without links have no row.
     """
     edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct())
-    while True:
-        larger = stored(_star(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), True))
-        after = stored(_star(larger.select(F.col("b").alias("a"), F.col("a").alias("b")), False))
-        # settled if nothing moved: then every link joins a node and the smallest of its component
-        if _print(after) == _print(edges):
-            return after.select(F.col("b").alias("node"), F.col("a").alias("component")).union(after.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
-        edges = after
+    seen = _print(edges)
+    while seen[0]:
+        larger = _star(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), True)
+        edges, before = stored(_star(larger.select(F.col("b").alias("a"), F.col("a").alias("b")), False)), seen
+        seen = _print(edges)
+        if seen == before:  # nothing moved: every link joins a node and the smallest of its component
+            break
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
 
 
 def _star(links: DataFrame, to_larger: bool) -> DataFrame:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, jaccard, langid, lines, packing, toxicity
+from finlake.llm import bpe, jaccard, langid, lines, packing, quality, toxicity
+from finlake.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Query, str | None]] = {}
@@ -47,6 +48,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), filters).select("doc_id", F.expr(f"coalesce({LANG_HELD_OUT}, false)").alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stored(quality.statistics(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    trees = quality.fit(measured, table(spark, sf_dir, "labels"))
+    return quality.judge(measured, trees).select("doc_id", *quality.COUNTS, "base_failed", "kept", "score")
+
+
 @query("op7_line_dedup", r"""
     WITH line AS (
       SELECT doc_id, pos, l,
