@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, jaccard, langid, lines, packing, quality, toxicity
+from finlake.llm import ann, bpe, jaccard, langid, lines, packing, quality, toxicity
 from finlake.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op3_nearest_neighbours")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 #: Rows that op5 keeps for measuring.
 LANG_HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 4 = 2"
 
