@@ -10,11 +10,13 @@ each block.  A block is named by its contents, so a task that runs again after a
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +60,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterat
 
 
 def _name(ids: pa.Array, texts: list[str | None]) -> str:
-    h = hashlib.blake2b(digest_size=16)
+    h = xxhash.xxh3_128()
     h.update(repr(ids.to_pylist()).encode())
     for t in texts:
         h.update(b"\0" if t is None else t.encode("utf-8", "surrogatepass"))
@@ -70,6 +72,13 @@ def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
+def numbering() -> defaultdict:
+    """A dict that numbers its keys 0, 1, ... in the order in which they are first asked for."""
+    number: defaultdict = defaultdict()
+    number.default_factory = number.__len__
+    return number
+
+
 def squeeze(data: bytes) -> bytes:
     return zstandard.compress(data, 1)
 

@@ -25,13 +25,13 @@ Shape = Callable[[pa.Array, np.ndarray, np.ndarray], pa.Table]
 
 def _words(texts: list[str | None], find: Find, n_shards: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words in the order of their first use, the shard of each, all positions as word numbers, words of each text."""
-    number: dict[str, int] = {}
+    number = common.numbering()
     at, counts = [], np.zeros(len(texts), np.int64)
     for k, text in enumerate(texts):
         if text:
             found = find(text)
             counts[k] = len(found)
-            at.append(np.fromiter([number.setdefault(w, len(number)) for w in found], np.uint32, len(found)))
+            at.append(np.fromiter(map(number.__getitem__, found), np.uint32, len(found)))
     words = list(number)
     shard = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_shards for w in words), np.uint32, len(words))
     return words, shard, np.concatenate(at) if at else np.zeros(0, np.uint32), counts
@@ -56,8 +56,8 @@ def encode_words(docs: DataFrame, find: Find, encode: Encode, shape: Shape, sche
                                            "words": pa.array([common.pack_words([words[i] for i in part])], pa.binary())})
 
     def answered(table: pa.Table) -> pa.Table:
-        number: dict[str, int] = {}
-        asked_at = [np.fromiter([number.setdefault(w, len(number)) for w in common.unpack_words(data, n)], np.int64, n)
+        number = common.numbering()
+        asked_at = [np.fromiter(map(number.__getitem__, common.unpack_words(data, n)), np.int64, n)
                     for n, data in zip(table.column("n").to_pylist(), table.column("words").to_pylist())]
         ids = encode(list(number))
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
