@@ -66,11 +66,16 @@ def nearest(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.n
         d[~allowed(low, low + len(part)) | (own[low:low + 64, None] == ids)] = np.inf
         for i in range(len(part)):
             have = np.isfinite(d[i])
-            n = min(k, int(have.sum()))
+            n = total = int(have.sum())
             if not n:
                 continue
-            edge = np.partition(d[i], n - 1)[n - 1]
-            near = np.flatnonzero(d[i] <= edge + 1e-9 * (1 + abs(edge) + square.max()))  # all that rounding may have put behind
+            n = min(k, n)
+            while True:  # more if some are rows of one id
+                edge = np.partition(d[i], n - 1)[n - 1]
+                near = np.flatnonzero(d[i] <= edge + 1e-9 * (1 + abs(edge) + square.max()))  # all that rounding may have put behind
+                if n == total or len(np.unique(ids[near])) >= k:
+                    break
+                n = min(4 * n, total)
             exact = np.sqrt(((v[near] - part[i]) ** 2).sum(1))
             best = np.lexsort((ids[near], exact))
             _, first = np.unique(ids[near][best], return_index=True)
@@ -80,7 +85,7 @@ def nearest(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.n
     return tuple(np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(found, (np.int64, np.int64, np.float64)))
 
 
-def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = 6, hashes: int = 6, width: float = 2.0, probes: int = 32,
+def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = 8, hashes: int = 6, width: float = 2.0, probes: int = 32,
            part_rows: int = 20_000, part_queries: int = 5_000, sample_rows: int = 5_000, seed: int = 11) -> DataFrame:
     """(query_id, rank int from 1, id, score double): of each row with ``is_query`` (SQL) the k nearest other rows found."""
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.expr(is_query).alias("asks"))
@@ -92,7 +97,7 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
     spread = np.array([(sample @ a).std() if len(sample) > 1 else 1.0 for a in lines])
     wide = np.where(spread > 0, spread, 1.0) * width
     shift = draw.random((tables, 1, hashes)) * wide[:, None, None]
-    parts = max(1, -(-rows.count() * tables // part_rows))
+    parts = max(1, -(-rows.count() // part_rows))
 
     def cut(v: np.ndarray) -> np.ndarray:
         return np.stack([(v @ lines[t] + shift[t]) / wide[t] for t in range(tables)])  # tables, rows, hashes
@@ -135,7 +140,7 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
         """The part of each row; a hot bucket's row goes to one cut of its own kind and to every cut of the other."""
         df = df.join(hot, ["t", "bucket"], "left").withColumns({"mine": F.expr(f"pmod(xxhash64(id), coalesce({own}, 1))"), "theirs": F.explode(F.expr(f"sequence(0, coalesce({other}, 1) - 1)"))})
         b, q = ("mine", "theirs") if own == "cuts_b" else ("theirs", "mine")
-        return df.select(F.expr(f"pmod(xxhash64(t, bucket, CAST({b} AS BIGINT), CAST({q} AS BIGINT)), {parts})").alias("part"), F.expr(f"xxhash64(t, bucket, CAST({b} AS BIGINT), CAST({q} AS BIGINT))").alias("cell"), "id", "v")
+        return df.select(F.expr(f"t * {parts}L + pmod(xxhash64(t, bucket, CAST({b} AS BIGINT), CAST({q} AS BIGINT)), {parts})").alias("part"), F.expr(f"xxhash64(t, bucket, CAST({b} AS BIGINT), CAST({q} AS BIGINT))").alias("cell"), "id", "v")
 
     def ranked(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
