@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import ann, bpe, jaccard, langid, lines, packing, quality, toxicity
+from finlake.llm import ann, bpe, jaccard, langid, lines, packing, quality, toxicity, warc
 from finlake.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
+@query("op4_warc_chunks", """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder FROM pages)
+    SELECT page_id, strlen(h) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             CAST(1 + ((CAST('0x' || substr(sha1(h), CAST(1 + 10 * (k // 8) AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (k % 8) AS INT)) & 31) AS BIGINT), 1)), '') AS payload_digest,
+           CASE WHEN holder IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN holder IS DISTINCT FROM page_id THEN holder END AS refers_to FROM p""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 #: Rows that op5 keeps for measuring.
 LANG_HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 4 = 2"
 
