@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import ann, bpe, jaccard, langid, lines, packing, quality, toxicity, warc
+from finlake.llm import ann, bpe, jaccard, langid, licenses, lines, packing, quality, toxicity, warc
 from finlake.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op8_license_scan", licenses.oracle("documents", "doc_id"))
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("licenses", F.array_join("licenses", ", "))
+
+
 #: Rows whose labels op9 keeps for measuring.
 TOXIC_HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 5 = 0"
 
