@@ -77,6 +77,7 @@ def decode(tokens: DataFrame, rank_path: str, ids_col: str = "ids") -> DataFrame
 
     An id outside the vocabulary has no row in the token-byte table and raises an error.
     """
+    tokens = tokens.drop("decoded")
     names = tokens.columns
     k = names.index(ids_col)
 

@@ -147,7 +147,8 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", order_b
 
 
 def predict(docs: DataFrame, filters: Filters, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
-    """``docs`` with the predicted language (string) and its score (double, 0 to 1)."""
+    """``docs`` with the predicted language (string) and its score (double, 0 to 1), which replace columns so named."""
+    docs = docs.drop(lang_as, score_as)
     k, names = docs.columns.index(text_col), [*docs.columns, lang_as, score_as]
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 

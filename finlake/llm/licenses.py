@@ -72,6 +72,7 @@ def sentences(text: Column) -> Column:
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with n_sentences (long), sentence_ids (their sequence) and licenses (names, sorted)."""
     known = F.create_map(*[F.lit(x) for k, s in enumerate(SENTENCES) for x in (s, mark(k))])
+    docs = docs.drop("n_sentences", "sentence_ids", "licenses")
     kept = [c for c in docs.columns if c != text_col]
     found = docs.select(F.struct(*kept).alias("row"), sentences(F.col(text_col)).alias("all"))
     found = found.select("row", F.size("all").cast("bigint").alias("n_sentences"), F.array_join(F.filter(F.transform("all", lambda s: known[s]), lambda s: s.isNotNull()), "").alias("ids"))

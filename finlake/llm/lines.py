@@ -99,6 +99,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
     document is not the one with the largest id among them.  The key is the line without blanks at both ends, A-Z in
     lower case.  ``docs`` is read three times and has to give the same rows in the same order, as a stored table does.
     """
+    docs = docs.drop("n_lines", "n_dropped")
     n_shards = common.shards(docs, text_col, shard_bytes)
     index = build(docs, id_col, text_col, min_chars, shard_bytes)
     carried = [c for c in docs.columns if c != text_col]

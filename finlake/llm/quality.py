@@ -70,6 +70,7 @@ def _columns(rows: list[tuple]) -> dict[str, np.ndarray]:
 
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with the five counts (long) and the features of the trees (double)."""
+    docs = docs.drop(*COUNTS, *FEATURES, "score", "base_failed", "kept")
     k = docs.columns.index(text_col)
     kept = [c for c in docs.columns if c != text_col]
     more = [c for c in FEATURES if c not in COUNTS]

@@ -290,7 +290,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text", column: str = "score") -> DataFrame:
-    """``docs`` with a column ``column`` (double, 0 to 1)."""
+    """``docs`` with a column ``column`` (double, 0 to 1), which replaces one so named."""
+    docs = docs.drop(column)
     k, names = docs.columns.index(text_col), [*docs.columns, column]
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
