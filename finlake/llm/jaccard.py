@@ -10,8 +10,9 @@
    have to be shared.  A pair is verified if it shares min(k, k') prefix shingles.
 4. *Stars.*  Entries of a shingle are first compared with one member of its list only, the same for similar lists.
    What links is merged, which settles large groups of near copies in rows instead of pairs.
-5. *The rest.*  Lists whose members are still in several components give the pairs between members of different
-   components.  A link inside a component changes no component, so none is lost that matters.
+5. *The rest.*  A link inside a component changes no component, so from here on only lists whose members are in several
+   components count, and only pairs of different components.  Short lists give these pairs.  A long list would give the
+   square of its length; its members are held against its pivot instead, see ``_by_pivot``.
 6. Verification is exact, over the whole sets.
 
 Shingles are 64-bit hashes; in step 1 only, ``shard`` and 32 more bits stand for one, and shingles that agree there
@@ -187,31 +188,95 @@ def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(alike, "a bigint, b bigint")
 
 
-def link(classes: DataFrame, percent: int, stars: int = 2) -> DataFrame:
-    """(node, component) of the classes that link with another."""
+def _heads(entries: DataFrame, first: str) -> DataFrame:
+    """One member of each list: the first by ``first`` (SQL), then by hash."""
+    member = F.struct(F.expr(first).alias("first"), F.xxhash64("node").alias("hash"), F.col("node").alias("b"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("k").alias("k2"), F.col("component").alias("c2"))
+    return entries.groupBy("token").agg(F.min(member).alias("h")).select("token", "h.b", "h.n2", "h.s2", "h.k2", "h.c2")
+
+
+def _fits(percent: int) -> str:
+    """What two sets need by their sizes n and their numbers s of shingles found elsewhere, which bound the intersection."""
+    return f"100 * least(s, s2) >= {percent} * (n + n2 - least(s, s2))"
+
+
+def _candidates(met: DataFrame, spare: str = "0") -> DataFrame:
+    """Pairs that share enough prefix shingles; ``spare`` (SQL) of them may have been met elsewhere."""
+    shared = met.groupBy(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("k", "k2")).alias("k"), F.first(F.expr(spare)).alias("spare"))
+    return shared.filter("m + spare >= k").select("a", "b")
+
+
+def _by_pivot(entries: DataFrame, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, candidates) among the members of long lists, without going through their pairs.
+
+    The pivot p of a list is a member with the fewest shingles of its own.  For members x, y let S be the symmetric
+    difference with p.  The sets x and y differ by the symmetric difference of their S, so with c = (100 - percent) /
+    (100 + percent) they link if and only if |S(x)| + |S(y)| - 2 |S(x) & S(y)| <= c (|x| + |y|).  Those within that reach of p link with p and
+    are in its component.  A pair of different components so has a member x out of p's reach; then S(x) and S(y) must share
+    more than half of S(y), all but exactly, and prefixes of the S, rare shingles first, must meet.  Shingles that only x has
+    are in S(x) and shared by nobody; those that only p has (u0) are shared by all: both enter the bounds as numbers.
+    """
+    c, head = f"({100 - percent} / {100 + percent})", _heads(entries, "n - s")
+    share = (100 - percent) / (100 + percent)
+    members = entries.join(head.select("token", F.col("b").alias("p")), "token").filter("node <> p").select("p", "node", "component").distinct()
+    own = classes.select("node", "n", "common", "df")
+    pivot = classes.select(F.col("node").alias("p"), F.col("n").alias("n0"), F.col("common").alias("common0"), F.col("df").alias("df0"))
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pydict()
+            out = {"near": [], "probe": [], "index": [], "size": [], "own": [], "own0": []}
+            for n, data, df, n0, data0, df0 in zip(*(rows[x] for x in ("n", "common", "df", "n0", "common0", "df0"))):
+                mine, base = np.frombuffer(data, np.int64), np.frombuffer(data0, np.int64)
+                token = np.concatenate([mine, base])
+                often = np.concatenate([common.unpack_ints(df, np.uint64), common.unpack_ints(df0, np.uint64)])
+                token, first, times = np.unique(token, return_index=True, return_counts=True)
+                token, often = token[times == 1], often[first[times == 1]]
+                token = token[np.lexsort((token, often))]
+                u, u0, size = n - len(mine), n0 - len(base), len(token)
+                near = (100 + percent) * (size + u + u0) <= (100 - percent) * (n + n0)
+                # S(x) of a member out of reach shares at least so much with any other; S(y) with any out of reach
+                least_x = (size + u - share * (n + n0)) / 2
+                least_y = (size + u - u0 + share * (n0 - n)) / 2
+                cut = lambda least: token[:max(0, size - max(1, int(np.ceil(least - 1e-9))) + 1)].tolist()  # noqa: E731, B023
+                out["near"].append(near)
+                out["probe"].append([] if near else cut(least_x))
+                out["index"].append(cut(least_y))
+                out["size"].append(size)
+                out["own"].append(u)
+                out["own0"].append(u0)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("p", "node", "component", "n")), pa.array(out["near"], pa.bool_()), *(pa.array(out[x], pa.list_(pa.int64())) for x in ("probe", "index")), *(pa.array(out[x], pa.int64()) for x in ("size", "own", "own0"))],
+                                             names=["p", "node", "component", "n", "near", "probe", "index", "size", "own", "own0"])
+
+    schema = "p bigint, node bigint, component bigint, n bigint, near boolean, probe array<bigint>, index array<bigint>, size bigint, own bigint, own0 bigint"
+    diff = stored(members.join(own, "node").join(pivot, "p").select("p", "node", "component", "n", "common", "df", "n0", "common0", "df0").mapInArrow(differ, schema))
+    far = diff.filter("NOT near").select("p", "node", "component", "n", "size", "own", "own0", F.explode("probe").alias("token"))
+    near = diff.select("p", F.col("node").alias("b"), F.col("component").alias("c2"), F.col("n").alias("n2"), F.col("size").alias("size2"), F.col("own").alias("own2"), F.explode("index").alias("token"))
+    # shared shingles of S, besides those that only p has, that the pair needs; it cannot have more than the smaller S
+    needs = f"(size + own + size2 + own2 - {c} * (n + n2)) / 2 - 1e-9 <= least(size, size2)"
+    pairs = far.join(near, ["p", "token"]).filter(f"component <> c2 AND {needs}").select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    return diff.filter("near").select(F.col("p").alias("a"), F.col("node").alias("b")), pairs
+
+
+def link(classes: DataFrame, percent: int, long_list: int = 64) -> DataFrame:
+    """(node, component) of the classes that link with another; lists of more than ``long_list`` members go by pivots."""
+    counted = classes.select("node", F.expr("length(common) DIV 8").alias("s"))
     entries = prefixes(classes, percent)
     lists = entries.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1").select("token")
-    entries = stored(entries.join(lists, "token").withColumn("component", F.col("node")))
-    links = None
-    fits = f"100 * least(n, n2) >= {percent} * greatest(n, n2)"
-    for turn in range(stars + 1):
-        if turn:  # lists within one component have nothing left to say
-            known = components(links)
-            entries = entries.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            mixed = entries.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
-            entries = stored(entries.join(mixed, "token", "left_semi"))
-        if turn < stars:
-            head = entries.groupBy("token").agg(F.min(F.struct(F.xxhash64("component", F.lit(turn)), F.xxhash64("node", F.lit(turn)), F.col("node").alias("b"), F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("component").alias("c2"))).alias("h")).select("token", "h.b", "h.n2", "h.k2", "h.c2")
-            met = entries.join(head, "token").filter("component <> c2")
-        else:
-            size = entries.groupBy("token", "component").agg(F.count("*").alias("m"))
-            largest = size.groupBy("token").agg(F.max_by("component", F.struct("m", "component")).alias("largest"))
-            small = entries.join(largest, "token").filter("component <> largest").select("token", "largest", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("k").alias("k2"), F.col("component").alias("c2"))
-            met = entries.join(small, "token").filter("component <> c2 AND (component = largest OR node < b)")
-        shared = met.filter(fits).groupBy(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("k", "k2")).alias("k"))
-        found = stored(verified(shared.filter("m >= k"), classes, percent))
-        links = found if links is None else links.union(found)
-    return components(links)
+    entries = stored(entries.join(lists, "token").join(counted, "node").withColumn("component", F.col("node")))
+    star = entries.join(_heads(entries, "n - s"), "token").filter(f"node <> b AND {_fits(percent)}")
+    links = stored(verified(_candidates(star), classes, percent))
+    known = components(links)
+    entries = entries.drop("component").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = entries.groupBy("token").agg(F.count("*").alias("m"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token", "m")
+    entries = stored(entries.join(mixed, "token"))
+    long = entries.filter(f"m > {long_list}").drop("m")
+    spare = long.groupBy("node").agg(F.count("*").alias("spare"))
+    short = entries.filter(f"m <= {long_list}").drop("m").join(spare, "node", "left").fillna(0, ["spare"])
+    other = short.select("token", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("k").alias("k2"), F.col("component").alias("c2"), F.col("spare").alias("spare2"))
+    met = short.join(other, "token").filter(f"node < b AND component <> c2 AND {_fits(percent)}")
+    near, pairs = _by_pivot(long, classes, percent)
+    found = stored(verified(_candidates(met, "least(spare, spare2)").union(pairs).distinct(), classes, percent))
+    return components(links.union(near).union(found))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
