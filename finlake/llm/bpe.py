@@ -60,8 +60,8 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
 
     ``docs`` is read twice and has to give the same rows in the same order, as a stored table does.
     """
-    def find(text: str) -> list[str]:
-        return splitter(pattern).findall(text)
+    def find(texts: pa.Array) -> pa.ListArray:
+        return pa.array(map(splitter(pattern).findall, texts.to_pylist()), pa.list_(pa.string()))
 
     def each(found: list[str]) -> list[list[int]]:
         return [*map(encoder(rank_path, pattern).encode_ordinary, found)]

@@ -10,7 +10,6 @@ each block.  A block is named by its contents, so a task that runs again after a
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,47 +35,52 @@ def shards(docs: DataFrame, text_col: str, bytes_each: int) -> int:
     return max(least, -(-text_bytes(docs, text_col) // bytes_each))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterator[tuple[str, pa.Array, list[str | None]]]:
+def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterator[tuple[str, pa.Array, pa.Array]]:
     """(block name, ids, texts) from batches of (id, text) in the order of the rows."""
-    ids: list[pa.Array] = []
-    texts: list[str | None] = []
-    held = 0
+    held: list[pa.RecordBatch] = []
+    full = 0
     for batch in batches:
         at, lengths = 0, np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0))
         ends = np.cumsum(lengths.astype(np.int64) + 16)
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + size - held, side="right")))
-            part = batch.slice(at, to - at)
-            ids.append(part.column(0))
-            texts += part.column(1).to_pylist()
-            held += int(ends[to - 1] - base)
+            to = max(at + 1, int(np.searchsorted(ends, base + size - full, side="right")))
+            held.append(batch.slice(at, to - at))
+            full += int(ends[to - 1] - base)
             at = to
-            if held >= size * 0.9:
-                yield _name(whole := pa.concat_arrays(ids), texts), whole, texts
-                ids, texts, held = [], [], 0
-    if ids:
-        yield _name(whole := pa.concat_arrays(ids), texts), whole, texts
+            if full >= size * 0.9:
+                yield _block(held)
+                held, full = [], 0
+    if held:
+        yield _block(held)
 
 
-def _name(ids: pa.Array, texts: list[str | None]) -> str:
+def _block(held: list[pa.RecordBatch]) -> tuple[str, pa.Array, pa.Array]:
+    ids, texts = (pa.concat_arrays([b.column(k) for b in held]) for k in (0, 1))
     h = xxhash.xxh3_128()
     h.update(repr(ids.to_pylist()).encode())
-    for t in texts:
-        h.update(b"\0" if t is None else t.encode("utf-8", "surrogatepass"))
-        h.update(b"\1")
-    return h.hexdigest()
+    lengths, data = runs(texts.fill_null(""))
+    h.update(np.where(texts.is_null().to_numpy(zero_copy_only=False), -1, lengths).tobytes())
+    h.update(data)
+    return h.hexdigest(), ids, texts
 
 
-def digest(data: bytes) -> bytes:
-    return hashlib.blake2b(data, digest_size=16).digest()
+def runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Length in bytes of each text (none null), and all bytes."""
+    if not len(texts):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    return np.diff(at), (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))[at[0]:at[-1]]
+
 
+def from_runs(lengths: np.ndarray, data: bytes) -> pa.Array:
+    """Texts from their lengths in bytes and all bytes."""
+    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(spans(lengths).astype(np.int32).tobytes()), pa.py_buffer(data))
 
-def numbering() -> defaultdict:
-    """A dict that numbers its keys 0, 1, ... in the order in which they are first asked for."""
-    number: defaultdict = defaultdict()
-    number.default_factory = number.__len__
-    return number
+
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 def squeeze(data: bytes) -> bytes:

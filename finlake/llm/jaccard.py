@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +43,14 @@ from finlake.session import stored
 MOST_MATCHES, VERIFY_COST = 8, 4.0
 
 
-def shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's distinct shingles, ascending, one text after the other, and their number."""
-    number: dict[bytes, int] = {}
-    at, counts = [], np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        counts[k] = len(found)
-        at += [number.setdefault(w, len(number)) for w in found]
-    word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in number), np.uint64, len(number))[np.array(at, np.int64)] if at else np.zeros(0, np.uint64)
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    coded, of = found.flatten().dictionary_encode(), pc.list_parent_indices(found).to_numpy()
+    word = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    at = coded.indices.to_numpy()
+    full = common.runs(coded.dictionary)[0][at] > 0  # blanks at the ends give empty words
+    word, counts = word[at[full]], np.bincount(of[full], minlength=len(texts))
     pad = np.concatenate([word, np.zeros(width - 1, np.uint64)])
     starts, out = common.spans(counts)[:-1], np.zeros(len(word), np.uint64)
     with np.errstate(over="ignore"):
@@ -107,14 +107,15 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, ids, texts in common.blocks(batches):
-            yield pa.record_batch({"block": pa.array([name]), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), "texts": pa.array([common.pack_words([t or "" for t in texts])], pa.binary())})
+            lengths, data = common.runs(texts.fill_null(""))
+            yield pa.record_batch({"block": pa.array([name]), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), "lengths": pa.array([common.pack_ints(lengths.astype(np.uint32))], pa.binary()), "texts": pa.array([common.squeeze(data.tobytes())], pa.binary())})
 
     def shared(left: pa.Table, right: pa.Table) -> pa.Table:
         parts = [pa.table([pa.array([], left.schema.field("ids").type.value_type), pa.array([], pa.int64()), *[pa.array([], pa.binary())] * 3], names=["id", "n", "sig", "common", "df"])]
         answers = dict(zip(right.column("shard").to_pylist(), right.column("df").to_pylist()))
         for row in range(left.num_rows):
             ids = left.column("ids").combine_chunks().slice(row, 1).flatten()
-            values, n = shingles(common.unpack_words(left.column("texts")[row].as_py(), len(ids)), width)
+            values, n = shingles(common.from_runs(common.unpack_ints(left.column("lengths")[row].as_py(), np.uint32), common.expand(left.column("texts")[row].as_py())), width)
             keys, at, _ = _distinct(values, n_shards)
             df = np.concatenate([common.unpack_ints(answers[s], np.uint64) for s in sorted(answers)]) if answers else np.zeros(0, np.uint64)
             if len(df) != len(keys):
@@ -138,7 +139,7 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
         return pa.concat_tables(parts)
 
     df = docs.mapInArrow(asked, "shard int, block string, keys binary, counts binary").groupBy("shard").applyInArrow(counted, "block string, shard int, df binary")
-    texts = docs.mapInArrow(held, f"block string, ids array<{kind}>, texts binary")
+    texts = docs.mapInArrow(held, f"block string, ids array<{kind}>, lengths binary, texts binary")
     return texts.groupBy("block").cogroup(df.groupBy("block")).applyInArrow(shared, f"id {kind}, n bigint, sig binary, common binary, df binary")
 
 

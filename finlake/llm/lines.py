@@ -60,7 +60,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_c
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, texts in common.blocks(batches):
-            both, at, counts = _keys(texts, min_chars)
+            both, at, counts = _keys(texts.to_pylist(), min_chars)
             doc = np.repeat(np.arange(len(texts)), counts)[at >= 0]
             pairs = np.unique(at[at >= 0] * len(texts) + doc)
             key, doc = pairs // max(len(texts), 1), pairs % max(len(texts), 1)
@@ -108,7 +108,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, texts in common.blocks(batches):
-            both, _, _ = _keys(texts, min_chars)
+            both, _, _ = _keys(texts.to_pylist(), min_chars)
             for part in _by_shard(both, n_shards):
                 yield pa.record_batch({"shard": pa.array([int(both[part[0], 1] % np.uint64(n_shards))], pa.int32()), "block": pa.array([name]), "hashes": pa.array([both[part].tobytes()], pa.binary())})
 
@@ -129,7 +129,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, rows, texts in common.blocks(batches):
-            yield pa.record_batch({"block": pa.array([name]), "rows": pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), "texts": pa.array([common.pack_words([t or "" for t in texts])], pa.binary())})
+            yield pa.record_batch({"block": pa.array([name]), "rows": pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), "texts": pa.array([common.pack_words([t or "" for t in texts.to_pylist()])], pa.binary())})
 
     def dropped(left: pa.Table, right: pa.Table) -> pa.Table:
         kind = left.schema.field("rows").type.value_type

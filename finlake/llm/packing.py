@@ -1,6 +1,6 @@
 """Packing of token ids into sequences: first-fit decreasing over a tournament tree, in randomised groups.
 
-Texts are encoded word by word (see ``words``), the end id is appended, and each document is cut into pieces of at most
+Texts are encoded word by word (see ``words``; the tokenizer drops white space and never merges across it), the end id is appended, and each document is cut into pieces of at most
 one sequence.  Every piece draws a group at random (seeded by its block's name, so a task that runs again draws the
 same); groups have about ``group_docs`` documents' pieces whatever the input's size, and are packed independently:
 pieces from long to short, each into the first sequence with room, found by descending a tournament tree that holds
@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,17 +32,10 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: Python splits at these, the tokenizer does not.
-NOT_BLANK = re.compile("[\x1c-\x1f]")
 #: A special token stands between words that are encoded in one call.
 BETWEEN, BETWEEN_ID = "<|endoftext|>", 49407
 
 
-def split(text: str) -> list[str]:
-    """Words between white space, which the tokenizer drops and never merges across."""
-    return text.split() if not NOT_BLANK.search(text) else re.findall("[^ \t\n\r]+", text)
-
-
 def encode_all(path: str, found: list[str], at_once: int = 500) -> list[list[int]]:
     """The ids of each word; many words to a call, apart from those that hold a special token's marks."""
     t, out = tokenizer(path), [None] * len(found)
@@ -139,6 +132,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, size: int = 4096
                          "sequence_id": pa.array(sequence + (group << 32)), "offset": pa.array(offset),
                          "ids": pa.array([common.unpack_ints(x, np.uint32).tobytes() for x in table.column("ids").to_pylist()], pa.binary())})
 
-    pieces = words.encode_words(docs, split, functools.partial(encode_all, tokenizer_path), shape, f"group bigint, id {kind}, start bigint, length bigint, doc_tokens bigint, ids binary", id_col, text_col)
+    pieces = words.encode_words(docs, pc.ascii_split_whitespace, functools.partial(encode_all, tokenizer_path), shape, f"group bigint, id {kind}, start bigint, length bigint, doc_tokens bigint, ids binary", id_col, text_col)
     out = pieces.groupBy("group").applyInArrow(packed, f"id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary")
     return out.withColumnRenamed("id", id_col)

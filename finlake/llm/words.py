@@ -7,38 +7,41 @@ ask for it, and sends the ids back.  They are joined to the block's positions an
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm import common
 
-Find = Callable[[str], list[str]]
+#: Lists of each text's words
+Find = Callable[[pa.Array], pa.ListArray]
 Encode = Callable[[list[str]], list[list[int]]]
 #: (rows of the documents, ids of each document, all ids one after the other) -> the rows to return
 Shape = Callable[[pa.Array, np.ndarray, np.ndarray], pa.Table]
 
 
-def _words(texts: list[str | None], find: Find, n_shards: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+#: Random numbers for each byte at each of a word's first places, which spread words over shards.
+PLACES = np.random.default_rng(1).integers(0, 1 << 63, (64, 256), dtype=np.uint64).ravel()
+
+
+def _words(texts: pa.Array, find: Find, n_shards: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words in the order of their first use, the shard of each, all positions as word numbers, words of each text."""
-    number = common.numbering()
-    at, counts = [], np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        if text:
-            found = find(text)
-            counts[k] = len(found)
-            at.append(np.fromiter(map(number.__getitem__, found), np.uint32, len(found)))
-    words = list(number)
-    shard = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % n_shards for w in words), np.uint32, len(words))
-    return words, shard, np.concatenate(at) if at else np.zeros(0, np.uint32), counts
+    found = find(texts.fill_null(""))
+    counts, coded = pc.list_value_length(found).to_numpy().astype(np.int64), found.flatten().dictionary_encode()
+    lengths, data = common.runs(coded.dictionary)
+    start = common.spans(lengths)[:-1]
+    place = np.minimum(np.arange(len(data)) - np.repeat(start, lengths), 63)
+    spread = np.add.reduceat(np.append(PLACES[place * 256 + data], np.uint64(0)), start) if len(start) else np.zeros(0, np.uint64)
+    shard = (np.where(lengths > 0, spread, 0) % np.uint64(n_shards)).astype(np.uint32)
+    return coded.dictionary, shard, coded.indices.to_numpy().astype(np.uint32), counts
 
 
 def encode_words(docs: DataFrame, find: Find, encode: Encode, shape: Shape, schema: str, id_col: str, text_col: str, shard_bytes: int = 24 << 20) -> DataFrame:
-    """``shape`` of the documents' ids.  ``find`` splits a text into words, ``encode`` encodes each of some distinct words.
+    """``shape`` of the documents' ids.  ``find`` splits texts into words, ``encode`` encodes each of some distinct words.
 
     ``docs`` is read twice and has to give the same rows in the same order, as a stored table does.
     """
@@ -50,16 +53,18 @@ def encode_words(docs: DataFrame, find: Find, encode: Encode, shape: Shape, sche
         for name, _, texts in common.blocks(batches):
             words, shard, _, _ = _words(texts, find, n_shards)
             order = np.argsort(shard, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                if len(part):
-                    yield pa.record_batch({"shard": pa.array([shard[part[0]]], pa.int32()), "block": pa.array([name]), "n": pa.array([len(part)], pa.int32()),
-                                           "words": pa.array([common.pack_words([words[i] for i in part])], pa.binary())})
+            words, shard = words.take(pa.array(order)), shard[order]
+            ends = np.append(np.flatnonzero(np.diff(shard)) + 1, len(shard)) if len(shard) else []
+            for low, high in zip([0, *ends[:-1]], ends):
+                lengths, data = common.runs(words.slice(low, high - low))
+                yield pa.record_batch({"shard": pa.array([shard[low]], pa.int32()), "block": pa.array([name]),
+                                       "lengths": pa.array([common.pack_ints(lengths.astype(np.uint32))], pa.binary()), "words": pa.array([common.squeeze(data.tobytes())], pa.binary())})
 
     def answered(table: pa.Table) -> pa.Table:
-        number = common.numbering()
-        asked_at = [np.fromiter(map(number.__getitem__, common.unpack_words(data, n)), np.int64, n)
-                    for n, data in zip(table.column("n").to_pylist(), table.column("words").to_pylist())]
-        ids = encode(list(number))
+        each = [common.from_runs(common.unpack_ints(n, np.uint32), common.expand(data)) for n, data in zip(table.column("lengths").to_pylist(), table.column("words").to_pylist())]
+        coded = pa.concat_arrays(each).dictionary_encode()
+        asked_at = np.split(coded.indices.to_numpy(), np.cumsum([len(x) for x in each])[:-1])
+        ids = encode(coded.dictionary.to_pylist())
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat, starts = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())), common.spans(lengths)[:-1]
         return pa.table({"block": table.column("block"), "shard": table.column("shard"), "lens": pa.array([common.pack_ints(lengths[at].astype(np.uint32)) for at in asked_at], pa.binary()),
@@ -91,6 +96,6 @@ def encode_words(docs: DataFrame, find: Find, encode: Encode, shape: Shape, sche
             parts.append(shape(doc, common.per_run(lens[at], counts), common.gather(values, starts, lens, at)))
         return pa.concat_tables(parts)
 
-    found = docs.mapInArrow(asked, "shard int, block string, n int, words binary").groupBy("shard").applyInArrow(answered, "block string, shard int, lens binary, ids binary")
+    found = docs.mapInArrow(asked, "shard int, block string, lengths binary, words binary").groupBy("shard").applyInArrow(answered, "block string, shard int, lens binary, ids binary")
     at = docs.mapInArrow(positions, f"block string, doc array<{kind}>, counts binary, shard binary, at binary")
     return at.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(joined, schema)
