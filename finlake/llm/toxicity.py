@@ -175,11 +175,12 @@ class Network:
         return g, dgates
 
 
-def _log_odds(item: np.ndarray, doc: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
+def _log_odds(items: Iterator[np.ndarray], label: np.ndarray, size: int) -> np.ndarray:
     """Log-odds of the positive class by the documents that hold each item, 1.5 standard errors nearer to 0."""
-    pair = np.unique(doc * size + item)
-    doc, item = pair // size, pair % size
-    a, b = np.bincount(item[label[doc] == 1], minlength=size), np.bincount(item[label[doc] == 0], minlength=size)
+    held = np.zeros((2, size), np.int64)
+    for k, item in zip(label, items):
+        held[k, np.unique(item)] += 1
+    b, a = held
     odds = np.log((a + 0.5) / ((label == 1).sum() + 1)) - np.log((b + 0.5) / ((label == 0).sum() + 1))
     sure = np.maximum(0, np.abs(odds) - 1.5 * np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)))
     return (np.sign(odds) * np.where(a + b >= 3, sure, 0)).astype(np.float32)
@@ -198,13 +199,13 @@ def train(texts: list[str], label: np.ndarray, steps: int = 240, batch: int = 64
     at = [np.array([number.setdefault(w, len(number)) for w in t.split()], np.int64) for t in texts]
     counts = np.array([len(x) for x in at])
     word, gram, n = features(list(number))
-    at, doc, w = np.concatenate(at), np.repeat(np.arange(len(texts)), counts), net.weights
-    gram_at, dim = common.spans(n)[:-1], w["word"].shape[1]
+    w, gram_at = net.weights, common.spans(n)[:-1]
+    dim = w["word"].shape[1]
     w["word"] *= 0.05
     w["gram"] *= 0.05
-    w["word"][:, 0] = _log_odds(word[at], doc, label, 1 << WORD_BITS) / 3
-    w["gram"][:, 0] = _log_odds(common.gather(gram, gram_at, n, at), np.repeat(doc, n[at]), label, 1 << GRAM_BITS) / 2
-    odds = w["word"][word, 0] + _mean(w["gram"][:, :1], gram, n)[:, 0]
+    w["word"][:, 0] = _log_odds((word[x] for x in at), label, 1 << WORD_BITS) / 3
+    w["gram"][:, 0] = _log_odds((common.gather(gram, gram_at, n, np.unique(x)) for x in at), label, 1 << GRAM_BITS) / 2
+    odds, at = w["word"][word, 0] + _mean(w["gram"][:, :1], gram, n)[:, 0], np.concatenate(at)
     text, start, size = windows(counts, net.width, net.stride)
     top = np.array([odds[at[a:a + m]].max() for a, m in zip(start.tolist(), size.tolist())])
     order = np.lexsort((-top, text))
@@ -216,7 +217,7 @@ def train(texts: list[str], label: np.ndarray, steps: int = 240, batch: int = 64
         if step in (steps // 3, 2 * steps // 3):  # show clean texts' windows that the network now takes for toxic ones
             score = np.zeros(len(text))
             clean = np.flatnonzero(label[text] == 0)
-            gates = net.gates(net.vectors(word, gram, n))
+            gates = net.gates(np.concatenate([net.vectors(word[k:k + 20_000], gram[gram_at[k]:gram_at[k] + int(n[k:k + 20_000].sum())], n[k:k + 20_000]) for k in range(0, len(word), 20_000)]))
             for low in range(0, len(clean), 1024):
                 part = clean[low:low + 1024]
                 score[part] = net.forward(gates, net.take(at, start[part], size[part], len(number)), size[part])
