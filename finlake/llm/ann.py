@@ -89,7 +89,7 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
            part_rows: int = 20_000, part_queries: int = 5_000, sample_rows: int = 5_000, seed: int = 11) -> DataFrame:
     """(query_id, rank int from 1, id, score double): of each row with ``is_query`` (SQL) the k nearest other rows found."""
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.expr(is_query).alias("asks"))
-    length = rows.filter("v IS NOT NULL").agg(F.mode(F.size("v"))).first()[0] or 0
+    length = rows.filter("v IS NOT NULL").agg(F.mode(F.size("v"))).first()[0] or 1
     rows = rows.filter(f"id IS NOT NULL AND size(v) = {length} AND forall(v, x -> x IS NOT NULL AND abs(x) < double('infinity')) AND exists(v, x -> x <> 0)")
     sample = np.array([r.v for r in rows.select("id", "v").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows).collect()], np.float64).reshape(-1, length)
     draw = np.random.default_rng(seed)

@@ -5,6 +5,8 @@ identifiers of known licence sentences; what is left is a short sequence of iden
 the sequence holds the identifiers of one of its rules in their order, other sentences in between allowed.  Everything
 happens in the row of the document: there is no shuffle, and the table of sentences is a fixed one.
 
+A line end ends a sentence, so texts are expected unwrapped.
+
 Defined cases: a null or empty text has no sentences and no licences; repeated rows are scanned row by row; an empty
 table gives an empty table; further columns may have any name.
 """
