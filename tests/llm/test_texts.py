@@ -211,7 +211,7 @@ def test_toxic_words_are_learnt_and_found_deep_in_long_texts(spark):
     docs = h.documents(spark, rows)
     net = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
     got = {x.doc_id: x.score for x in toxicity.score(docs, net).collect()}
-    assert got[900] > max(0.5, got[901]) and got[902] == got[903] == 0
+    assert got[900] > 10 * got[901] and got[902] == got[903] == 0
     assert np.mean([(got[k] >= 0.5) == k % 2 for k in range(240)]) > 0.95
 
 
