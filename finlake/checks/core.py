@@ -130,6 +130,9 @@ add("join02_left_fill", lambda t: joins.left_fill(
     """SELECT c_custkey AS k, c_name, coalesce(n, 0) AS n, coalesce(p, 'none') AS p FROM customer LEFT JOIN
        (SELECT o_custkey, count(*) AS n, max(o_orderpriority) AS p FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON c_custkey = o_custkey""")
 
+add("join03_pair_stats_all", lambda t: rnd(pairs.pair_stats(t.role("sdaily"), "ticker", "day", "close").withColumn("covariance", c("covariance") / 1e6).filter("n > 2"), 5, "covariance", "correlation"),
+    """SELECT x.ticker AS a, y.ticker AS b, count(*) AS n, round(covar_pop(x.close, y.close) / 1e6, 5) AS covariance, round(corr(x.close, y.close), 5) AS correlation
+       FROM sdaily x JOIN sdaily y ON x.day = y.day AND x.ticker < y.ticker GROUP BY 1, 2 HAVING count(*) > 2""")
 _PAIRS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 add("join03_pair_stats", lambda t: rnd(pairs.pair_stats(t.role("odaily"), "ticker", "day", "close", _PAIRS).withColumn("covariance", c("covariance") / 1e9), 6, "covariance", "correlation"),
     """SELECT x.ticker AS a, y.ticker AS b, count(*) AS n, round(covar_pop(x.close, y.close) / 1e9, 6) AS covariance, round(corr(x.close, y.close), 6) AS correlation
@@ -345,6 +348,12 @@ add("ind02_ema_first_seed", lambda t: rnd(ind.ema(_D(t), "ticker", "day", "close
 add("ind02_ema_ticks_split", lambda t: rnd(ind.ema(t.role("ticks"), "ticker", "timestamp", "price", 12, seq="seq", split=TICKS), 4, "ema"),
     ema_sql("ticks", "ticker", "timestamp, seq", "price", 12, "sma", cols="ticker, timestamp, price, size, seq"))
 
+# every seventh price is missing: also some that seed a mean, and some on the edges of chunks
+_HOLES = "CASE WHEN dayofyear(day) % 7 <> 3 THEN close END AS close"
+_HOLES_SQL = "(SELECT ticker, day, close FROM odaily WHERE dayofyear(day) % 7 <> 3) p"
+for _name, _split in (("ind02_ema_nulls", None), ("ind02_ema_nulls_split", Split("90 days", 50))):
+    add(_name, lambda t, s=_split: rnd(ind.ema(_D(t).selectExpr("ticker", "day", _HOLES), "ticker", "day", "close", 5, split=s), 4, "ema"), ema_sql(_HOLES_SQL, "ticker", "day", "close", 5, "sma", cols="ticker, day, close"))
+
 add("ind03_bollinger_ticks_split", lambda t: rnd(ind.bollinger(t.role("ticks").select("ticker", "timestamp", "seq", "price"), "ticker", "timestamp", "price", 50, seq="seq", split=TICKS), 4, "middle", "upper", "lower"),
     """SELECT ticker, timestamp, seq, price, round(m, 4) AS middle, round(m + 2 * s, 4) AS upper, round(m - 2 * s, 4) AS lower FROM (SELECT ticker, timestamp, seq, price, avg(price) OVER w AS m,
        stddev_pop(price) OVER w AS s, count(*) OVER w AS n FROM ticks WINDOW w AS (PARTITION BY ticker ORDER BY timestamp, seq ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)) WHERE n = 50""")

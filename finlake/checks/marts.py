@@ -40,7 +40,7 @@ add("prj04_universe_filter", lambda t: mk.universe_filter(t.role("universe"), ex
 
 add("prj05_search", lambda t: mk.search(t.role("universe"), "1").select("ticker", "name", "rank"),
     """SELECT ticker, name, CASE WHEN ticker = '1' THEN 0 WHEN ticker LIKE '1%' THEN 1 ELSE 2 END AS rank FROM universe
-       WHERE ticker LIKE '1%' OR upper(name) LIKE '%1%' ORDER BY rank, ticker LIMIT 20""")
+       WHERE ticker LIKE '1%' OR upper(name) LIKE '%1%' ORDER BY rank, market_cap DESC NULLS LAST, ticker LIMIT 20""")
 
 add("prj06_statements", lambda t: fun.statements(t.role("financials"), "7", "quarterly", limit=12).select("ticker", "period_end", "fiscal_period", "revenue", "net_income"),
     "SELECT ticker, period_end, fiscal_period, revenue, net_income FROM financials WHERE ticker = '7' AND fiscal_period <> 'FY' ORDER BY period_end DESC, fiscal_period LIMIT 12")
@@ -350,7 +350,9 @@ add("agg26_ratios", lambda t: com.ratios(t.role("futures"), F.date_sub(R.f_asof(
     f"""WITH {_PV.format(since=F_AS_OF + ' - 730')}, r AS (SELECT date, unnest(['Gold/Silver', 'Crude/NatGas', 'Platinum/Gold', 'Corn/Wheat', 'Copper/Gold']) AS name,
         unnest([CASE WHEN si > 0 THEN gc / si END, CASE WHEN ng > 0 THEN cl / ng END, CASE WHEN gc > 0 THEN pl / gc END, CASE WHEN zw > 0 THEN zc / zw END, CASE WHEN gc > 0 THEN hg * 100 / gc END]) AS v FROM p),
         g AS (SELECT name, max(v) FILTER (date = (SELECT max(date) FROM p)) AS now, round(avg(v), 4) AS avg_ratio, round(stddev_pop(v), 4) AS stddev FROM r GROUP BY 1)
-        SELECT name, round(now, 4) AS current_ratio, avg_ratio, stddev, CASE WHEN stddev > 0 THEN round((now - avg_ratio) / stddev, 2) ELSE 0 END AS zscore FROM g WHERE now IS NOT NULL""")
+        SELECT name, CASE name WHEN 'Gold/Silver' THEN 'GC=F' WHEN 'Crude/NatGas' THEN 'CL=F' WHEN 'Platinum/Gold' THEN 'PL=F' WHEN 'Corn/Wheat' THEN 'ZC=F' ELSE 'HG=F' END AS ticker_a,
+          CASE name WHEN 'Gold/Silver' THEN 'SI=F' WHEN 'Crude/NatGas' THEN 'NG=F' WHEN 'Corn/Wheat' THEN 'ZW=F' ELSE 'GC=F' END AS ticker_b,
+          CASE WHEN name IN ('Gold/Silver', 'Crude/NatGas') THEN round(now, 2) ELSE round(now, 4) END AS current_ratio, avg_ratio, stddev, CASE WHEN stddev > 0 THEN round((now - avg_ratio) / stddev, 2) ELSE 0 END AS zscore FROM g WHERE now IS NOT NULL""")
 add("agg27_macro_dashboard", lambda t: macro.macro_dashboard(t.role("monthly"), t.role("monthly"), t.role("monthly"), t.role("yields"), t.role("odaily"), ("5-LOW", "1-URGENT"), day("1996-01-01")),
     """WITH y AS (SELECT date_trunc('month', date) AS m, avg(yield_10_year) AS a, avg(yield_1_year) AS b FROM yields GROUP BY 1),
        k AS (SELECT date_trunc('month', day) AS m, avg(close) FILTER (ticker = '5-LOW') AS a, avg(close) FILTER (ticker = '1-URGENT') AS b FROM odaily GROUP BY 1)
@@ -381,9 +383,10 @@ add("mrt31_import_dependency", lambda t: com.import_dependency(t.role("petro_mon
 
 _AD = """ad AS (SELECT day, count(*) FILTER (close > p) AS advancing, count(*) FILTER (close < p) AS declining, count(*) FILTER (close = p) AS unchanged, count(*) AS total
     FROM (SELECT s.ticker, day, close, lag(close) OVER (PARTITION BY s.ticker ORDER BY day) AS p FROM sdaily s JOIN universe u USING (ticker) WHERE exchange IN ('NYSE', 'NYSE American') AND close > 0) WHERE p IS NOT NULL GROUP BY 1)"""
-_THRUST = f"""WITH RECURSIVE {_AD}, o AS (SELECT *, advancing / (advancing + declining) AS ratio, row_number() OVER (ORDER BY day) AS i FROM ad WHERE advancing + declining > 0),
-    e AS (SELECT i, ratio AS y FROM o WHERE i = 1 UNION ALL SELECT o.i, o.ratio * (2.0::DOUBLE / 11) + e.y * (1 - 2.0::DOUBLE / 11) FROM e JOIN o ON o.i = e.i + 1),
-    f AS (SELECT o.*, y, y < 0.40::DOUBLE AS oversold, y > 0.615::DOUBLE AS thrust FROM o JOIN e USING (i)),
+_THRUST = f"""WITH RECURSIVE {_AD}, n AS (SELECT *, advancing / nullif(advancing + declining, 0) AS ratio, row_number() OVER (ORDER BY day) AS i FROM ad),
+    o AS (SELECT *, row_number() OVER (ORDER BY day) AS k FROM n WHERE ratio IS NOT NULL),
+    e AS (SELECT k, day, ratio AS y FROM o WHERE k = 1 UNION ALL SELECT o.k, o.day, o.ratio * (2.0::DOUBLE / 11) + e.y * (1 - 2.0::DOUBLE / 11) FROM e JOIN o ON o.k = e.k + 1),
+    f AS (SELECT *, coalesce(y < 0.40::DOUBLE, FALSE) AS oversold, coalesce(y > 0.615::DOUBLE, FALSE) AS thrust FROM (SELECT n.*, last_value(e.y IGNORE NULLS) OVER (ORDER BY n.day) AS y FROM n LEFT JOIN e USING (day))),
     g AS (SELECT *, sum(CAST(oversold AS INTEGER)) OVER w AS seg, max(CASE WHEN oversold THEN i END) OVER w AS oi FROM f WINDOW w AS (ORDER BY i ROWS UNBOUNDED PRECEDING)),
     h AS (SELECT *, i - oi AS d, coalesce(thrust AND i - oi <= 10, FALSE) AS hit FROM g), k AS (SELECT *, coalesce(max(CAST(hit AS INTEGER)) OVER (PARTITION BY seg ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS already FROM h),
     z AS (SELECT *, coalesce(oi IS NOT NULL AND NOT already AND d <= 10, FALSE) AS active FROM k)"""

@@ -85,7 +85,7 @@ _OPT = f"""iv AS (SELECT snapshot_date AS d, avg(implied_vol) AS iv FROM rchain
     rv AS (SELECT iv.d, stddev_pop(r) * sqrt(252) AS v FROM iv JOIN br ON br.day <= iv.d AND br.pd >= iv.d - 35 GROUP BY 1),
     sn AS (SELECT DISTINCT snapshot_date AS d FROM rchain),
     op AS (SELECT sn.d, rank AS iv_rank, rk.iv AS iv_current, slope AS term_structure_slope, skew AS skew_25d, net AS gex_net, CAST(coalesce(sign(round(net, 6)), 0) AS INTEGER) AS gex_sign, r AS put_call_ratio,
-      CASE WHEN rv.v > 0 THEN rk.iv - rv.v END AS vol_risk_premium, pv AS zero_dte_put_volume, cv AS zero_dte_call_volume, pv / nullif(cv, 0) AS zero_dte_pc_ratio
+      CASE WHEN rv.v > 0 THEN rk.iv - rv.v END AS vol_risk_premium, coalesce(pv, 0) AS zero_dte_put_volume, coalesce(cv, 0) AS zero_dte_call_volume, pv / nullif(cv, 0) AS zero_dte_pc_ratio
       FROM sn LEFT JOIN rk USING (d) LEFT JOIN ts USING (d) LEFT JOIN sk USING (d) LEFT JOIN gx USING (d) LEFT JOIN pc USING (d) LEFT JOIN zd USING (d) LEFT JOIN rv USING (d))"""
 _OD = [x for x in fe.OPTIONS if x not in ("gex_sign", "zero_dte_put_volume", "zero_dte_call_volume", "gex_net")]
 

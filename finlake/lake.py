@@ -4,7 +4,7 @@
 (partitioned by ``year``, or by month for trades) and answers every query of the market,
 option, macro, commodity, statement and filing marts as a DataFrame.  Rows are always the
 newest version of their identity key.  Date limits become filters on the partition column
-too, so only the needed folders are read.
+(year or month) too; methods without one read the whole history of their table.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from finlake.operators.dedup import latest_version
 from finlake.operators.pairs import wide
 from finlake.operators.returns import rolling_corr
 from finlake.plans import breadth, commodities as com, filings as fil, fundamentals as fun, macro, market as mk, options as opt
+from finlake.plans.features import storable
 from finlake.schemas import TABLES
 from finlake.sources import sinks
 
@@ -54,8 +55,9 @@ class Lake:
                 b = _date(bound)
                 at = F.to_date(time) if time == "timestamp" else F.col(time)
                 d = d.filter(at >= b if op == "ge" else at <= b)
-                if "year" in d.columns:
-                    d = d.filter(F.col("year") >= F.year(b) if op == "ge" else F.col("year") <= F.year(b))
+                for part, of in (("year", F.year(b)), ("ym", F.date_format(b, "yyyyMM").cast("int"))):
+                    if part in d.columns:
+                        d = d.filter(F.col(part) >= of if op == "ge" else F.col(part) <= of)
         if version in d.columns:
             d = latest_version(d, list(keys), [version])
         return d.drop("year", "ym")
@@ -64,7 +66,7 @@ class Lake:
         """Idempotent load of new rows."""
         keys, version, time = TABLES[name]
         sinks.upsert(self.spark, rows, self.path(name), time, list(keys), [version], grain)
-        self._newest.pop(name, None)
+        self._newest = {k: v for k, v in self._newest.items() if k != name and k[0] != name}
 
     def as_of(self, name: str) -> Column:
         """The fixed report date, or the newest date of a table.
@@ -76,11 +78,19 @@ class Lake:
             return _date(self._as_of)
         if name not in self._newest:
             time, d = TABLES[name][2], self.raw(name)
-            if "year" in d.columns:
-                d = d.filter(F.col("year") == d.select(F.max("year")).scalar())
+            for part in {"year", "ym"} & set(d.columns):
+                d = d.filter(F.col(part) == d.select(F.max(part)).scalar())
             self._newest[name] = d.select(F.max(F.to_date(time))).first()[0]
         return F.lit(self._newest[name])
 
+    def as_of_key(self, name: str, column: str, value: str) -> Column:
+        """The newest date of one key, which may be older than the table's: two columns are read, once."""
+        at = (name, column, value)
+        if at not in self._newest:
+            time = TABLES[name][2]
+            self._newest[at] = self.raw(name).filter(F.col(column) == value).select(F.max(F.to_date(time))).first()[0]
+        return F.lit(self._newest[at]).cast("date")
+
     def since(self, name: str, days: int) -> Column:
         return F.date_sub(self.as_of(name), days)
 
@@ -177,6 +187,21 @@ class Lake:
     def breadth_thrust(self) -> DataFrame:
         return breadth.breadth_thrust(self.daily(), self.universe())
 
+    def store_breadth(self) -> None:
+        """Compute the breadth thrust of all days and store it."""
+        self.load("zbt_breadth", self.breadth_thrust().withColumn("ingested_at", F.current_timestamp()))
+
+    def breadth_status(self, days: int = 15) -> DataFrame:
+        """The last days of the stored breadth table."""
+        return breadth.thrust_status(self.table("zbt_breadth"), days)
+
+    def store_features(self, matrix: DataFrame) -> None:
+        """Store a feature matrix (see ``finlake.plans.features``)."""
+        self.load("algo_feature_matrix", storable(matrix).withColumn("computed_at", F.current_timestamp()))
+
+    def features(self, start=None, end=None) -> DataFrame:
+        return self.table("algo_feature_matrix", start, end)
+
     # ---- universe and corporate actions -------------------------------------------
 
     def universe(self, **filters) -> DataFrame:
@@ -221,9 +246,13 @@ class Lake:
         return self.table("option_chains", start).filter(F.col("underlying") == underlying)
 
     def _snap(self, underlying: str, date=None) -> DataFrame:
-        """Rows of one snapshot; the latest one is looked up inside the newest year."""
-        d = self._chain(underlying)
-        return opt.snapshot(d, underlying, None if date is None else _date(date))
+        """Rows of one snapshot, by default the underlying's own newest; only its partition is read."""
+        day = self.as_of_key("option_chains", "underlying", underlying) if date is None else _date(date)
+        return opt.snapshot(self.table("option_chains", day, day), underlying, day)
+
+    def _lately(self, underlying: str, days: int = 60) -> DataFrame:
+        """The last ``days`` up to the underlying's own newest snapshot."""
+        return self._chain(underlying, F.date_sub(self.as_of_key("option_chains", "underlying", underlying), days))
 
     def option_chain(self, underlying: str, expiration, date=None) -> tuple[DataFrame, DataFrame]:
         return opt.split_chain(self._snap(underlying, date), _date(expiration))
@@ -269,13 +298,13 @@ class Lake:
         return opt.skew_25d(self._chain(underlying, self.since("option_chains", days)))
 
     def unusual_activity(self, underlying: str, min_ratio: float = 3, min_volume: int = 500, limit: int = 30) -> DataFrame:
-        return opt.unusual_activity(self._chain(underlying, self.since("option_chains", 60)), min_ratio, min_volume, limit)
+        return opt.unusual_activity(self._lately(underlying), min_ratio, min_volume, limit)
 
     def volume_over_oi(self, underlying: str, min_volume: int = 500, limit: int = 20) -> DataFrame:
-        return opt.volume_over_oi(self._chain(underlying, self.since("option_chains", 60)), min_volume, limit)
+        return opt.volume_over_oi(self._lately(underlying), min_volume, limit)
 
     def chain_table(self, underlying: str, expiration) -> DataFrame:
-        d = self._chain(underlying, self.since("option_chains", 60))
+        d = self._lately(underlying)
         return opt.chain_table(d).filter(F.col("expiration") == _date(expiration))
 
     def hv_vs_iv(self, underlying: str, days: int = 365) -> DataFrame:
@@ -286,11 +315,12 @@ class Lake:
         return opt.oi_by_strike(self._snap(underlying, date))
 
     def latest_trade_date(self, underlying: str) -> DataFrame:
-        return opt.latest_trade_date(self.table("option_trades"), underlying)
+        day = self.as_of_key("option_trades", "underlying", underlying)
+        return opt.latest_trade_date(self.table("option_trades", day, day), underlying)
 
     def flow_surface(self, underlying: str, date=None) -> DataFrame:
-        d = self.table("option_trades").filter(F.col("underlying") == underlying)
-        return opt.flow_surface(d, None if date is None else _date(date))
+        day = self.as_of_key("option_trades", "underlying", underlying) if date is None else _date(date)
+        return opt.flow_surface(self.table("option_trades", day, day).filter(F.col("underlying") == underlying), day)
 
     # ---- macro and commodities ----------------------------------------------------
 

@@ -25,10 +25,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str
     Both sides are cut into time slots and unioned, so one shuffle on (by, slot) does the
     work and a hot key is spread over its slots.  Only the last right row of a slot can
     matter to later slots; those (one per slot) are copied into the slots within reach.
-    The default slot is as wide as the tolerance; choose a narrow one for tick data.
+    The default slot is as wide as the tolerance, a year at most; choose a narrow one for
+    tick data.
     """
     keys = names(by)
-    width = slot_seconds or max(tolerance_days, 1) * 86400
+    width = slot_seconds or min(max(tolerance_days, 1), 366) * 86400
     copies = math.ceil(tolerance_days * 86400 / width)
     values = [c for c in right.columns if c not in keys]
 

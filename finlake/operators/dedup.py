@@ -32,14 +32,11 @@ def latest_version(df: DataFrame, keys: str | Sequence[str], version: str | Sequ
 def at_group_max(df: DataFrame, keys: str | Sequence[str], time: str) -> DataFrame:
     """All rows whose ``time`` equals the maximum of their group (ties kept).
 
-    The maxima are pre-aggregated map-side.  Rows older than the oldest maximum are cut by
-    a scalar filter that reaches the scan, so with current data only the newest slice is
-    shuffled for the semi join.
+    ``rank = 1`` lets Catalyst cut older rows of a group in each map task before the
+    shuffle (WindowGroupLimit), in one scan.
     """
-    ks = names(keys)
-    newest = df.groupBy(*ks).agg(F.max(time).alias(time))
-    floor = newest.select(F.min(time)).scalar()
-    return df.filter(F.col(time) >= floor).join(newest, ks + [time], "left_semi")
+    r = F.rank().over(W.partitionBy(*names(keys)).orderBy(F.col(time).desc()))
+    return df.filter(F.col(time).isNotNull()).withColumn("_rank", r).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def merge_latest(existing: DataFrame, incoming: DataFrame, keys: str | Sequence[str],

@@ -15,6 +15,12 @@ from finlake.functions.exprs import names, pct_change, pct_of, safe_div
 from finlake.operators.series import OrderedSeries, Recurrence, Split, over_rows
 
 
+def _present(df: DataFrame, price: str) -> DataFrame:
+    """Rows that have a price: a recurrence passes over the others, whether a series is split or not."""
+    d = df.filter(F.col(price).isNotNull())
+    return d.filter(~F.isnan(price)) if dict(df.dtypes)[price] in ("double", "float") else d
+
+
 def _full(w, n: int):
     f = w.rowsBetween(-(n - 1), 0)
     return f, F.count(F.lit(1)).over(f) == n
@@ -51,8 +57,9 @@ def _ema(x: Column, w, n: int, seed: str, start: int = 0) -> tuple[Column, float
 def ema(df: DataFrame, key, time: str, price: str, n: int, seed: str = "sma", seq=None,
         split: Split | None = None, out: str = "ema") -> DataFrame:
     """Exponential mean with factor 2/(n+1), seeded by the mean of the first ``n`` values
-    (``seed='sma'``, output starts there) or by the first value (``seed='first'``)."""
-    s = OrderedSeries(df, key, time, seq, split)
+    (``seed='sma'``, output starts there) or by the first value (``seed='first'``).  Rows
+    without a price are left out and change nothing for the others."""
+    s = OrderedSeries(_present(df, price), key, time, seq, split)
     b, decay, first = _ema(F.col(price).cast("double"), s.window, n, seed)
     s.with_columns(lambda w: {"_b": b}).scan([Recurrence("_b", out, decay, first)])
     return s.done("_b").filter(F.col(out).isNotNull())
@@ -60,7 +67,8 @@ def ema(df: DataFrame, key, time: str, price: str, n: int, seed: str = "sma", se
 
 def rsi(df: DataFrame, key, time: str, price: str, n: int = 14, seq=None, split: Split | None = None,
         out: str = "rsi") -> DataFrame:
-    """Relative strength with Wilder smoothing; with no losses the ratio counts as 100."""
+    """Relative strength with Wilder smoothing; with no losses the ratio counts as 100.
+    Rows without a price are left out."""
     def changes(w):
         d = F.col(price) - F.lag(price).over(w)
         return {"_g": F.when(d > 0, d).otherwise(0.0), "_l": F.when(d < 0, -d).otherwise(0.0)}
@@ -69,7 +77,7 @@ def rsi(df: DataFrame, key, time: str, price: str, n: int = 14, seq=None, split:
         pos = F.col("_pos")
         return {f"{c}b": F.when(pos > n, F.col(c) / n).when(pos == n, F.avg(c).over(w.rowsBetween(-(n - 1), 0))) for c in ("_g", "_l")}
 
-    s = OrderedSeries(df, key, time, seq, split, before=1).with_columns(changes).only_home()
+    s = OrderedSeries(_present(df, price), key, time, seq, split, before=1).with_columns(changes).only_home()
     decay = (n - 1) / n
     s.with_columns(terms).scan([Recurrence("_gb", "_gain", decay, n), Recurrence("_lb", "_loss", decay, n)])
     d = s.done("_g", "_l", "_gb", "_lb").filter(F.col("_gain").isNotNull())
@@ -79,9 +87,10 @@ def rsi(df: DataFrame, key, time: str, price: str, n: int = 14, seq=None, split:
 
 def macd(df: DataFrame, key, time: str, price: str, fast: int = 12, slow: int = 26, signal: int = 9,
          seq=None, split: Split | None = None) -> DataFrame:
-    """Fast minus slow EMA, its signal EMA and the histogram, from the first full signal."""
+    """Fast minus slow EMA, its signal EMA and the histogram, from the first full signal.
+    Rows without a price are left out."""
     x = F.col(price).cast("double")
-    s = OrderedSeries(df, key, time, seq, split)
+    s = OrderedSeries(_present(df, price), key, time, seq, split)
     fb, fd, ff = _ema(x, s.window, fast, "sma")
     sb, sd, sf = _ema(x, s.window, slow, "sma")
     s.with_columns(lambda w: {"_fb": fb, "_sb": sb}).scan([Recurrence("_fb", "_fast", fd, ff), Recurrence("_sb", "_slow", sd, sf)])

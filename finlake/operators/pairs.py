@@ -1,14 +1,8 @@
-"""Statistics of pairs of named series.
-
-The names are a given list, so the pairs are known when the plan is built: the long
-table is pivoted to one row per time and all pairs are aggregated in the same pass.
-No pair rows are ever produced or shuffled.
-"""
+"""Statistics of pairs of series."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,20 +17,19 @@ def wide(df: DataFrame, key: str, time: str, value: str, series: Sequence[str])
                                  for i, s in enumerate(series)])
 
 
-def pair_stats(df: DataFrame, key: str, time: str, value: str, series: Sequence[str]) -> DataFrame:
-    """Common observations, covariance and correlation for each a < b."""
-    series = sorted(series)
-    w = wide(df, key, time, value, series)
-    stats = []
-    for (i, a), (j, b) in combinations(enumerate(series), 2):
-        x, y = F.col(f"s{i}"), F.col(f"s{j}")
-        stats.append(F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"),
-            F.count(F.when(x.isNotNull() & y.isNotNull(), 1)).alias("n"),
-            F.covar_pop(x, y).alias("covariance"), safe_corr(x, y).alias("correlation")))
-    return (w.agg(F.array(*stats).alias("_p")).select(F.explode("_p").alias("_p")).select("_p.*")
-            .filter(F.col("n") > 0))
+def pair_stats(df: DataFrame, key: str, time: str, value: str, series: Sequence[str] | None = None) -> DataFrame:
+    """Common observations, covariance and correlation for each a < b; ``series`` limits the keys.
+
+    The plan is the same for any number of series.  Values meet by time, and the hash
+    aggregate reduces them to one row per pair in the task where they meet, so pair rows
+    are not shuffled; the work is that of the result, times by pairs.
+    """
+    d = df if series is None else df.filter(F.col(key).isin(*series))
+    d = d.filter(F.col(value).isNotNull() & F.col(key).isNotNull() & F.col(time).isNotNull())
+    d = d.groupBy(F.col(time).alias("_t"), F.col(key).alias("a")).agg(F.max(value).alias("_x"))
+    both = d.join(d.select("_t", F.col("a").alias("b"), F.col("_x").alias("_y")), "_t").filter(F.col("a") < F.col("b"))
+    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_x", "_y").alias("covariance"), safe_corr("_x", "_y").alias("correlation"))
 
 
-def corr_matrix(df: DataFrame, key: str, time: str, value: str, series: Sequence[str]) -> DataFrame:
+def corr_matrix(df: DataFrame, key: str, time: str, value: str, series: Sequence[str] | None = None) -> DataFrame:
     return pair_stats(df, key, time, value, series).select("a", "b", "correlation")

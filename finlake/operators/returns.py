@@ -46,11 +46,9 @@ def newest_two(df: DataFrame, key, time: str, value: str, seq: str | None = None
     """
     order = [F.col(time).desc()] + ([F.col(seq).desc()] if seq else [])
     two = top_k_per(df, key, order, 2, rank="_rn")
+    before = F.lead(value).over(W.partitionBy(*names(key)).orderBy("_rn"))
     others = [c for c in df.columns if c not in names(key)]
-    row = F.max(F.when(F.col("_rn") == 1, F.struct(*others)))
-    g = two.groupBy(*names(key)).agg(
-        row.alias("_new"), F.max(F.when(F.col("_rn") == 2, F.col(value))).alias(f"prev_{value}"))
-    return g.select(*names(key), "_new.*", f"prev_{value}")
+    return two.withColumn(f"prev_{value}", before).filter(F.col("_rn") == 1).select(*names(key), *others, f"prev_{value}")
 
 
 def rolling_mean(df: DataFrame, key, time: str, column: str, n: int, include_current: bool = False,

@@ -37,7 +37,10 @@ class Split:
 
 @dataclass(frozen=True)
 class Recurrence:
-    """``out = decay * out_prev + b`` from position ``first``, where ``out`` is ``b`` itself."""
+    """``out = decay * out_prev + b`` from position ``first``, where ``out`` is ``b`` itself.
+
+    ``b`` has a value in every row from ``first`` on; rows without one are left out before numbering.
+    """
 
     b: str
     out: str
@@ -110,7 +113,7 @@ class OrderedSeries:
         # plain aggregates, so the rows are not scanned a second time.
         last = (F.col("_chunk") + 1) * n - 1
         ends = self.df.groupBy(*self.group).agg(*[
-            F.sum(F.coalesce(F.when(F.col("_pos") >= r.first, F.col(r.b)), F.lit(0.0)) * F.pow(F.lit(r.decay), last - F.col("_pos"))).alias(f"_end_{r.out}")
+            F.sum(F.when(F.col("_pos") >= r.first, F.col(r.b)).otherwise(0.0) * F.pow(F.lit(r.decay), last - F.col("_pos"))).alias(f"_end_{r.out}")
             for r in states])
         carry = _carry(ends, self.keys, n, states)
         d = _solve(self.df, self.group, states).join(carry, self.group, "left")
@@ -133,12 +136,6 @@ def _scan(values: np.ndarray, seed: int | None, decay: float) -> np.ndarray:
     b = values[start:]
     if not len(b):
         return out
-    if np.isnan(b).any():
-        y = 0.0
-        for k, v in enumerate(b):
-            y = v if seed is not None and k == 0 else decay * y + v
-            out[start + k] = y
-        return out
     head = b[0] if seed is not None else 0.0
     tail = (b[1:] if seed is not None else b) / (1 - decay)
     y = pd.Series(np.concatenate(([head], tail))).ewm(alpha=1 - decay, adjust=False).mean().to_numpy()

@@ -33,13 +33,13 @@ def thrust_signal(breadth: DataFrame) -> DataFrame:
 
     ``seg`` numbers the stretches that start with an oversold day; a thrust within ten
     rows of the oversold day fires once per stretch.  A day on which nothing moved has no
-    ratio and is left out of the average.
+    ratio: it counts as a day and keeps the average of the day before.
     """
-    b = breadth.filter(F.col("breadth_ratio").isNotNull())
-    d = ema(b, None, "day", "breadth_ratio", EMA_DAYS, seed="first", out="ema_10")
+    average = ema(breadth.select("day", "breadth_ratio"), None, "day", "breadth_ratio", EMA_DAYS, seed="first", out="ema_10").select("day", "ema_10")
     w = W.orderBy("day")
     upto = w.rowsBetween(W.unboundedPreceding, 0)
-    d = d.withColumns({"oversold": F.col("ema_10") < OVERSOLD, "thrust": F.col("ema_10") > THRUST, "_i": F.row_number().over(w)})
+    d = breadth.join(average, "day", "left").withColumn("ema_10", F.last("ema_10", ignorenulls=True).over(upto))
+    d = d.withColumns({"oversold": F.coalesce(F.col("ema_10") < OVERSOLD, F.lit(False)), "thrust": F.coalesce(F.col("ema_10") > THRUST, F.lit(False)), "_i": F.row_number().over(w)})
     d = d.withColumns({"_seg": F.sum(F.col("oversold").cast("int")).over(upto),
                        "_o": F.last(F.when(F.col("oversold"), F.col("_i")), ignorenulls=True).over(upto)})
     d = d.withColumn("_d", F.col("_i") - F.col("_o"))

@@ -82,22 +82,26 @@ def spreads(bars: DataFrame, since: Column) -> DataFrame:
     return g.withColumn("pct_vs_avg", F.round(pct_change("current_value", "avg_value"), 2))
 
 
-RATIOS = {  # name: (numerator, denominator, factor)
-    "Gold/Silver": ("GC=F", "SI=F", 1), "Crude/NatGas": ("CL=F", "NG=F", 1), "Platinum/Gold": ("PL=F", "GC=F", 1),
-    "Corn/Wheat": ("ZC=F", "ZW=F", 1), "Copper/Gold": ("HG=F", "GC=F", 100),
+# Name: (numerator, denominator, factor, digits of the current ratio)
+RATIOS = {
+    "Gold/Silver": ("GC=F", "SI=F", 1, 2), "Crude/NatGas": ("CL=F", "NG=F", 1, 2), "Platinum/Gold": ("PL=F", "GC=F", 1, 4),
+    "Corn/Wheat": ("ZC=F", "ZW=F", 1, 4), "Copper/Gold": ("HG=F", "GC=F", 100, 4),
 }
 
 
-def ratios(bars: DataFrame, since: Column, pairs: dict[str, tuple[str, str, int]] = RATIOS) -> DataFrame:
+def ratios(bars: DataFrame, since: Column, pairs: dict[str, tuple[str, str, int, int]] = RATIOS) -> DataFrame:
     """Price ratios with mean, population deviation and the z-score of the latest value."""
-    symbols = sorted({s for a, b, _ in pairs.values() for s in (a, b)})
+    symbols = sorted({s for a, b, *_ in pairs.values() for s in (a, b)})
     w = _by_symbol(bars, {s: f"s{i}" for i, s in enumerate(symbols)}, since)
     at = {s: F.col(f"s{i}") for i, s in enumerate(symbols)}
-    d = w.select("date", _named({n: F.when(at[b] > 0, safe_div(at[a] * k, at[b])) for n, (a, b, k) in pairs.items()}).alias("v"))
+    d = w.select("date", _named({n: F.when(at[b] > 0, safe_div(at[a] * k, at[b])) for n, (a, b, k, _) in pairs.items()}).alias("v"))
     g = d.select("date", "v.name", "v.value").groupBy("name").agg(
         F.max_by("value", "date").alias("_now"), F.round(F.avg("value"), 4).alias("avg_ratio"), F.round(F.stddev_pop("value"), 4).alias("stddev"))
     z = F.when(F.col("stddev") > 0, F.round(safe_div(F.col("_now") - F.col("avg_ratio"), "stddev"), 2)).otherwise(0.0)
-    return g.filter(F.col("_now").isNotNull()).select("name", F.round("_now", 4).alias("current_ratio"), "avg_ratio", "stddev", z.alias("zscore"))
+    by = lambda k: F.coalesce(*[F.when(F.col("name") == n, k(*v)) for n, v in pairs.items()])
+    now = by(lambda a, b, k, digits: F.round("_now", digits))
+    return g.filter(F.col("_now").isNotNull()).select(
+        "name", by(lambda a, *_: F.lit(a)).alias("ticker_a"), by(lambda a, b, *_: F.lit(b)).alias("ticker_b"), now.alias("current_ratio"), "avg_ratio", "stddev", z.alias("zscore"))
 
 
 def seasonality(bars: DataFrame, as_of: Column, years: int = 10) -> DataFrame:

@@ -66,12 +66,12 @@ def universe_filter(u: DataFrame, sector: str | None = None, exchange: str | Non
 
 
 def search(u: DataFrame, text: str, limit: int = 20) -> DataFrame:
-    """Ticker prefix or name substring; exact ticker first, then prefix, then name."""
+    """Ticker prefix or name substring; exact ticker first, then prefix, then name; large companies first."""
     q = text.upper()
     t, n = F.col("ticker"), F.upper("name")
     rank = F.when(t == q, 0).when(t.startswith(q), 1).otherwise(2)
     d = u.filter(t.startswith(q) | n.contains(q)).withColumn("rank", rank)
-    return d.orderBy("rank", "ticker").limit(limit)
+    return d.orderBy("rank", F.desc_nulls_last("market_cap"), "ticker").limit(limit)
 
 
 def sector_summary(u: DataFrame) -> DataFrame:

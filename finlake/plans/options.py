@@ -251,12 +251,11 @@ def daily_summary(chain: DataFrame) -> DataFrame:
         (F.min_by(level, F.when(curve, d)) - F.max_by(level, F.when(curve, d))).alias("term_structure_slope"),
         safe_div(F.sum("p25"), F.sum("p25_n")).alias("_p25"), safe_div(F.sum("c25"), F.sum("c25_n")).alias("_c25"), F.sum("gex").alias("gex_net"),
         safe_div(F.coalesce(F.sum("put_v"), F.lit(0)), F.sum("call_v")).alias("put_call_ratio"),
-        total(zero, F.col("v_n")).alias("_zero"), F.coalesce(total(zero, F.col("put_v")), F.lit(0)).alias("_zp"), F.coalesce(total(zero, F.col("call_v")), F.lit(0)).alias("_zc"))
-    zero_traded = F.col("_zero") > 0
+        F.coalesce(total(zero, F.col("put_v")), F.lit(0)).alias("_zp"), F.coalesce(total(zero, F.col("call_v")), F.lit(0)).alias("_zc"))
     return g.select(
         "underlying", "snapshot_date", "iv_current", "term_structure_slope", F.when((F.col("_p25") > 0) & (F.col("_c25") > 0), F.col("_p25") - F.col("_c25")).alias("skew_25d"),
-        "gex_net", F.coalesce(F.signum("gex_net").cast("int"), F.lit(0)).alias("gex_sign"), "put_call_ratio", F.when(zero_traded, F.col("_zp")).alias("zero_dte_put_volume"),
-        F.when(zero_traded, F.col("_zc")).alias("zero_dte_call_volume"), F.when(zero_traded, safe_div("_zp", "_zc")).alias("zero_dte_pc_ratio"))
+        "gex_net", F.coalesce(F.signum("gex_net").cast("int"), F.lit(0)).alias("gex_sign"), "put_call_ratio", F.col("_zp").alias("zero_dte_put_volume"),
+        F.col("_zc").alias("zero_dte_call_volume"), safe_div("_zp", "_zc").alias("zero_dte_pc_ratio"))
 
 
 def hv_vs_iv(daily: DataFrame, chain: DataFrame, as_of: Column, days: int = 365) -> DataFrame:

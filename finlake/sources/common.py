@@ -17,16 +17,6 @@ def parse_text(df: DataFrame, column: str, schema: str, keep: tuple[str, ...] =
     return d.select(*keep, "_j.*")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer tasks than the session has cores.
-
-    Parsing documents is CPU-bound, and a few big files would keep most cores idle.  A
-    scan that already has enough tasks is left alone, so nothing is shuffled at scale.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def whole(column: str) -> Column:
     """Integer column of a lenient feed: bad or missing values become 0."""
     return F.coalesce(F.col(column).try_cast("double").try_cast("long"), F.lit(0).cast("long"))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from finlake.operators.dedup import merge_latest
 
 
-def _part(time: str, grain: str) -> tuple[str, Column]:
+def _part(time: str | None, grain: str) -> tuple[str, Column]:
+    if time is None:  # a table of current facts is one partition
+        return "year", F.lit(0)
     if grain == "month":
         return "ym", F.date_format(time, "yyyyMM").cast("int")
     return "year", F.year(time)
@@ -22,24 +24,24 @@ def _arranged(df: DataFrame, part: str, keys: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", F.col(part)).sortWithinPartitions(part, *keys)
 
 
-def append(df: DataFrame, path: str, time: str, keys: Sequence[str], grain: str = "year") -> None:
+def append(df: DataFrame, path: str, time: str | None, keys: Sequence[str], grain: str = "year") -> None:
     """Bulk append; the sort gives tight row-group statistics on the keys."""
     part, expr = _part(time, grain)
     _arranged(df.withColumn(part, expr), part, keys).write.mode("append").partitionBy(part).parquet(path)
 
 
-def upsert(spark: SparkSession, incoming: DataFrame, path: str, time: str, keys: Sequence[str],
+def upsert(spark: SparkSession, incoming: DataFrame, path: str, time: str | None, keys: Sequence[str],
            version: Sequence[str], grain: str = "year") -> None:
     """Load so that loading the same rows again changes nothing.
 
-    Only the partitions the new rows touch are read (dynamic partition pruning) and
-    replaced (dynamic partition overwrite).
+    Only the partitions that the new rows touch are read and replaced: their values, a few
+    years or months, are taken first and become a partition filter.
     """
     part, expr = _part(time, grain)
     new = incoming.withColumn(part, expr)
     if _exists(spark, path):
-        touched = new.select(part).distinct()
-        old = spark.read.schema(new.schema).parquet(path).join(touched, part, "left_semi")
+        touched = [r[0] for r in new.select(part).distinct().collect()]
+        old = spark.read.schema(new.schema).parquet(path).filter(F.col(part).isin(touched))
         new = merge_latest(old.select(*new.columns), new, keys, version)
     else:
         new = merge_latest(new.limit(0), new, keys, version)

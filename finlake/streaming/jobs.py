@@ -52,8 +52,8 @@ def stream_bars(ticks: DataFrame, grain: str, watermark: str = "10 minutes", key
 
 
 def stream_latest(rows: DataFrame, key: str = "ticker", ts: str = "timestamp", value: str = "close") -> DataFrame:
-    """Latest value per key, kept continuously (update or complete mode)."""
-    return rows.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(value, ts).alias(value))
+    """Latest value per key, kept continuously (update or complete mode); of rows with one time the largest value."""
+    return rows.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(value, F.struct(ts, value)).alias(value))
 
 
 def stream_vwap(ticks: DataFrame, window: str = "1 minute", slide: str | None = None, watermark: str = "10 minutes",
@@ -67,9 +67,9 @@ def stream_vwap(ticks: DataFrame, window: str = "1 minute", slide: str | None =
 
 def recent(rows: DataFrame, horizon: str = "1 hour", watermark: str = "10 minutes", key: str = "ticker", ts: str = "timestamp",
            value: str = "close") -> DataFrame:
-    """Rolling last-``horizon`` summary per key; the watermark expires older windows from state."""
+    """Rolling last-``horizon`` summary per key; the watermark expires older windows from state.  Of rows with one time the largest value counts."""
     g = rows.withWatermark(ts, watermark).groupBy(F.window(ts, horizon, "1 minute" if horizon == "1 hour" else horizon), key).agg(
-        F.max_by(value, ts).alias(value), F.count(F.lit(1)).alias("rows"))
+        F.max_by(value, F.struct(ts, value)).alias(value), F.count(F.lit(1)).alias("rows"))
     return g.select(key, F.col("window.start").alias("since"), F.col("window.end").alias("until"), value, "rows")
 
 
@@ -87,7 +87,7 @@ def volume_spikes(rows: DataFrame, factor: float = 3.0, horizon_seconds: int = 3
     Ticks are first summed per key and minute inside each task, so a hot key reaches its
     stateful task as a few rows per partition and minute.  The state of a key holds its
     open minutes and the last hour of closed ones; a minute is judged once the watermark
-    has passed it.
+    has passed it.  A key that stays idle for the horizon loses its state.
     """
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -110,9 +110,13 @@ def volume_spikes(rows: DataFrame, factor: float = 3.0, horizon_seconds: int = 3
             mean = sum(r[1] for r in kept) / len(kept)
             if vol > factor * mean:
                 hits.append((k[0], minute, vol, mean))
-        state.update((json.dumps((opened, kept)),))
-        if opened:
-            state.setTimeoutTimestamp(max(min(int(m) for m in opened) + 60, mark + 1) * 1000)
+        kept = [r for r in kept if r[0] >= mark - horizon_seconds]  # older ones matter to no later minute
+        if not opened and not kept:  # the key has been idle for the horizon
+            state.remove()
+        else:
+            state.update((json.dumps((opened, kept)),))
+            due = min(int(m) for m in opened) + 60 if opened else kept[0][0] + horizon_seconds + 1
+            state.setTimeoutTimestamp(max(due, mark + 1) * 1000)
         yield pd.DataFrame(hits, columns=["key", "minute", "volume", "mean_volume"])
 
     out = minutes.groupBy("key").applyInPandasWithState(

@@ -52,7 +52,8 @@ def test_fires_expires_and_rearms(spark):
     assert [r.signal_fired for r in got] == [w[4] for w in want]
 
 
-def test_day_without_movers_is_left_out(spark):
-    got = thrust_signal(frame(spark, [0.5, None, 0.7])).orderBy("day").collect()
-    assert [r.day.day for r in got] == [1, 3]
+def test_day_without_movers_counts_and_keeps_the_average(spark):
+    got = thrust_signal(frame(spark, [0.3, None, 0.7])).orderBy("day").collect()
+    assert [(r.day.day, r.breadth_ratio, r.days_in_window) for r in got] == [(1, 0.3, 0), (2, None, 0), (3, 0.7, 0)]
+    assert got[0].ema_10 == got[1].ema_10 < got[2].ema_10
     assert thrust_status(thrust_signal(frame(spark, [0.5] * 30))).count() == 15

@@ -22,10 +22,46 @@ def lake(spark, tmp_path_factory):
     fix = b.filter((F.col("ticker") == "AAA") & (F.col("day") == "2022-01-03")).withColumn("close", F.lit(1.5)).withColumn("ingested_at", F.lit("2024-02-01").cast("timestamp"))
     lk.load("ohlcv_daily", fix)
     u = spark.createDataFrame([(t, f"{t} Inc", "2834", "NYSE", 1e12) for t in ("AAA", "BBB", "SPY")], "ticker string, name string, sic_code string, exchange string, market_cap double")
-    u.write.parquet(lk.path("universe"))
+    lk.load("universe", u.withColumn("updated_at", F.lit("2024-01-01").cast("timestamp")))
+    lk.load("universe", u.filter("ticker = 'AAA'").withColumns({"name": F.lit("New Inc"), "updated_at": F.lit("2024-02-01").cast("timestamp")}))
+    chain = spark.range(6).select(
+        F.when(F.col("id") < 3, "SPY").otherwise("OLD").alias("underlying"), F.lit("2024-12-20").cast("date").alias("expiration"), F.lit(100.0).alias("strike"), F.lit("call").alias("put_call"),
+        F.expr("CASE WHEN id < 3 THEN date_add(DATE'2024-03-01', CAST(id AS INT)) ELSE date_add(DATE'2023-05-01', CAST(id AS INT)) END").alias("snapshot_date"), F.col("id").alias("volume"),
+        F.lit(0.2).alias("implied_vol"), F.lit(90.0).alias("underlying_price"), F.lit("2024-01-01").cast("timestamp").alias("ingested_at"))
+    lk.load("option_chains", chain)
+    trades = chain.select("underlying", F.col("snapshot_date").alias("trade_date"), "expiration", "strike", "put_call", F.col("snapshot_date").cast("timestamp").alias("trade_timestamp"), F.col("volume").alias("sequence"),
+                          F.lit(50_000.0).alias("notional"), F.lit("buy").alias("aggressor_side"), "ingested_at")
+    lk.load("option_trades", trades, "month")
     return lk
 
 
+def _filters(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [x.split("], ")[0] for x in plan.split("PartitionFilters: [")[1:]]
+
+
+def test_tables_without_a_date_load_and_take_new_versions(lake):
+    assert sorted(rows(lake.table("universe"), "ticker", "name")) == [("AAA", "New Inc"), ("BBB", "BBB Inc"), ("SPY", "SPY Inc")]
+
+
+def test_snapshots_are_an_underlyings_own_newest_and_read_one_partition(lake):
+    for name, day in (("SPY", dt.date(2024, 3, 3)), ("OLD", dt.date(2023, 5, 6))):
+        snap = lake._snap(name)
+        assert [r.snapshot_date for r in snap.collect()] == [day]
+        assert all(str(day.year) in f for f in _filters(snap)) and _filters(snap)
+        assert [r.latest_date for r in lake.latest_trade_date(name).collect()] == [day]
+        surface = lake.flow_surface(name)
+        assert {r.trade_date for r in surface.collect()} == {day}
+        assert all(f"{day:%Y%m}" in f for f in _filters(surface)) and _filters(surface)
+        assert lake._lately(name).count() == 3
+
+
+def test_stored_breadth_is_served(lake):
+    lake.store_breadth()
+    assert lake.breadth_status(5).count() == 5
+    assert lake.table("zbt_breadth").count() == lake.breadth_thrust().count()
+
+
 def test_newest_version_is_served(lake):
     d = lake.daily("2022-01-03", "2022-01-03")
     assert rows(d.filter("ticker = 'AAA'"), "close") == [(1.5,)]

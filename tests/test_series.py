@@ -44,6 +44,35 @@ def test_split_equals_unsplit(spark, build):
         assert all(close(p, q) if isinstance(p, float) else p == q for p, q in zip(x, y)), (x, y)
 
 
+@pytest.mark.parametrize("build", [
+    lambda d, s: ind.ema(d, "k", "ts", "price", 5, seq="seq", split=s),
+    lambda d, s: ind.ema(d, "k", "ts", "price", 5, "first", seq="seq", split=s),
+    lambda d, s: ind.rsi(d, "k", "ts", "price", 6, seq="seq", split=s),
+    lambda d, s: ind.macd(d, "k", "ts", "price", 3, 6, 4, seq="seq", split=s),
+])
+@pytest.mark.parametrize("holes", [(2,), (24, 25, 26), (30, 49, 50, 74, 75), tuple(range(0, 400, 3))])
+def test_missing_prices_are_passed_over_split_or_not(spark, build, holes):
+    full = series(spark, {"hot": 400, "b": 40})
+    d = full.withColumn("price", F.when(~F.col("seq").isin(*holes), F.col("price")))
+    a, b = rows(build(d, None)), rows(build(d, Split("10 minutes", 25)))
+    want = rows(build(full.filter(~F.col("seq").isin(*holes)), None))
+    assert len(a) == len(b) == len(want) > 0
+    for x, y, z in zip(a, b, want):
+        assert all(close(p, q) and close(p, r) if isinstance(p, float) else p == q == r for p, q, r in zip(x, y, z)), (x, y, z)
+
+
+def test_one_missing_price_costs_one_row(spark):
+    d = spark.createDataFrame([("a", i, None if i == 25 else float(i)) for i in range(100)], "k string, t int, p double")
+    assert ind.ema(d, "k", "t", "p", 5).count() == 95
+
+
+def test_pair_plan_does_not_grow_with_the_series(spark):
+    d = spark.createDataFrame([(f"s{k}", t, float((k * t) % 7)) for k in range(60) for t in range(20)], "k string, t int, v double")
+    size = [len(pair_stats(d, "k", "t", "v", [f"s{k}" for k in range(n)])._jdf.queryExecution().analyzed().toString().split("covar")) for n in (3, 60)]
+    assert size[0] == size[1]
+    assert pair_stats(d, "k", "t", "v").count() == 60 * 59 // 2
+
+
 def test_ema_seeds(spark):
     d = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate([1, 2, 3, 4, 8])], "k string, t int, p double")
     sma = {r.t: r.ema for r in ind.ema(d, "k", "t", "p", 3).collect()}
