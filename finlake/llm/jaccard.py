@@ -39,6 +39,8 @@ from finlake.llm import common, mph
 from finlake.llm.components import components
 from finlake.session import stored
 
+#: Bytes of text in a block; shingles take many times the memory of their text.
+BLOCK_BYTES = 4 << 20
 #: Largest k of a prefix, and the cost of verifying a candidate against that of an entry of a list.
 MOST_MATCHES, VERIFY_COST = 8, 4.0
 
@@ -86,7 +88,7 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
     kind = common.id_type(docs, "id")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, texts in common.blocks(batches):
+        for name, _, texts in common.blocks(batches, BLOCK_BYTES):
             keys, _, counts = _distinct(shingles(texts, width)[0], n_shards)
             shard = keys >> np.uint64(32)
             ends = np.append(np.flatnonzero(np.diff(shard)) + 1, len(keys)) if len(keys) else []
@@ -106,7 +108,7 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
         return pa.table({"block": table.column("block"), "shard": table.column("shard"), "df": pa.array([common.pack_ints(x) for x in np.split(total, ends)], pa.binary())})
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, ids, texts in common.blocks(batches):
+        for name, ids, texts in common.blocks(batches, BLOCK_BYTES):
             lengths, data = common.runs(texts.fill_null(""))
             yield pa.record_batch({"block": pa.array([name]), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), "lengths": pa.array([common.pack_ints(lengths.astype(np.uint32))], pa.binary()), "texts": pa.array([common.squeeze(data.tobytes())], pa.binary())})
 
