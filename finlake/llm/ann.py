@@ -88,9 +88,10 @@ def nearest(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.n
 def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = 8, hashes: int = 6, width: float = 2.0, probes: int = 32,
            part_rows: int = 20_000, part_queries: int = 5_000, sample_rows: int = 5_000, seed: int = 11) -> DataFrame:
     """(query_id, rank int from 1, id, score double): of each row with ``is_query`` (SQL) the k nearest other rows found."""
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.expr(is_query).alias("asks"))
+    kind = "float" if vectors.schema[vector_col].dataType.elementType.simpleString() == "float" else "double"  # floats travel as floats
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"), F.expr(is_query).alias("asks"))
     length = rows.filter("v IS NOT NULL").agg(F.mode(F.size("v"))).first()[0] or 1
-    rows = rows.filter(f"id IS NOT NULL AND size(v) = {length} AND forall(v, x -> x IS NOT NULL AND abs(x) < double('infinity')) AND exists(v, x -> x <> 0)")
+    rows = rows.filter(f"id IS NOT NULL AND size(v) = {length} AND forall(v, x -> x IS NOT NULL AND abs(x) < CAST('infinity' AS DOUBLE)) AND exists(v, x -> x <> 0)")
     sample = np.array([r.v for r in rows.select("id", "v").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows).collect()], np.float64).reshape(-1, length)
     draw = np.random.default_rng(seed)
     lines = draw.standard_normal((tables, length, hashes))
@@ -130,7 +131,7 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
                     take = pa.array(at)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(bucket(np.array(found))), part.column(0).take(take), part.column(1).take(take)], names=["t", "bucket", "id", "v"])
 
-    schema = "t int, bucket bigint, id bigint, v array<double>"
+    schema = f"t int, bucket bigint, id bigint, v array<{kind}>"
     base = rows.select("id", "v").mapInArrow(stored_rows, schema)
     asked = rows.filter("asks").select("id", "v").mapInArrow(probed_rows, schema)
     sizes = base.groupBy("t", "bucket").agg(F.count("*").alias("nb")).join(asked.groupBy("t", "bucket").agg(F.count("*").alias("nq")), ["t", "bucket"], "left").fillna(0)
