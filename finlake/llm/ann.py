@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from finlake.llm import mph
+from finlake.llm import common, mph
 
 
 def perturbations(low: np.ndarray, high: np.ndarray, most: int) -> list[tuple[tuple[int, int], ...]]:
@@ -144,6 +144,7 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
         return df.select(F.expr(f"t * {parts}L + pmod(xxhash64(t, bucket, CAST({b} AS BIGINT), CAST({q} AS BIGINT)), {parts})").alias("part"), F.expr(f"xxhash64(t, bucket, CAST({b} AS BIGINT), CAST({q} AS BIGINT))").alias("cell"), "id", "v")
 
     def ranked(left: pa.Table, right: pa.Table) -> pa.Table:
+        common.trim()
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         own, ids, cells = left.column("id").to_numpy(), right.column("id").to_numpy(), right.column("cell").to_numpy()

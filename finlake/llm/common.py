@@ -9,6 +9,9 @@ each block.  A block is named by its contents, so a task that runs again after a
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -51,8 +54,25 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_BYTES) -> Iterat
             if full >= size * 0.9:
                 yield _block(held)
                 held, full = [], 0
+                trim()
     if held:
         yield _block(held)
+        held = []
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers stay alive, and idle ones should not hold what busy ones need."""
+    pa.default_memory_pool().release_unused()
+    if libc := _libc():
+        libc.malloc_trim(0)
+
+
+@functools.lru_cache(maxsize=1)
+def _libc():
+    found = ctypes.util.find_library("c")
+    libc = ctypes.CDLL(found) if found else None
+    return libc if hasattr(libc, "malloc_trim") else None
 
 
 def _block(held: list[pa.RecordBatch]) -> tuple[str, pa.Array, pa.Array]:

@@ -100,6 +100,7 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
                 low = high
 
     def counted(table: pa.Table) -> pa.Table:
+        common.trim()
         keys = [np.cumsum(common.unpack_ints(x, np.uint32), dtype=np.uint32) for x in table.column("keys").to_pylist()]
         counts = np.concatenate([common.unpack_ints(x, np.uint32) for x in table.column("counts").to_pylist()])
         _, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -113,6 +114,7 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
             yield pa.record_batch({"block": pa.array([name]), "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), "lengths": pa.array([common.pack_ints(lengths.astype(np.uint32))], pa.binary()), "texts": pa.array([common.squeeze(data.tobytes())], pa.binary())})
 
     def shared(left: pa.Table, right: pa.Table) -> pa.Table:
+        common.trim()
         parts = [pa.table([pa.array([], left.schema.field("ids").type.value_type), pa.array([], pa.int64()), *[pa.array([], pa.binary())] * 3], names=["id", "n", "sig", "common", "df"])]
         answers = dict(zip(right.column("shard").to_pylist(), right.column("df").to_pylist()))
         for row in range(left.num_rows):

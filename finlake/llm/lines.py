@@ -72,6 +72,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_c
                                        "counts": pa.array([common.pack_ints(docs_of[part])], pa.binary()), "holders": pa.array([common.pack_ints(held[part])], pa.binary())})
 
     def indexed(table: pa.Table) -> pa.Table:
+        common.trim()
         both = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64).reshape(-1, 2)
         counts, holders = (np.concatenate([common.unpack_ints(x, t) for x in table.column(c).to_pylist()]) for c, t in (("counts", np.uint64), ("holders", np.int64)))
         order = np.lexsort((both[:, 0], both[:, 1]))
@@ -113,6 +114,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
                 yield pa.record_batch({"shard": pa.array([int(both[part[0], 1] % np.uint64(n_shards))], pa.int32()), "block": pa.array([name]), "hashes": pa.array([both[part].tobytes()], pa.binary())})
 
     def probed(questions: pa.Table, index: pa.Table) -> pa.Table:
+        common.trim()
         out = {"block": [], "shard": [], "drop": [], "holders": []}
         if index.num_rows and questions.num_rows:
             sizes, fingerprints = (np.frombuffer(index.column(c)[0].as_py(), t) for c, t in (("sizes", np.int64), ("fingerprints", np.uint64)))
@@ -132,6 +134,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_d
             yield pa.record_batch({"block": pa.array([name]), "rows": pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), "texts": pa.array([common.pack_words([t or "" for t in texts.to_pylist()])], pa.binary())})
 
     def dropped(left: pa.Table, right: pa.Table) -> pa.Table:
+        common.trim()
         kind = left.schema.field("rows").type.value_type
         out, parts = {"n_lines": [], "n_dropped": [], "text": []}, [pa.array([], kind)]
         answers = {s: (np.unpackbits(np.frombuffer(common.expand(d), np.uint8)).astype(bool), np.frombuffer(common.expand(h), np.int64))

@@ -125,6 +125,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, size: int = 4096
                          "ids": pa.array([common.pack_ints(all_ids[a:a + m]) for a, m in zip(at.tolist(), length.tolist())], pa.binary())})
 
     def packed(table: pa.Table) -> pa.Table:
+        common.trim()
         table = table.sort_by([("id", "ascending"), ("start", "ascending"), ("ids", "ascending")])
         sequence, offset = first_fit_decreasing(table.column("length").to_numpy(), size)
         group = table.column("group")[0].as_py() if table.num_rows else 0

@@ -301,6 +301,7 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", column: str = "
             sizes = np.cumsum([16 + len(t or "") for t in batch.column(k).to_pylist()]) // (3 << 20)
             low = 0
             for high in np.append(np.flatnonzero(np.diff(sizes)) + 1, batch.num_rows):
+                common.trim()
                 part = batch.slice(low, int(high) - low)
                 low = int(high)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score_texts(shared.value, part.column(k).to_pylist()), pa.float64())], names=names)

@@ -61,6 +61,7 @@ def encode_words(docs: DataFrame, find: Find, encode: Encode, shape: Shape, sche
                                        "lengths": pa.array([common.pack_ints(lengths.astype(np.uint32))], pa.binary()), "words": pa.array([common.squeeze(data.tobytes())], pa.binary())})
 
     def answered(table: pa.Table) -> pa.Table:
+        common.trim()
         each = [common.from_runs(common.unpack_ints(n, np.uint32), common.expand(data)) for n, data in zip(table.column("lengths").to_pylist(), table.column("words").to_pylist())]
         coded = pa.concat_arrays(each).dictionary_encode()
         asked_at = np.split(coded.indices.to_numpy(), np.cumsum([len(x) for x in each])[:-1])
@@ -78,6 +79,7 @@ def encode_words(docs: DataFrame, find: Find, encode: Encode, shape: Shape, sche
                                    "at": pa.array([common.pack_ints(at)], pa.binary())})
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+        common.trim()
         parts = [shape(pa.array([], left.schema.field("doc").type.value_type), np.zeros(0, np.int64), np.zeros(0, np.uint32))]
         answers = {s: (n, i) for s, n, i in zip(right.column("shard").to_pylist(), right.column("lens").to_pylist(), right.column("ids").to_pylist())}
         for row in range(left.num_rows):
