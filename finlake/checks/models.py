@@ -31,6 +31,12 @@ def calendar(t) -> DataFrame:
     return fe.trading_calendar(t.role("odaily"), "5-LOW")
 
 
+def asked(t) -> tuple[fe.Inputs, DataFrame]:
+    """Inputs, and the calendar of their own daily bars, both written once."""
+    x = inputs(t)
+    return x, materialise(fe.trading_calendar(x.daily, "5-LOW"))
+
+
 R.ORACLE_ROLES["cal"] = "SELECT day AS date FROM odaily WHERE ticker = '5-LOW'"
 R.ORACLE_ROLES["rchain"] = "SELECT * FROM chain WHERE underlying = 'R'"
 add("fea01_calendar", calendar, "SELECT date FROM cal")
@@ -46,7 +52,7 @@ _r8 = lambda cols: ", ".join(f"round({x}, 8) AS {x}" for x in cols)  # noqa: E73
 
 
 def group(name: str, cols: list[str]):
-    return lambda t: rnd(fe.GROUPS[name](inputs(t), calendar(t)).select("date", *cols), 8, *cols)
+    return lambda t: rnd(fe.GROUPS[name](*asked(t)).select("date", *cols), 8, *cols)
 
 
 add("fea02_equity", group("equity", fe.EQUITY), f"WITH {_EQ} SELECT date, {_r8(fe.EQUITY)} FROM eq")
@@ -128,7 +134,7 @@ _STALE = [("NOT known", fe.EQUITY), ("rd IS NULL", ["real_yield_10y", "cp_stress
 
 
 def _staleness(t):
-    d = fe.feature_matrix(inputs(t), calendar(t), ("equity", "macro"))
+    d = fe.feature_matrix(*asked(t), ("equity", "macro"))
     return d.select("date", c("feature_count").cast("long").alias("feature_count"), F.concat_ws(",", F.array_sort("stale_features")).alias("stale"))
 
 
@@ -138,12 +144,32 @@ add("fea07_staleness", _staleness,
 
 
 def _pca(t):
-    d = fe.pca(fe.feature_matrix(inputs(t), calendar(t)))
+    d = fe.pca(fe.feature_matrix(*asked(t)))
     return d.select("date", "feature_count", *[f"pc_{i}" for i in range(1, 11)])
 
 
 add("fea08_pca", _pca)
-add("fea09_score_day", lambda t: fe.score_day(fe.feature_matrix(inputs(t), calendar(t), ("equity", "macro")), calendar(t).select(F.max("date")).scalar()).select("date", "pc_1", "pc_2"))
+
+
+def _invariants(t):
+    """Components have mean 0, do not vary together, and come by falling variance."""
+    d, pcs = _pca(t), [f"pc_{i}" for i in range(1, 11)]
+    pairs = [(a, b) for a in pcs for b in pcs if a < b]
+    flat = d.agg(*[F.avg(p).alias(f"m_{p}") for p in pcs], *[F.var_pop(p).alias(f"v_{p}") for p in pcs], *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs])
+    one = [F.struct(F.lit(i).cast("long").alias("component"), F.abs(F.round(f"m_{p}", 6)).alias("mean"), F.round(F.greatest(*[F.abs(f"c_{a}_{b}") for a, b in pairs if p in (a, b)]), 6).alias("shared"),
+                    (c(f"v_{p}") >= c(f"v_{pcs[i]}") - 1e-9 if i < 10 else F.lit(True)).alias("falling")) for i, p in enumerate(pcs, 1)]
+    return flat.select(F.inline(F.array(*one)))
+
+
+add("fea08_pca_invariants", _invariants, "SELECT i AS component, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS shared, TRUE AS falling FROM range(1, 11) t(i)")
+
+
+def _score(t):
+    x, cal = asked(t)
+    return fe.score_day(fe.feature_matrix(x, cal, ("equity", "macro")), cal.select(F.max("date")).scalar()).select("date", "pc_1", "pc_2")
+
+
+add("fea09_score_day", _score)
 
 
 def _stored(t):

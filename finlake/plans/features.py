@@ -257,15 +257,15 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in META and not c.startswith("pc_")]
 
 
-def pca(df: DataFrame, cols: list[str] | None = None, k: int = 10) -> DataFrame:
+def pca(df: DataFrame, cols: list[str] | None = None, k: int = 10, written: bool = False) -> DataFrame:
     """Add ``pc_1..pc_k``: mean-impute, standardise by population deviation, project.
 
-    The matrix is materialised first: the moments, the covariance inside MLlib and the
+    The matrix is materialised first, unless it is ``written`` already: the moments, the covariance inside MLlib and the
     projection each read it once.  Only a few numbers per column come to the driver.  Each component's sign is fixed so that its
     largest loading is positive.  Components beyond the data's rank limit are NULL.
     """
     cols = cols or feature_columns(df)
-    df = materialise(df)
+    df = df if written else materialise(df)
     stats = df.agg(F.count(F.lit(1)).alias("n"), *[f(F.col(c).cast("double")).alias(f"{t}_{c}")
                    for c in cols for t, f in (("m", F.avg), ("s", F.stddev_pop), ("n", F.count))]).first()
     n = stats["n"]
@@ -301,7 +301,7 @@ def score_day(matrix: DataFrame, day, lookback: int = 252, k: int = 10, min_rows
     today = matrix.filter(F.col("date") == d)
     if hist.select("date").limit(min_rows).count() < min_rows:
         return today.withColumns({f"pc_{i + 1}": F.lit(None).cast("double") for i in range(k)})
-    return pca(hist.unionByName(today, allowMissingColumns=True), cols, k).filter(F.col("date") == d)
+    return pca(hist.unionByName(today, allowMissingColumns=True), cols, k, written=True).filter(F.col("date") == d)
 
 
 def storable(matrix: DataFrame) -> DataFrame:
