@@ -198,7 +198,11 @@ def train(texts: list[str], label: np.ndarray, steps: int = 240, batch: int = 64
         return net
     at = [np.array([number.setdefault(w, len(number)) for w in t.split()], np.int64) for t in texts]
     counts = np.array([len(x) for x in at])
-    word, gram, n = features(list(number))
+    listed = list(number)
+    if not listed:
+        net.constant = 0.0
+        return net
+    word, gram, n = (np.concatenate(x) for x in zip(*[features(listed[k:k + 20_000]) for k in range(0, len(listed), 20_000)]))
     w, gram_at = net.weights, common.spans(n)[:-1]
     dim = w["word"].shape[1]
     w["word"] *= 0.05
@@ -213,6 +217,9 @@ def train(texts: list[str], label: np.ndarray, steps: int = 240, batch: int = 64
     shown = order[place < np.where(label[text[order]] == 1, 1, 2)]
     r, first, second, queue = np.random.default_rng(seed), {}, {}, np.zeros(0, np.int64)
     steps = min(steps, max(60, 12 * len(shown) // batch))
+    del listed, number, order, place, odds
+    common.trim()
+    padding = len(word)
     for step in range(1, steps + 1):
         if step in (steps // 3, 2 * steps // 3):  # show clean texts' windows that the network now takes for toxic ones
             score = np.zeros(len(text))
@@ -220,18 +227,18 @@ def train(texts: list[str], label: np.ndarray, steps: int = 240, batch: int = 64
             gates = net.gates(np.concatenate([net.vectors(word[k:k + 20_000], gram[gram_at[k]:gram_at[k] + int(n[k:k + 20_000].sum())], n[k:k + 20_000]) for k in range(0, len(word), 20_000)]))
             for low in range(0, len(clean), 1024):
                 part = clean[low:low + 1024]
-                score[part] = net.forward(gates, net.take(at, start[part], size[part], len(number)), size[part])
+                score[part] = net.forward(gates, net.take(at, start[part], size[part], padding), size[part])
             hard = clean[np.lexsort((-score[clean], text[clean]))]
             hard = hard[np.arange(len(hard)) - np.searchsorted(text[hard], text[hard]) < 2]
             shown, queue = np.concatenate([shown[label[text[shown]] == 1], hard, hard[score[hard] > 0]]), queue[:0]
         if len(queue) < batch:
             queue = np.concatenate([queue, r.permutation(shown)])
         now, queue = queue[:batch], queue[batch:]
-        taken = net.take(at, start[now], size[now], len(number))
+        taken = net.take(at, start[now], size[now], padding)
         words, local = np.unique(taken, return_inverse=True)
         local = local.reshape(taken.shape)
-        words = words[words < len(number)]  # the padding word is the last
-        local = np.where(taken == len(number), len(words), local)
+        words = words[words < padding]  # the padding word is the last
+        local = np.where(taken == padding, len(words), local)
         grams = common.gather(gram, gram_at, n, words)
         vectors = net.vectors(word[words], grams, n[words])
         logit, kept = net.forward(net.gates(vectors), local, size[now], keep=True)
@@ -286,8 +293,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     found = known.join(short.select("id"), "id").select("id", "label", F.xxhash64("id", F.lit(seed)).alias("order"))
     chosen = [found.filter(f"label = {k}").orderBy("order", "id").limit(sample_docs) for k in (0, 1)]
     ids = chosen[0].union(chosen[1])
-    rows = short.join(F.broadcast(ids), "id").orderBy("order", "id", "text").limit(4 * sample_docs).select("text", "label").collect()  # bounded by sample_docs
-    return train([r.text for r in rows], np.array([r.label for r in rows], np.int64), seed=seed)
+    rows = short.join(F.broadcast(ids), "id").orderBy("order", "id", "text").limit(4 * sample_docs).select("text", "label").toArrow()  # bounded by sample_docs
+    net = train(rows.column("text").to_pylist(), rows.column("label").to_numpy().astype(np.int64), seed=seed)
+    del rows
+    common.trim()
+    return net
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text", column: str = "score") -> DataFrame:
