@@ -15,6 +15,7 @@ class every text scores that class's end of the scale (0 without any label); an
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -285,7 +286,7 @@ def score_texts(net: Network, texts: list[str | None]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", usable: str | None = None, sample_docs: int = 1500, sample_chars: int = 12_000, seed: int = 7) -> Network:
     """Train on at most ``sample_docs`` labelled documents of each class, those with the smallest hash of their id.
 
-    ``usable`` (SQL) says which rows of ``labels`` may be learnt from.  Only ids are compared to choose the sample, whose size is fixed.
+    ``usable`` (SQL) says which rows of ``labels`` may be learnt from.  Only ids are compared to choose the sample, whose size is fixed; it is trained on in a task, and the driver gets the weights.
     """
     known = labels.filter(usable) if usable else labels
     known = known.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
@@ -293,11 +294,16 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     found = known.join(short.select("id"), "id").select("id", "label", F.xxhash64("id", F.lit(seed)).alias("order"))
     chosen = [found.filter(f"label = {k}").orderBy("order", "id").limit(sample_docs) for k in (0, 1)]
     ids = chosen[0].union(chosen[1])
-    rows = short.join(F.broadcast(ids), "id").orderBy("order", "id", "text").limit(4 * sample_docs).select("text", "label").toArrow()  # bounded by sample_docs
-    net = train(rows.column("text").to_pylist(), rows.column("label").to_numpy().astype(np.int64), seed=seed)
-    del rows
-    common.trim()
-    return net
+    rows = short.join(F.broadcast(ids), "id").orderBy("order", "id", "text").limit(4 * sample_docs).select("text", "label")  # bounded by sample_docs
+
+    def learnt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = [(text, label) for b in batches for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        net = train([text for text, _ in sample], np.array([label for _, label in sample], np.int64), seed=seed)
+        common.trim()
+        yield pa.record_batch({"net": pa.array([pickle.dumps(net)], pa.binary())})
+
+    found = rows.mapInArrow(learnt, "net binary").collect()  # the sample is one partition, so one network
+    return pickle.loads(found[0][0]) if found else train([], np.zeros(0, np.int64))
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text", column: str = "score") -> DataFrame:
