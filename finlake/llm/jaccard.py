@@ -5,7 +5,7 @@
 2. *Sets.*  Two documents have in common only shingles found in two documents or more, so the rest need not be kept, and a
    document with too few of them can have no partner at all.  Equal sets become one class, whatever their number.
 3. *Prefixes.*  Shingles are in a global order, rare ones first.  A set of n shingles that needs c = ceil(t n) in common
-   with any partner meets it in its first n - c + k shingles at least k times.  Each class takes the k of the least
+   with any partner meets it in its first n - c + k shingles at least k times, for k up to c.  Each class takes the k of the least
    estimated cost: the entries of its longer prefix to go through, against the candidates left to verify when k of them
    have to be shared.  A pair is verified if it shares min(k, k') prefix shingles.
 4. *Stars.*  Entries of a shingle are first compared with one member of its list only, the same for similar lists.
@@ -148,11 +148,12 @@ def sets(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str,
 
 
 def _choose(n: int, df: np.ndarray, percent: int) -> tuple[int, int]:
-    """(k, length of the prefix within the common shingles) of the least estimated cost."""
-    base = n - -(-n * percent // 100) - (n - len(df))  # shingles found nowhere else come first in the order
+    """(k, length of the prefix within the common shingles) of the least estimated cost; no partner need share more than c."""
+    c = -(-n * percent // 100)
+    base = n - c - (n - len(df))  # shingles found nowhere else come first in the order
     best = (float("inf"), 1, 0)
     entries = np.concatenate([[0.0], np.cumsum(df - 1.0)])
-    for k in range(1, MOST_MATCHES + 1):
+    for k in range(1, max(1, min(MOST_MATCHES, c)) + 1):
         length = min(max(0, base + k), len(df))
         met = entries[length]
         best = min(best, (met + VERIFY_COST * met / k, k, length))

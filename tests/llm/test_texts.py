@@ -110,6 +110,29 @@ def test_similarity_join_of_a_large_group(spark):
     assert 1 < len(set(got.values())) < 150
 
 
+def test_similarity_join_of_short_documents(spark):
+    """Near copies of 5 to 16 words in small lists: a pair shares fewer shingles than the largest k of a prefix."""
+    r, rows = np.random.default_rng(4), [(0, "a b c d e f g"), (1, "a b c d e f g h")]
+    for k in range(120):
+        words = [f"b{k}x{j}" for j in range(5 + k % 12)]
+        for j in range(1 + k % 3):
+            rows.append((10 * (k + 1) + j, " ".join([words, [*words, f"end{k}"], [f"start{k}", *words], words[1:]][r.integers(4)])))
+    got = {x.doc_id: x.component_id for x in jaccard.near_duplicates(h.documents(spark, rows)).collect()}
+    want = h.components([h.shingles(t) for _, t in rows])
+    assert got == {i: rows[k][0] for (i, _), k in zip(rows, want)}
+    assert got[1] == 0
+
+
+@pytest.mark.parametrize("percent", [1, 50, 75, 100])
+def test_no_prefix_asks_for_more_than_a_partner_shares(percent):
+    for n in range(1, 30):
+        c = -(-n * percent // 100)
+        for size in range(c, n + 1):
+            for often in (2.0, 50.0):
+                k, length = jaccard._choose(n, np.full(size, often), percent)
+                assert 1 <= k <= c and length == size - c + k
+
+
 def test_languages(docs):
     f = langid.fit(docs, sample_docs=50)
     got = {(r.doc_id, r.text): (r.lang_pred, r.score) for r in langid.predict(docs, f).collect()}
