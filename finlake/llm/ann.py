@@ -10,12 +10,15 @@ merged by query and ranked by their exact distances.
 A bucket with more than ``part_rows`` vectors (copies of one, say) is cut by a hash of the id, and its probes go to every
 cut; one with more than ``part_queries`` probes is cut likewise, and its vectors go to every cut.  Nothing is capped.
 
+Queries whose buckets hold fewer than ``k`` candidates (outliers, small tables) go on through an exact way: all rows are
+one bucket for them, cut as above, so these queries meet every vector and their neighbours are the true ones.
+
 Slot widths are fitted on at most ``sample_rows`` vectors; every vector is indexed.  Recall depends on the data: on vectors
 without any structure near neighbours are hardly nearer than the rest, and the probes cover much of the table.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, neither as queries nor as candidates; a query's own row (its id) is no candidate, repeated rows of an id count once, with their smallest distance;
-ties go to the smaller id; fewer candidates give fewer rows; an empty table gives none.  Further columns may have any name.
+ties go to the smaller id; only a table of fewer candidates gives fewer rows; an empty table gives none.  Further columns may have any name.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from finlake.llm import common, mph
+from finlake.session import stored
 
 
 def perturbations(low: np.ndarray, high: np.ndarray, most: int) -> list[tuple[tuple[int, int], ...]]:
@@ -158,7 +162,22 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
         n, found, score = nearest(q[first], query, v, ids, lambda low, high: sees[low:high][:, kind], k)
         return pa.table({"query_id": pa.array(query[n]), "id": pa.array(found), "score": pa.array(score)})
 
-    near = dealt(asked, "cuts_q", "cuts_b").groupBy("part").cogroup(dealt(base, "cuts_b", "cuts_q").groupBy("part")).applyInArrow(ranked, "query_id bigint, id bigint, score double")
-    best = near.groupBy("query_id", "id").agg(F.min("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(f"rank <= {k}").select("query_id", "rank", F.col("id").alias(id_col), "score")
+    def best(near: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy("score", "id")
+        return near.groupBy("query_id", "id").agg(F.min("score").alias("score")).withColumn("rank", F.row_number().over(order)).filter(f"rank <= {k}")
+
+    def everywhere(df: DataFrame, mine: int, others: int, by_query: bool) -> DataFrame:
+        """Rows in one cut of their own kind and in every cut of the other; a part is a pair of cuts."""
+        df = df.withColumns({"mine": F.expr(f"pmod(xxhash64(id), {mine}L)"), "theirs": F.explode(F.expr(f"sequence(0L, {others - 1}L)"))})
+        return df.select(F.expr(f"mine * {others}L + theirs" if by_query else f"theirs * {mine}L + mine").alias("part"), F.lit(0).cast("bigint").alias("cell"), F.col("id").alias("id"), F.col("v").alias("v"))  # names of their own: both sides come from one table
+
+    result = "query_id bigint, id bigint, score double"
+    near = dealt(asked, "cuts_q", "cuts_b").groupBy("part").cogroup(dealt(base, "cuts_b", "cuts_q").groupBy("part")).applyInArrow(ranked, result)
+    found = stored(best(near))  # few rows: k for each query
+    full = found.filter(f"rank = {k}").select(F.col("query_id").alias("id"))
+    short = rows.filter("asks").select("id", "v").join(full, "id", "left_anti")
+    if n_short := short.count():
+        blocks = -(-n_short // part_queries)
+        rest = everywhere(short, blocks, parts, True).groupBy("part").cogroup(everywhere(rows.select("id", "v"), parts, blocks, False).groupBy("part")).applyInArrow(ranked, result)
+        found = found.join(full.withColumnRenamed("id", "query_id"), "query_id", "left_semi").unionByName(best(rest))
+    return found.select("query_id", "rank", F.col("id").alias(id_col), "score")

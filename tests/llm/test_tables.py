@@ -77,6 +77,34 @@ def test_fewer_candidates_and_none(spark):
     assert ann.search(two.filter("false"), "vec_id % 100 = 0").count() == 0
 
 
+@pytest.mark.parametrize("n", [5, 9, 11])
+def test_small_tables_give_all_candidates(spark, n):
+    rows = [(k, v.tolist()) for k, v in enumerate(np.random.default_rng(n).standard_normal((n, 64)))]
+    got = {}
+    for r in ann.search(vectors(spark, rows), "vec_id >= 0").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    x = np.array([v for _, v in rows], np.float32).astype(float)
+    assert got == {q: sorted(set(range(n)) - {q}, key=lambda k: ((x[k] - x[q]) ** 2).sum())[:10] for q in range(n)}
+
+
+def test_outliers_have_neighbours(spark):
+    """A tight cluster and scattered vectors of five times its norm, whose buckets hold too few others."""
+    r = np.random.default_rng(8)
+    x = np.concatenate([r.standard_normal(64) / 8 + 0.02 * r.standard_normal((3000, 64)), 5 / 8 * r.standard_normal((60, 64))]).astype(np.float32)
+    found = ann.search(vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)]), "vec_id >= 3000 AND vec_id % 4 = 0 OR vec_id = 7", part_rows=700, part_queries=4)
+    got = {}
+    for row in found.orderBy("query_id", "rank").collect():
+        got.setdefault(row.query_id, []).append(row.vec_id)
+    assert sorted(got) == [7, *range(3000, 3060, 4)] and {len(v) for v in got.values()} == {10}
+    hit = []
+    for q, ids in got.items():
+        d = ((x.astype(float) - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        assert len(set(ids)) == 10 and q not in ids
+        hit.append(len(set(ids) & set(np.argsort(d)[:10].tolist())))
+    assert np.mean(hit[1:]) > 8
+
+
 def test_perturbations_come_in_the_order_of_their_cost():
     low = np.array([0.1, 0.4, 0.7])
     found = ann.perturbations(low, 1 - low, 27)
