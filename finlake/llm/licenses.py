@@ -1,11 +1,13 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, which are normalised (A-Z in lower case, punctuation and blanks as one blank) and mapped to the
-identifiers of known licence sentences; what is left is a short sequence of identifiers.  A licence is recognised if
-the sequence holds the identifiers of one of its rules in their order, other sentences in between allowed.  Everything
-happens in the row of the document: there is no shuffle, and the table of sentences is a fixed one.
+A text is cut into pieces at line ends and at punctuation before a blank, which are normalised (A-Z in lower case, punctuation
+and blanks as one blank, so comment marks and indents vanish).  Known licence sentences are found wherever they begin with a
+piece and end with one, however many pieces they are wrapped or cut into; what is left is a short sequence of their
+identifiers, by first piece, shorter ones first.  A licence is recognised if the sequence holds the identifiers of one of its
+rules in their order, other sentences in between allowed.  Everything happens in the row of the document: there is no
+shuffle, and the table of sentences is a fixed one.
 
-A line end ends a sentence, so texts are expected unwrapped.
+``n_sentences`` counts sentences that end at a line end or at [.;!?] before a blank.
 
 Defined cases: a null or empty text has no sentences and no licences; repeated rows are scanned row by row; an empty
 table gives an empty table; further columns may have any name.
@@ -56,6 +58,9 @@ RULES = [
 ]
 
 END = r"[.;!?]+[\x20\x09-\x0D]+|\n"
+#: Ends of pieces, with the comment words of line starts.
+CUT = r"(?:[.:;!?]+[\x20\x09-\x0D]+|[\x0A-\x0D])(?:[\x20\x09]*(?:dnl|rem|DNL|REM)(?![A-Za-z0-9]))?"
+FIRST_MARK = r"^[\x20\x09]*(?:dnl|rem|DNL|REM)(?![A-Za-z0-9])"
 NOISE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,25 +70,43 @@ def mark(number: int) -> str:
     return f"s{number:03d};"
 
 
-def sentences(text: Column) -> Column:
+def sentences(text: Column, end: str = END) -> Column:
     """Normalised sentences that are not empty."""
-    clean = F.transform(F.split(F.coalesce(text, F.lit("")), END), lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), NOISE, " ")))
+    clean = F.transform(F.split(F.coalesce(text, F.lit("")), end), lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), NOISE, " ")))
     return F.filter(clean, lambda s: s != "")
 
 
+def begins(piece: Column) -> Column:
+    """Whether a known sentence begins with the piece."""
+    words = F.concat(piece, F.lit(" "))
+    return F.substring_index(piece, " ", 1).isin(sorted({s.split()[0] for s in SENTENCES})) & F.exists(F.array(*[F.lit(f"{s} ") for s in SENTENCES]), lambda s: s.startswith(words))
+
+
+def marks(pieces: Column, start: Column) -> Column:
+    """Identifiers of the known sentences that begin with the piece number ``start`` (from 1) and end with a piece."""
+    most = max(len(s.split()) for s in SENTENCES)  # a piece has a word at least, so no sentence has more pieces
+    known = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(mark(k)).alias("mark")) for k, s in sorted(enumerate(SENTENCES), key=lambda x: len(x[1]))])
+    joined = lambda n: F.array_join(F.slice(pieces, start, n), " ")
+    text = F.array(F.concat(F.substring(joined(F.lit(most)), 1, max(map(len, SENTENCES)) + 1), F.lit(" ")))
+    found = F.flatten(F.transform(text, lambda t: F.filter(known, lambda x: t.startswith(F.concat(x["s"], F.lit(" "))))))
+    return F.array_join(F.transform(F.filter(found, lambda x: F.exists(F.sequence(F.lit(1), F.lit(most)), lambda n: joined(n) == x["s"])), lambda x: x["mark"]), "")
+
+
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with n_sentences (long), sentence_ids (their sequence) and licenses (names, sorted)."""
-    known = F.create_map(*[F.lit(x) for k, s in enumerate(SENTENCES) for x in (s, mark(k))])
     docs = docs.drop("n_sentences", "sentence_ids", "licenses")
     kept = [c for c in docs.columns if c != text_col]
-    found = docs.select(F.struct(*kept).alias("row"), sentences(F.col(text_col)).alias("all"))
-    found = found.select("row", F.size("all").cast("bigint").alias("n_sentences"), F.array_join(F.filter(F.transform("all", lambda s: known[s]), lambda s: s.isNotNull()), "").alias("ids"))
+    text = F.col(text_col)
+    found = docs.select(F.struct(*kept).alias("row"), F.size(sentences(text)).cast("bigint").alias("n_sentences"), sentences(F.regexp_replace(text, FIRST_MARK, ""), CUT).alias("all"))
+    starts = F.filter(F.transform("all", lambda s, k: F.when(begins(s), k + 1)), lambda k: k.isNotNull())
+    found = found.select("row", "n_sentences", "all", starts.alias("starts"))
+    found = found.select("row", "n_sentences", F.array_join(F.transform("starts", lambda k: marks(F.col("all"), k)), "").alias("ids"))
     names = F.array(*[F.when(F.col("ids").like("%" + "%".join(map(mark, ids)) + "%"), name) for name, ids in RULES])
     return found.select(*[F.col("row").getField(c).alias(c) for c in kept], "n_sentences", F.col("ids").alias("sentence_ids"), F.array_sort(F.array_distinct(F.filter(names, lambda x: x.isNotNull()))).alias("licenses"))
 
 
 def oracle(table: str, id_col: str) -> str:
-    """The same in DuckDB's SQL, joined by ``, ``."""
+    """The same in DuckDB's SQL, joined by ``, ``, for texts whose known sentences are sentences by ``END`` (not wrapped)."""
     values = ", ".join(f"('{s}', '{mark(k)}')" for k, s in enumerate(SENTENCES))
     tests = ", ".join(f"CASE WHEN ids LIKE '%{'%'.join(map(mark, i))}%' THEN '{name}' END" for name, i in RULES)
     return f"""

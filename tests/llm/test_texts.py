@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -250,6 +251,31 @@ def test_license_rules(spark):
     assert got == {1: ["MIT"], 2: ["BSD-2-Clause", "BSD-3-Clause", "all-rights-reserved"], 3: [], 4: ["Apache-2.0"], 5: [], 6: []}
 
 
+def test_wrapped_licenses(spark):
+    mit = """The MIT License (MIT)
+
+    Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+    apache = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+    Unless required by applicable law"""
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed"
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    texts = [(mit.split("\n\n", 1)[1], "MIT"), (apache, "Apache-2.0"), (gpl, "GPL-2.0-or-later"), (mpl, "MPL-2.0"), (bsd, "BSD-2-Clause"), (licenses.SENTENCES[19], "ISC")]
+    rows, want = [], {}
+    for text, name in texts:
+        for first in ("", " * ", "# ", "// ", "dnl ", "    "):
+            for width in (9, 40, 72, 10_000):
+                lines_ = [x for p in text.split("\n\n") for x in [*textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False), ""]]
+                want[len(rows)] = [name]
+                rows.append((len(rows), "\n".join(["int x;"] * (first != "dnl ") + [first + x for x in lines_] + ["int y;"])))
+    rows += [(1000, "Permission is hereby granted, free of charge, to any person\nobtaining"), (1001, "Licensed under the Apache License, Version 2.0\n(the"), (1002, "all rights\nreserved today"), (1003, "Licensed under\nCC BY 4.0")]
+    want |= {1000: [], 1001: ["Apache-2.0"], 1002: [], 1003: ["CC-BY-4.0"]}
+    assert {r.doc_id: list(r.licenses) for r in licenses.scan(h.documents(spark, rows)).collect()} == want
+
+
 def test_license_scan_is_native_and_without_shuffle(docs):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
