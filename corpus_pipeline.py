@@ -2,7 +2,8 @@
 
 Every stage works on all that its predecessor kept, and all but the last return the columns of the documents.
 
-Defined cases: documents with a null or empty text, or without a letter, are rejected by the first stage.  Rows that
+Defined cases: documents with a null or empty text, without a letter, or with no more known n-grams than by chance in
+any language (score 0: another script, say) are rejected by the first stage.  Rows that
 share an id count as one document from the near-duplicate stage on, which keeps one of them; rows without an id are
 never rejected as copies.  An empty table gives an empty result.
 """
@@ -24,7 +25,7 @@ ORACLE_SQL = None
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told; learns from those of them that op5 learns from."""
     filters = langid.fit(docs.filter(f"NOT {LANG_HELD_OUT}"))
-    return langid.predict(docs, filters, lang_as="_lang", score_as="_score").filter(F.col("_lang") != langid.UNKNOWN).select(*docs.columns)
+    return langid.predict(docs, filters, lang_as="_lang", score_as="_score").filter((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") > 0)).select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

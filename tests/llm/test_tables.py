@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -207,6 +208,12 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert {r.doc_id for r in docs.collect()} == {i for i, _ in pairs["packing"]}
 
 
+def test_pipeline_rejects_texts_in_no_learnt_language(spark):
+    rows = [(k, " ".join(f"{a}{b}{c}" for a in "bdf" for b in "aei" for c in s)) for k, s in enumerate(["nm", "xq"] * 40)]
+    docs = h.documents(spark, [*rows, (100, None), (101, "1 2"), (102, "日本語 の 文書 です")]).withColumn("lang", F.expr("IF(doc_id < 100, lang, NULL)"))
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()) == [k for k, _ in rows]
+
+
 def test_pipeline_on_nothing(spark, tmp_path):
     h.documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
