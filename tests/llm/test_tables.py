@@ -163,15 +163,15 @@ def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op")])
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "labels", "pages"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
