@@ -11,7 +11,7 @@ for each); what remains is filled with documents by rising key, up to the docume
 budget.  That one is cut there, so a source misses its target by less than a word (``cut=False``: it is taken whole if that
 comes nearer).
 
-Scale.  No source is sorted.  Keys fall into slices of about ``slice_rows`` documents by a rising function of the key, the
+Scale.  No source is sorted.  A source of n documents has about sqrt(n) slices of sqrt(n) documents, by a rising function of the key; the
 sizes of the slices are added up first, and only the one slice of each source in which the budget ends is put in order; slices
 before it are taken whole, those behind it not at all.  Per-source figures are joined by broadcast only if their number is small, else by salted keys.
 
@@ -64,7 +64,7 @@ def _per_source(rows: DataFrame, figures: DataFrame, n_sources: int) -> DataFram
 
 
 def mix(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, cut: bool = True, slice_rows: int = 100_000) -> DataFrame:
+        weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, cut: bool = True) -> DataFrame:
     """(id, source, size, source_size, target, key, taken): how many words of each document the mix takes, repeats counted.
 
     ``quality`` has (id, quality) rows: the weights of documents; documents that it leaves out weigh 1, and of several rows the
@@ -84,7 +84,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id
     aims = targets(shape, weights, share, most).select(F.col("source").alias("of"), "target")
     figures = stored(shape.join(aims, F.col("source").eqNullSafe(F.col("of"))).drop("of"))
     # keys are about exponential with the source's mean, so 1 - exp(-key / mean) spreads them evenly over slices
-    slices = F.ceil(F.col("n") / slice_rows)
+    slices = F.ceil(F.sqrt("n"))
     of = F.least(F.floor((1 - F.exp(-F.col("key") / F.col("mean"))) * slices), slices - 1).cast("bigint")
     held = _per_source(rows, figures, n_sources).withColumn("slice", of)
 
