@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.checks import roles as R
+from finlake.checks import eigen, roles as R
 from finlake.checks.registry import add, rnd
 from finlake.operators import quality
 from finlake.plans import features as fe, options as opt, signals as sg
+from finlake.plans.scoring import score_all_days
 from finlake.session import checkpoint_root, materialise
 from finlake.sources import sinks
 from finlake.sources.template import daily_load
@@ -171,6 +172,44 @@ def _score(t):
 
 add("fea09_score_day", _score)
 
+# Components come without their signs: two loadings of nearly one size make them a matter of the last bits.
+_PCS = 3
+
+
+def _loadings(t):
+    """Components of the whole matrix of two groups, against eigenvectors found in SQL."""
+    d = fe.pca(fe.feature_matrix(*asked(t), ("equity", "macro")), k=_PCS)
+    return rnd(d.select("date", *[F.abs(f"pc_{i}").alias(f"pc_{i}") for i in range(1, _PCS + 1)]), 5, *[f"pc_{i}" for i in range(1, _PCS + 1)])
+
+
+_WIDE = f"{_EQ}, {_MAC}, m AS MATERIALIZED (SELECT * FROM eq JOIN ma USING (date))"
+_PCSEL = ", ".join(f"round(any_value(pc) FILTER (i = {i}), 5) AS pc_{i}" for i in range(1, _PCS + 1))
+add("fea08_pca_components", _loadings, f"WITH {_WIDE}, {eigen.components(eigen.unpivot('m', _TWO), _PCS, 14)} SELECT date, {_PCSEL} FROM pcs GROUP BY date")
+
+
+def _scored(t):
+    x, cal = asked(t)
+    d = fe.score_day(fe.feature_matrix(x, cal, ("equity", "macro")), cal.select(F.max("date")).scalar(), k=_PCS)
+    return rnd(d.select("date", *[F.abs(f"pc_{i}").alias(f"pc_{i}") for i in range(1, _PCS + 1)]), 5, *[f"pc_{i}" for i in range(1, _PCS + 1)])
+
+
+add("fea09_score_newest_day", _scored,
+    f"""WITH {_WIDE}, e AS (SELECT max(date) AS d FROM m), w AS (SELECT m.* FROM m, e WHERE date BETWEEN d - 282 AND d), {eigen.components(eigen.unpivot('w', _TWO), _PCS, 14)}
+        SELECT date, {_PCSEL} FROM pcs JOIN e ON date = d GROUP BY date""")
+
+
+def _all_days(t):
+    d = score_all_days(fe.feature_matrix(*asked(t), ("equity",)), k=_PCS)
+    pcs = [f"pc_{i}" for i in range(1, _PCS + 1)]
+    return rnd(d.select("date", *[F.abs(p).alias(p) for p in pcs], "explained"), 5, *pcs, "explained")
+
+
+add("fea09_score_all_days", _all_days,
+    f"""WITH {_EQ}, h AS (SELECT date AS p, count(*) OVER (ORDER BY date RANGE BETWEEN INTERVAL 282 DAY PRECEDING AND CURRENT ROW) - 1 AS past FROM eq),
+    w AS MATERIALIZED (SELECT p, eq.* FROM h JOIN eq ON eq.date BETWEEN p - 282 AND p WHERE past >= 30), {eigen.components(eigen.unpivot('w', fe.EQUITY, 'p'), _PCS)},
+    d AS (SELECT p AS date, {_PCSEL}, round(sum(share), 5) AS explained FROM pcs WHERE p = date GROUP BY p)
+    SELECT eq.date, pc_1, pc_2, pc_3, explained FROM eq LEFT JOIN d USING (date)""")
+
 
 def _stored(t):
     d = fe.storable(fe.feature_matrix(inputs(t), calendar(t), ("equity", "options")))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finlake.plans import features as fe
+from finlake.plans.scoring import score_all_days
 
 
 def matrix(spark, n=60, seed=5):
@@ -51,6 +52,37 @@ def test_score_day_needs_history(spark):
     assert fe.score_day(d, "2024-02-08", k=2).first().pc_1 is not None
 
 
+def test_all_days_are_as_each_day_alone(spark):
+    """Gaps in the dates, missing values, a column that is constant for some windows only, and dates near a chunk's edge."""
+    d = matrix(spark, 420).withColumn("w", F.when(F.dayofyear("date") > 200, 2.0).otherwise(1.0) + F.when(F.dayofyear("date") == 150, None).otherwise(0.0))
+    d = d.filter(F.dayofmonth("date") % 7 != 3).withColumn("feature_count", F.lit(1))
+    cols = ["x", "y", "z", "w"]
+    got = {r.date: r for r in score_all_days(d, lookback=60, k=5, days=100).collect()}
+    assert len(got) == d.count() and set(r.x for r in got.values()) == set(r.x for r in d.collect())
+    rows = sorted(d.collect(), key=lambda r: r.date)
+    for r in rows:
+        seen = [x for x in rows if r.date - dt.timedelta(90) <= x.date <= r.date]
+        g = got[r.date]
+        if sum(x.date < r.date for x in seen) < 30:
+            assert g.pc_1 is None and g.explained is None
+            continue
+        want = expected([[x[c] for c in cols] for x in seen])[-1]
+        assert np.allclose(np.abs([g.pc_1, g.pc_2, g.pc_3]), np.abs(want[:3]), atol=1e-7), r.date
+        assert g.pc_5 is None and abs(g.explained - 1) < 1e-9
+    for day in ("2024-02-20", "2024-07-20", "2025-01-12"):
+        one, all_days = fe.score_day(d, day, lookback=60, k=2).first(), got[dt.date.fromisoformat(day)]
+        assert np.allclose([one.pc_1, one.pc_2], [all_days.pc_1, all_days.pc_2], atol=1e-7)
+
+
+def test_all_days_do_not_lose_digits(spark):
+    """Values far from 0 that hardly move."""
+    d = matrix(spark, 80).select("date", (1e9 + F.col("x")).alias("x"), (F.col("y") * 1e-6).alias("y"))
+    got = score_all_days(d, k=2).orderBy("date").collect()[-1]
+    want = fe.score_day(d, got.date, k=2).first()
+    assert np.allclose(np.abs([got.pc_1, got.pc_2]), np.abs([want.pc_1, want.pc_2]), atol=1e-5)  # two loadings of one size: any sign
+    assert score_all_days(d.filter("false"), k=2).collect() == []
+
+
 def test_unknown_group_is_refused(spark):
     with pytest.raises(KeyError):
         fe.feature_matrix(None, spark.range(1).select(F.lit(None).alias("date")), ("nope",))
