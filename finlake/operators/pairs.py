@@ -1,13 +1,29 @@
-"""Statistics of pairs of series."""
+"""Statistics of pairs of series, as blocked products of masked matrices.
+
+Series fall into blocks of ``SERIES`` and times into blocks of ``TIMES``, both by hash.  The values of one block of series
+in one block of times travel as one dense matrix.  A task gets two blocks of series over ``SPAN`` blocks of times and adds up
+six matrix products: with M the mask of present values and X the values (0 where missing), M'M counts common times, X'M and M'X are
+the sums over them, X'X the products, (X*X)'M and M'(X*X) the squares.  So a pair leaves a task once, however many times it
+has: what is shuffled are the matrices, once for each block of series they meet, and one result for each pair and span of times.
+No row is made for a pair at a time.
+
+Values are shifted by a mean of their series first, so that large values with small moves keep their digits.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from finlake.functions.exprs import safe_corr
+#: Series and times of a block, and blocks of times of a task: at most 2 * 512 * 2048 * 8 doubles in a task, 67 MB.
+SERIES, TIMES, SPAN = 512, 2048, 4
+#: The sums of a pair: common times, x, y, x*y, x*x, y*y.
+SUMS = 6
 
 
 def wide(df: DataFrame, key: str, time: str, value: str, series: Sequence[str]) -> DataFrame:
@@ -17,18 +33,121 @@ def wide(df: DataFrame, key: str, time: str, value: str, series: Sequence[str])
                                  for i, s in enumerate(series)])
 
 
+def _instant(df: DataFrame, time: str) -> Column:
+    kind = df.schema[time].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(time)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(time).cast("timestamp"))
+    return F.col(time).cast("bigint") if isinstance(kind, T.IntegralType) else F.xxhash64(time)
+
+
+def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(row["times"], np.int64)
+    return at, np.frombuffer(row["values"], np.float64).reshape(len(at), -1)
+
+
+def _sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The six sums of each column of x with each of y over the rows where both have a value (others are NaN)."""
+    mx, my = (~np.isnan(v) for v in (x, y))
+    x, y, mx, my = np.where(mx, x, 0.0), np.where(my, y, 0.0), mx.astype(np.float64), my.astype(np.float64)
+    return np.stack([mx.T @ my, x.T @ my, mx.T @ y, x.T @ y, (x * x).T @ my, mx.T @ (y * y)])
+
+
+def _moved(s: np.ndarray, dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
+    """Sums of values that are larger by dx and dy."""
+    n, x, y, xy, xx, yy = s
+    dx, dy = dx[:, None], dy[None, :]
+    return np.stack([n, x + n * dx, y + n * dy, xy + dx * y + dy * x + n * dx * dy, xx + 2 * dx * x + n * dx * dx, yy + 2 * dy * y + n * dy * dy])
+
+
 def pair_stats(df: DataFrame, key: str, time: str, value: str, series: Sequence[str] | None = None) -> DataFrame:
     """Common observations, covariance and correlation for each a < b; ``series`` limits the keys.
 
-    The plan is the same for any number of series.  Values meet by time, and the hash
-    aggregate reduces them to one row per pair in the task where they meet, so pair rows
-    are not shuffled; the work is that of the result, times by pairs.
+    Of several values of a series at one time the largest counts; NaN counts as missing.  A pair without a common time has no row,
+    one without variance (below 1e-12 of the mean square) no correlation.  The plan is the same for any number of series.
     """
     d = df if series is None else df.filter(F.col(key).isin(*series))
-    d = d.filter(F.col(value).isNotNull() & F.col(key).isNotNull() & F.col(time).isNotNull())
-    d = d.groupBy(F.col(time).alias("_t"), F.col(key).alias("a")).agg(F.max(value).alias("_x"))
-    both = d.join(d.select("_t", F.col("a").alias("b"), F.col("_x").alias("_y")), "_t").filter(F.col("a") < F.col("b"))
-    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_x", "_y").alias("covariance"), safe_corr("_x", "_y").alias("correlation"))
+    d = d.select(_instant(d, time).cast("bigint").alias("t"), F.col(key).alias("s"), F.col(value).cast("double").alias("x")).filter("t IS NOT NULL AND s IS NOT NULL AND x IS NOT NULL AND NOT isnan(x)")
+    size = d.agg(F.approx_count_distinct("s"), F.approx_count_distinct("t")).first()
+    blocks, time_blocks = (max(1, -(-int(n * 1.1) // most)) for n, most in zip(size, (SERIES, TIMES)))
+    kind = d.schema["s"].dataType.simpleString()
+    d = d.groupBy(F.pmod(F.xxhash64("t"), F.lit(time_blocks)).alias("tb"), F.pmod(F.xxhash64("s"), F.lit(blocks)).alias("sb"), "t", "s").agg(F.max("x").alias("x"))
+
+    def packed(table: pa.Table) -> pa.Table:
+        at, row = np.unique(table.column("t").to_numpy(), return_inverse=True)
+        coded = table.column("s").combine_chunks().dictionary_encode()
+        out = np.full((len(at), len(coded.dictionary)), np.nan)
+        out[row, coded.indices.to_numpy()] = table.column("x").to_numpy()
+        names = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        return pa.table({"tb": table.column("tb")[:1], "sb": table.column("sb")[:1], "names": names, "times": pa.array([at.tobytes()], pa.binary()), "values": pa.array([out.tobytes()], pa.binary())})
+
+    dense = d.groupBy("tb", "sb").applyInArrow(packed, f"tb bigint, sb bigint, names array<{kind}>, times binary, values binary")
+    met = dense.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    met = met.select(F.least("sb", "other").alias("low"), F.greatest("sb", "other").alias("high"), F.floor(F.col("tb") / SPAN).alias("span"), "tb", "sb", "names", "times", "values")
+    result = f"low bigint, high bigint, xs array<{kind}>, ys array<{kind}>, sums binary, at_x binary, at_y binary"
+
+    def summed(table: pa.Table) -> pa.Table:
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        found = {(r["tb"], r["sb"]): r for r in table.to_pylist()}
+        names = {b: sorted({n for (_, sb), r in found.items() if sb == b for n in r["names"]}) for b in (low, high)}
+        place = {b: {n: k for k, n in enumerate(names[b])} for b in names}
+
+        def aligned(r: dict | None, b: int, at: np.ndarray) -> np.ndarray:
+            out = np.full((len(at), len(names[b])), np.nan)
+            if r:
+                times, values = _matrix(r)
+                out[np.ix_(np.searchsorted(at, times), [place[b][n] for n in r["names"]])] = values
+            return out
+
+        total, first = np.zeros((SUMS, len(names[low]), len(names[high]))), {}
+        for tb in sorted({tb for tb, _ in found}):
+            both = [found.get((tb, b)) for b in (low, high)]
+            if not all(both):
+                continue
+            at = np.intersect1d(*(np.frombuffer(r["times"], np.int64) for r in both))
+            whole = np.union1d(*(np.frombuffer(r["times"], np.int64) for r in both))
+            keep = np.searchsorted(whole, at)
+            x, y = (aligned(r, b, whole)[keep] for r, b in zip(both, (low, high)))
+            for b, v in ((low, x), (high, y)):
+                n = (~np.isnan(v)).sum(axis=0)
+                first.setdefault(b, np.full(len(names[b]), np.nan))
+                mean = np.nansum(v, axis=0) / np.maximum(n, 1)
+                first[b] = np.where(np.isnan(first[b]) & (n > 0), mean, first[b])
+            total += _sums(x - first[low], y - first[high])
+        shift = [np.nan_to_num(first.get(b, np.zeros(len(names[b])))) for b in (low, high)]
+        kept = table.schema.field("names").type
+        return pa.table({"low": pa.array([low]), "high": pa.array([high]), "xs": pa.array([names[low]], kept), "ys": pa.array([names[high]], kept),
+                         "sums": pa.array([total.tobytes()], pa.binary()), "at_x": pa.array([shift[0].tobytes()], pa.binary()), "at_y": pa.array([shift[1].tobytes()], pa.binary())})
+
+    def merged(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        names = [sorted({n for r in rows for n in r[c]}) for c in ("xs", "ys")]
+        place = [{n: k for k, n in enumerate(x)} for x in names]
+        total, base = np.zeros((SUMS, len(names[0]), len(names[1]))), [np.full(len(x), np.nan) for x in names]
+        for r in rows:
+            at = [np.array([p[n] for n in r[c]], np.int64) for p, c in zip(place, ("xs", "ys"))]
+            own = [np.frombuffer(r[c], np.float64) for c in ("at_x", "at_y")]
+            for k in (0, 1):
+                base[k][at[k]] = np.where(np.isnan(base[k][at[k]]), own[k], base[k][at[k]])
+            s = np.frombuffer(r["sums"], np.float64).reshape(SUMS, len(at[0]), len(at[1]))
+            total[np.ix_(range(SUMS), at[0], at[1])] += _moved(s, own[0] - base[0][at[0]], own[1] - base[1][at[1]])
+        n, x, y, xy, xx, yy = total
+        use = n > 0
+        if rows[0]["low"] == rows[0]["high"]:
+            use &= np.triu(np.ones_like(use), 1)
+        i, j = np.nonzero(use)
+        n, x, y, xy, xx, yy = (v[i, j] for v in total)
+        cov = xy / n - x / n * (y / n)
+        vx, vy = xx / n - (x / n) ** 2, yy / n - (y / n) ** 2
+        some = (vx > 1e-12 * xx / n) & (vy > 1e-12 * yy / n)
+        corr = np.divide(cov, np.sqrt(np.where(some, vx * vy, 1.0)))
+        kept = table.schema.field("xs").type.value_type
+        return pa.table({"x": pa.array(names[0], kept).take(pa.array(i)), "y": pa.array(names[1], kept).take(pa.array(j)), "n": pa.array(n.astype(np.int64)), "covariance": pa.array(cov), "correlation": pa.array(corr, mask=~some)})
+
+    sums = met.groupBy("low", "high", "span").applyInArrow(summed, result)
+    pairs = sums.groupBy("low", "high").applyInArrow(merged, f"x {kind}, y {kind}, n bigint, covariance double, correlation double")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n", "covariance", "correlation")
 
 
 def corr_matrix(df: DataFrame, key: str, time: str, value: str, series: Sequence[str] | None = None) -> DataFrame:

@@ -1,11 +1,14 @@
 """Recurrences and frames: hand-made values, plain loops, and split against unsplit."""
 
+import datetime as dt
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.operators import asof, events, indicators as ind, returns
+from finlake.operators import asof, events, indicators as ind, pairs, returns
 from finlake.operators.pairs import pair_stats
 from finlake.operators.series import Split
 from tests.conftest import rows
@@ -66,13 +69,38 @@ def test_one_missing_price_costs_one_row(spark):
     assert ind.ema(d, "k", "t", "p", 5).count() == 95
 
 
-def test_pair_plan_does_not_grow_with_the_series(spark):
+def test_pair_plan_makes_no_rows_for_pairs(spark):
+    """The same plan for any number of series, without a join."""
     d = spark.createDataFrame([(f"s{k}", t, float((k * t) % 7)) for k in range(60) for t in range(20)], "k string, t int, v double")
-    size = [len(pair_stats(d, "k", "t", "v", [f"s{k}" for k in range(n)])._jdf.queryExecution().analyzed().toString().split("covar")) for n in (3, 60)]
-    assert size[0] == size[1]
+    plans = [pair_stats(d, "k", "t", "v", [f"s{k}" for k in range(n)])._jdf.queryExecution().executedPlan().toString() for n in (3, 60)]
+    assert plans[0].count("\n") == plans[1].count("\n") and not any("Join" in p for p in plans)
     assert pair_stats(d, "k", "t", "v").count() == 60 * 59 // 2
 
 
+def test_pairs_of_many_blocks_are_as_one_by_one(spark, monkeypatch):
+    """Missing values, repeated times, values far from 0, pairs that never meet, a constant; several blocks of series and spans of times."""
+    rng = random.Random(3)
+    rows = [(f"s{k}", dt.date(2024, 1, 1) + dt.timedelta(t), 1e8 * k + rng.gauss(0, 1) + t * (k % 3)) for k in range(14) for t in range(120) if rng.random() < 0.7 and (k != 5 or t < 40) and (k != 6 or t >= 40)]
+    rows += [("flat", dt.date(2024, 1, 1) + dt.timedelta(t), 3.0) for t in range(50)] + [("s1", rows[0][1], None), ("s1", None, 1.0), (None, rows[0][1], 1.0), ("s2", rows[0][1], float("nan")), ("s3", rows[0][1], -1e18)]
+    d = spark.createDataFrame(rows, "k string, t date, v double")
+    wide = pd.DataFrame([r for r in rows if None not in r], columns=["k", "t", "v"]).dropna().groupby(["t", "k"]).v.max().unstack()
+    want = {}
+    for a in wide:
+        for b in wide:
+            both = wide[[a, b]].dropna().to_numpy() if a < b else []
+            if len(both):
+                x, y = (both - both.mean(axis=0)).T
+                want[a, b] = (len(both), (x * y).mean(), None if not x.any() or not y.any() else (x * y).mean() / np.sqrt((x * x).mean() * (y * y).mean()))
+    for sizes in ((512, 2048, 4), (4, 16, 2)):
+        for name, size in zip(("SERIES", "TIMES", "SPAN"), sizes):
+            monkeypatch.setattr(pairs, name, size)
+        got = {(r.a, r.b): (r.n, r.covariance, r.correlation) for r in pair_stats(d, "k", "t", "v").collect()}
+        assert got.keys() == want.keys() and ("s5", "s6") not in got
+        for k, (n, cov, corr) in want.items():
+            assert got[k][0] == n and got[k][1] == pytest.approx(cov, rel=1e-7, abs=1e-7) and got[k][2] == (None if corr is None or n < 2 else pytest.approx(corr, abs=1e-7)), k
+    assert pair_stats(d.filter("false"), "k", "t", "v").collect() == []
+
+
 def test_ema_seeds(spark):
     d = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate([1, 2, 3, 4, 8])], "k string, t int, p double")
     sma = {r.t: r.ema for r in ind.ema(d, "k", "t", "p", 3).collect()}
