@@ -305,6 +305,11 @@ for _s, _op in ((True, "<"), (False, "<=")):
         f"""WITH d AS ({_IVD}) SELECT x.underlying, x.snapshot_date, x.iv, CASE WHEN count(*) >= 20 THEN round(count(*) FILTER (y.iv {_op} x.iv) / count(*), 6) END AS rank
             FROM d x JOIN d y ON x.underlying = y.underlying AND y.snapshot_date BETWEEN x.snapshot_date - 365 AND x.snapshot_date GROUP BY 1, 2, 3""")
 
+for _s, _op in ((True, "<"), (False, "<=")):
+    add(f"win09_tick_rank_{'below' if _s else 'at_most'}", (lambda s: lambda t: rnd(returns.tick_rank(t.events.select("event_type", "event_id", "ts", "value"), "event_type", "ts", "value", 86_400, s, 20), 6, "rank"))(_s),
+        f"""SELECT x.event_type, x.event_id, x.ts, x.value, CASE WHEN count(y.value) >= 20 AND x.value IS NOT NULL THEN round(count(*) FILTER (y.value {_op} x.value) / count(y.value), 6) END AS rank
+            FROM events x JOIN events y ON x.event_type = y.event_type AND y.ts BETWEEN x.ts - INTERVAL 1 DAY AND x.ts GROUP BY 1, 2, 3, 4""")
+
 add("win10_minmax_rank", lambda t: rnd(returns.minmax_rank(t.role("odaily").select("ticker", "day", "close"), "ticker", "day", "close"), 6, "minmax_rank"),
     """SELECT ticker, day, close, round((close - min(close) OVER w) / nullif(max(close) OVER w - min(close) OVER w, 0), 6) AS minmax_rank FROM odaily
        WINDOW w AS (PARTITION BY ticker ORDER BY day ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)""")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions.exprs import names, pct_change, positive_log, safe_corr, safe_div
 from finlake.operators.dedup import top_k_per
+from finlake.operators.ranks import trailing_rank
 from finlake.operators.series import Split, over_range, over_rows
 
 
@@ -83,18 +84,15 @@ def range_mean(df: DataFrame, key, ts: str, column: str, seconds: int = 3600, ou
 
 
 def percentile_rank(df: DataFrame, key, day: str, column: str, days: int = 365, strict: bool = True,
-                    min_rows: int = 1, out: str = "rank") -> DataFrame:
-    """Share of the trailing ``days`` with a value below (or at most) today's.
+                    min_rows: int = 1, out: str = "rank", split: bool = False) -> DataFrame:
+    """Share of the trailing ``days`` with a value below (or at most) today's."""
+    return trailing_rank(df, key, F.unix_date(day).cast("bigint"), column, days, strict, min_rows, out, split)
 
-    Day grain: the frame is at most ``days + 1`` values, held as an array in the row.
-    """
-    d = df.withColumn("_d", F.unix_date(day))
-    w = W.partitionBy(*names(key)).orderBy("_d").rangeBetween(-days, 0)
-    d = d.withColumn("_seen", F.collect_list(column).over(w)).withColumn("_x", F.col(column))
-    below = F.filter("_seen", (lambda v: v < F.col("_x")) if strict else (lambda v: v <= F.col("_x")))
-    share = safe_div(F.size(below), F.size("_seen"))
-    ok = F.col(column).isNotNull() & (F.size("_seen") >= min_rows)
-    return d.withColumn(out, F.when(ok, share)).drop("_d", "_seen", "_x")
+
+def tick_rank(df: DataFrame, key, ts: str, column: str, seconds: int = 3600, strict: bool = True,
+              min_rows: int = 1, out: str = "rank", split: bool = True) -> DataFrame:
+    """Share of the trailing ``seconds`` with a value below (or at most) the row's own."""
+    return trailing_rank(df, key, F.unix_micros(F.col(ts).cast("timestamp")), column, seconds * 1_000_000, strict, min_rows, out, split)
 
 
 def minmax_rank(df: DataFrame, key, time: str, column: str, n: int = 252, out: str = "minmax_rank",

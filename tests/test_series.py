@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.operators import asof, events, indicators as ind, pairs, returns
+from finlake.operators import asof, events, indicators as ind, pairs, ranks, returns
 from finlake.operators.pairs import pair_stats
 from finlake.operators.series import Split
 from tests.conftest import rows
@@ -101,6 +101,38 @@ def test_pairs_of_many_blocks_are_as_one_by_one(spark, monkeypatch):
     assert pair_stats(d.filter("false"), "k", "t", "v").collect() == []
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_trailing_rank_against_brute_force(spark, strict):
+    """Ties, rows at one time, missing values, times and keys, NaN; split and not."""
+    rng = random.Random(7)
+    data = [(rng.choice(["a", "a", "a", "b", None]), i, rng.randrange(4000) if i % 40 else None, rng.choice([None, float("nan"), *map(float, range(6))])) for i in range(600)]
+    d = spark.createDataFrame(data, "k string, i int, s long, x double").withColumn("ts", F.timestamp_seconds("s"))
+
+    def below(a, b):
+        return b == a and not strict or (a != a and b != b and not strict) or (b == b and (a != a or b < a))
+
+    want = {}
+    for k, i, t, x in data:
+        seen = [y for k2, _, t2, y in data if k2 == k and t is not None and t2 is not None and t - 300 <= t2 <= t and y is not None]
+        want[i] = sum(below(x, y) for y in seen) / len(seen) if x is not None and len(seen) >= 3 else None
+    for split in (True, False):
+        got = returns.tick_rank(d, "k", "ts", "x", 300, strict, 3, split=split)
+        assert got.columns == [*d.columns, "rank"] and {r.i: r["rank"] for r in got.collect()} == want
+    days = d.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("s") / 10).cast("int")))
+    whole = {r.i: r["rank"] for r in returns.percentile_rank(days, ["k"], "day", "x", 30, strict, 3).collect()}
+    assert whole == {r.i: r["rank"] for r in returns.percentile_rank(days, ["k"], "day", "x", 30, strict, 3, split=True).collect()}
+    assert returns.percentile_rank(days.filter("false"), None, "day", "x").collect() == []
+
+
+def test_ranks_of_long_ranges_take_little_time():
+    """200,000 values whose ranges hold half of them."""
+    x = np.random.default_rng(1).integers(0, 50_000, 200_000)
+    at = np.arange(len(x))
+    got = ranks.count_below(x, np.maximum(at - 100_000, 0), at + 1, x)
+    for i in (5, 1000, 150_000, 199_999):
+        assert got[i] == (x[max(i - 100_000, 0):i + 1] < x[i]).sum()
+
+
 def test_ema_seeds(spark):
     d = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate([1, 2, 3, 4, 8])], "k string, t int, p double")
     sma = {r.t: r.ema for r in ind.ema(d, "k", "t", "p", 3).collect()}
