@@ -343,6 +343,33 @@ for _g, _i in (("5m", "5 minutes"), ("15m", "15 minutes"), ("1h", "1 hour"), ("1
             round(sum(price * size) / sum(size), 11) AS vwap, count(*) AS transactions FROM ticks GROUP BY 1, 2 HAVING time_bucket(INTERVAL '{_i}', timestamp) + INTERVAL '{_i}' {_CLOSED}""")
 
 
+def _chain(t) -> DataFrame:
+    root = f"{checkpoint_root(t.spark)}/str01chain-{uuid.uuid4().hex}"
+    rows = jobs.stream_bar_chain(_ticks(t), seq="seq")
+    jobs.start_sink(rows, f"{root}/out", f"{root}/state", by="grain").awaitTermination()
+    return rnd(t.spark.read.schema(rows.schema).parquet(f"{root}/out"), 10, "vwap")
+
+
+_GRAIN = """SELECT '{g}' AS grain, ticker, time_bucket(INTERVAL '{i}', timestamp) AS bucket, arg_min(price, {o}) AS open, max(price) AS high, min(price) AS low, arg_max(price, {o}) AS close, CAST(sum(size) AS BIGINT) AS volume,
+    round(sum(price * size) / sum(size), 10) AS vwap, count(*) AS transactions FROM ticks GROUP BY 2, 3 HAVING time_bucket(INTERVAL '{i}', timestamp) + INTERVAL '{i}' {c}"""
+add("str01_stream_bar_chain", _chain, " UNION ALL ".join(_GRAIN.format(g=g, i=i, o=R.TICK_ORDER, c=_CLOSED) for g, i in (("5m", "5 minutes"), ("15m", "15 minutes"), ("1h", "1 hour"), ("1d", "1 day"))))
+
+
+def _recent(t) -> DataFrame:
+    """The newest row that the stream told of each key."""
+    root = f"{checkpoint_root(t.spark)}/str09-{uuid.uuid4().hex}"
+    rows = jobs.recent_rows(_ticks(t), horizon="6 hours", value="price")
+    rows.writeStream.outputMode("update").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).foreachBatch(
+        lambda b, i: b.write.mode("overwrite").parquet(f"{root}/out/batch={i}")).start().awaitTermination()
+    told = t.spark.read.parquet(f"{root}/out")
+    return told.groupBy("ticker").agg(F.max_by(F.struct("timestamp", "price", "rows"), "batch").alias("r")).select("ticker", "r.*")
+
+
+add("str09_recent_rows", _recent,
+    """SELECT ticker, max(timestamp) AS timestamp, arg_max(price, timestamp) AS price, count(*) AS rows FROM ticks
+       WHERE date_trunc('milliseconds', timestamp) + INTERVAL 6 HOUR >= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE GROUP BY 1""")
+
+
 def _messages(t) -> DataFrame:
     d = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.path)
     ms = F.unix_millis(c("ts").cast("timestamp"))

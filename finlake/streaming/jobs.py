@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from finlake.functions.exprs import order_key, safe_div
 from finlake.operators.bars import GRAINS
 from finlake.operators.quality import with_reasons
 from finlake.schemas import BAR_MESSAGE, QUOTE_MESSAGE
+from finlake.streaming import stateful
 
 
 # ---- messages ---------------------------------------------------------------------
@@ -51,6 +50,23 @@ def stream_bars(ticks: DataFrame, grain: str, watermark: str = "10 minutes", key
     return g.select(key, F.col("window.start").alias("bucket"), "open", "high", "low", "close", "volume", "vwap", "transactions")
 
 
+def stream_bar_chain(ticks: DataFrame, grains: tuple[str, ...] = ("5m", "15m", "1h", "1d"), watermark: str = "10 minutes", key: str = "ticker",
+                     ts: str = "timestamp", price: str = "price", size: str = "size", seq: str | None = None) -> DataFrame:
+    """Bars of all grains from one reading of the ticks: each grain rolls up the closed bars of the one before it.
+
+    One query, whose rows say their grain; ``start_sink(..., by="grain")`` lands every grain in a folder of its own.  Each grain has to be a
+    multiple of the one before it.  A late tick counts as long as its finest bar is open; ticks without a key, time, price or size are left out.
+    """
+    seconds = [pd.Timedelta(GRAINS[g]).total_seconds() for g in grains]
+    if any(b % a for a, b in zip(seconds, seconds[1:])):
+        raise ValueError("each grain has to be a multiple of the one before it")
+    parts = stateful.partial_bars(ticks, int(seconds[0]), key, ts, price, size, seq).withWatermark("last", watermark)
+    kind = ticks.schema[key].dataType.simpleString()
+    out = stateful.keyed(parts, stateful.Chain([int(s) for s in seconds]), f"grain int, key {kind}, bucket long, open double, high double, low double, close double, volume long, notional double, n long")
+    return out.select(F.element_at(F.array(*map(F.lit, grains)), F.col("grain") + 1).alias("grain"), F.col("key").alias(key), F.timestamp_seconds("bucket").alias("bucket"),
+                      "open", "high", "low", "close", "volume", safe_div("notional", "volume").alias("vwap"), F.col("n").alias("transactions"))
+
+
 def stream_latest(rows: DataFrame, key: str = "ticker", ts: str = "timestamp", value: str = "close") -> DataFrame:
     """Latest value per key, kept continuously (update or complete mode); of rows with one time the largest value."""
     return rows.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(value, F.struct(ts, value)).alias(value))
@@ -58,13 +74,31 @@ def stream_latest(rows: DataFrame, key: str = "ticker", ts: str = "timestamp", v
 
 def stream_vwap(ticks: DataFrame, window: str = "1 minute", slide: str | None = None, watermark: str = "10 minutes",
                 key: str = "ticker", ts: str = "timestamp", price: str = "price", size: str = "size") -> DataFrame:
-    """Volume-weighted price and its parts per window; the parts of minutes add up to hours."""
-    w = F.window(ts, window, slide) if slide else F.window(ts, window)
-    g = ticks.withWatermark(ts, watermark).groupBy(w, key).agg(
+    """Volume-weighted price and its parts per window; the parts of minutes add up to hours.
+
+    A sliding window adds up tumbling panes of one slide, so a tick is counted once and only a pane, of which there is one
+    for each key and slide, goes into several windows.
+    """
+    g = ticks.withWatermark(ts, watermark).groupBy(F.window(ts, slide or window), key).agg(
         F.sum(F.col(price) * F.col(size)).alias("notional"), F.sum(size).alias("volume"))
+    if slide:
+        g = g.groupBy(F.window(F.window_time("window"), window, slide), key).agg(F.sum("notional").alias("notional"), F.sum("volume").alias("volume"))
     return g.select(key, F.col("window.start").alias("bucket"), "notional", "volume", safe_div("notional", "volume").alias("vwap"))
 
 
+def recent_rows(rows: DataFrame, horizon: str = "1 hour", watermark: str = "10 minutes", key: str = "ticker", ts: str = "timestamp",
+                value: str = "close") -> DataFrame:
+    """(key, newest time, its value, rows): what each key's last ``horizon`` up to the watermark holds, told whenever it changes (update mode).
+
+    The state is the table itself, a row for each time of a key; rows leave it when the watermark has passed them by the horizon.  A
+    key whose rows have all left is told once more, without a value and with 0 rows.  Of rows with one time the largest value counts.
+    """
+    flat = rows.select(F.col(key).alias("key"), F.col(ts).alias("at"), F.unix_micros(ts).alias("us"), F.col(value).cast("double").alias("value")).filter("key IS NOT NULL AND at IS NOT NULL AND value IS NOT NULL")
+    out = stateful.keyed(flat.withWatermark("at", watermark), stateful.Recent(int(pd.Timedelta(horizon).total_seconds() * 1000)),
+                         f"key {rows.schema[key].dataType.simpleString()}, newest long, value double, rows long", "Update")
+    return out.select(F.col("key").alias(key), F.timestamp_micros("newest").alias(ts), F.col("value").alias(value), "rows")
+
+
 def recent(rows: DataFrame, horizon: str = "1 hour", watermark: str = "10 minutes", key: str = "ticker", ts: str = "timestamp",
            value: str = "close") -> DataFrame:
     """Rolling last-``horizon`` summary per key; the watermark expires older windows from state.  Of rows with one time the largest value counts."""
@@ -85,8 +119,8 @@ def volume_spikes(rows: DataFrame, factor: float = 3.0, horizon_seconds: int = 3
     """Minutes whose volume exceeds ``factor`` times the mean minute of the hour up to them.
 
     Ticks are first summed per key and minute inside each task, so a hot key reaches its
-    stateful task as a few rows per partition and minute.  The state of a key holds its
-    open minutes and the last hour of closed ones; a minute is judged once the watermark
+    stateful task as a few rows per partition and minute.  The state of a key holds a row for each of its
+    open minutes and of the last hour of closed ones; a minute is judged once the watermark
     has passed it.  A key that stays idle for the horizon loses its state.
     """
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,37 +129,10 @@ def volume_spikes(rows: DataFrame, factor: float = 3.0, horizon_seconds: int = 3
             yield b.groupby(["key", "minute"], as_index=False)["volume"].sum()
 
     minutes = rows.select(F.col(key).alias("key"), F.col(ts).alias("minute"), F.col(volume).cast("double").alias("volume"))
-    minutes = minutes.mapInPandas(partial, "key string, minute timestamp, volume double").withWatermark("minute", watermark)
-
-    def judge(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        opened, kept = json.loads(state.get[0]) if state.exists else ({}, [])
-        if not state.hasTimedOut:
-            for b in batches:
-                for minute, vol in zip(_epoch(b["minute"]), b["volume"].tolist()):
-                    opened[str(minute)] = opened.get(str(minute), 0.0) + vol
-        mark, hits = state.getCurrentWatermarkMs() // 1000, []
-        for minute in sorted(int(m) for m in opened if int(m) + 60 <= mark):
-            vol = opened.pop(str(minute))
-            kept = [r for r in kept if r[0] >= minute - horizon_seconds] + [[minute, vol]]
-            mean = sum(r[1] for r in kept) / len(kept)
-            if vol > factor * mean:
-                hits.append((k[0], minute, vol, mean))
-        kept = [r for r in kept if r[0] >= mark - horizon_seconds]  # older ones matter to no later minute
-        if not opened and not kept:  # the key has been idle for the horizon
-            state.remove()
-        else:
-            state.update((json.dumps((opened, kept)),))
-            due = min(int(m) for m in opened) + 60 if opened else kept[0][0] + horizon_seconds + 1
-            state.setTimeoutTimestamp(max(due, mark + 1) * 1000)
-        yield pd.DataFrame(hits, columns=["key", "minute", "volume", "mean_volume"])
-
-    out = minutes.groupBy("key").applyInPandasWithState(
-        judge, "key string, minute long, volume double, mean_volume double", "kept string", "append", GroupStateTimeout.EventTimeTimeout)
-    return out.select(F.col("key").alias(key), F.timestamp_seconds("minute").alias(ts), "volume", "mean_volume")
-
+    minutes = minutes.mapInPandas(partial, "key string, minute timestamp, volume double").withWatermark("minute", watermark).withColumn("start", F.unix_seconds("minute"))
 
-def _epoch(times: pd.Series) -> list[int]:
-    return [int(x.timestamp()) for x in times]
+    out = stateful.keyed(minutes, stateful.Spikes(factor, horizon_seconds), "key string, minute long, volume double, mean_volume double")
+    return out.select(F.col("key").alias(key), F.timestamp_seconds("minute").alias(ts), "volume", "mean_volume")
 
 
 def volume_spikes_batch(bars: DataFrame, factor: float = 3.0, horizon_seconds: int = 3600, key: str = "ticker", ts: str = "timestamp",
@@ -161,13 +168,14 @@ def route_dead_letters(rules: dict[str, Column], good_path: str, bad_path: str,
     return write
 
 
-def start_sink(rows: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-    """Append a stream to Parquet; offsets are committed after each written batch.
+def start_sink(rows: DataFrame, path: str, checkpoint: str, trigger: str | None = None, by: str | None = None) -> StreamingQuery:
+    """Append a stream to Parquet, in folders by a column if one is named; offsets are committed after each written batch.
 
     ``trigger`` is a processing-time interval; without one all available data is loaded and
     the query stops.
     """
     w = rows.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    w = w.partitionBy(by) if by else w
     w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
     return w.start()
 
