@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from finlake.checks import roles as R
 from finlake.checks.registry import add, rnd
-from finlake.operators import asof, bars, dedup, events, indicators as ind, joins, pairs, quality, returns
+from finlake.operators import asof, bars, dedup, events, indicators as ind, joins, pairs, quality, quantiles, returns
 from finlake.operators.series import Split
 
 c = F.col
@@ -490,6 +490,8 @@ add("agg33_study_otm_flow", _otm_study,
         sum(CASE WHEN put_call = 'call' AND strike > underlying_price * 1.03::DOUBLE AND strike < underlying_price * 1.10::DOUBLE THEN volume ELSE 0 END) AS otm FROM chain WHERE underlying_price > 0 GROUP BY 1, 2 HAVING sum(volume) > 0)
         SELECT CASE WHEN ret_5d < -0.03::DOUBLE THEN 'otm_calls_after_drop' WHEN ret_5d > 0.03::DOUBLE THEN 'otm_calls_after_rally' ELSE 'otm_calls_flat' END AS bucket, {_STUDY} FROM e JOIN k USING (ticker, day) WHERE otm > atm * 1.5 GROUP BY 1""")
 
+add("agg33_group_quantiles", lambda t: rnd(quantiles.group_quantiles(t.lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice", {"p05": 0.05, "p25": 0.25, "p50": 0.5, "p999": 0.999}, rows=200), 6, "p05", "p25", "p50", "p999"),
+    "SELECT l_returnflag, l_linestatus, " + ", ".join(f"round(quantile_cont(l_extendedprice, {p}), 6) AS {n}" for n, p in (("p05", 0.05), ("p25", 0.25), ("p50", 0.5), ("p999", 0.999))) + " FROM lineitem GROUP BY 1, 2")
 add("agg33_group_median", lambda t: rnd(events.group_median(t.lineitem, "l_returnflag", "l_extendedprice"), 6, "median"),
     "SELECT l_returnflag, round(median(l_extendedprice), 6) AS median FROM lineitem GROUP BY 1")
 

@@ -10,39 +10,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from finlake.functions.exprs import names, safe_div
+from finlake.operators.quantiles import group_quantiles
 from finlake.operators.series import Split, over_rows
 from finlake.session import materialise
 
 
-def group_median(df: DataFrame, by: str | Sequence[str], value: str, out: str = "median",
-                 parts: int = 64) -> DataFrame:
-    """Exact interpolated median of each group, without gathering a group in one task.
-
-    The built-in exact median keeps all distinct values of a group in one buffer.  Here
-    values are counted per (group, value), cut into ``parts`` ranges by approximate
-    quantiles (a bounded sketch), and only the range or two holding the middle ranks are
-    ordered.
-    """
-    ks = names(by)
-    d = df.filter(F.col(value).isNotNull()).select(*ks, F.col(value).cast("double").alias("_v"))
-    counts = d.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    cuts = d.groupBy(*ks).agg(F.percentile_approx("_v", probs, 1000).alias("_cuts"))
-    ranged = counts.join(cuts, ks).select(
-        *ks, "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_part"))
-    sizes = ranged.groupBy(*ks, "_part").agg(F.sum("_n").alias("_m"))
-    w = W.partitionBy(*ks)
-    before = F.sum("_m").over(w.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
-    sizes = sizes.select(*ks, "_part", "_m", F.coalesce(before, F.lit(0)).alias("_base"), F.sum("_m").over(w).alias("_all"))
-    lo, hi = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
-    end = F.col("_base") + F.col("_m")
-    middle = sizes.filter(((F.col("_base") <= lo) & (lo < end)) | ((F.col("_base") <= hi) & (hi < end)))
-    ranks = ranged.join(middle, [*ks, "_part"])
-    upto = F.col("_base") + F.sum("_n").over(W.partitionBy(*ks, "_part").orderBy("_v"))
-    ranks = ranks.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
-    holds = lambda r: (F.col("_from") <= r) & (r < F.col("_upto"))
-    return ranks.groupBy(*ks).agg(
-        ((F.max(F.when(holds(lo), F.col("_v"))) + F.max(F.when(holds(hi), F.col("_v")))) / 2).alias(out))
+def group_median(df: DataFrame, by: str | Sequence[str], value: str, out: str = "median", rows: int = 1_000_000) -> DataFrame:
+    """Exact interpolated median of each group; no task sees a whole group or orders more than ``rows`` values."""
+    return group_quantiles(df, by, value, {out: 0.5}, rows)
 
 
 def event_study(df: DataFrame, bucket: Column, forward: str, name: str = "bucket") -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.operators import asof, events, indicators as ind, pairs, ranks, returns
+from finlake.operators import asof, events, indicators as ind, pairs, quantiles, ranks, returns
 from finlake.operators.pairs import pair_stats
 from finlake.operators.series import Split
 from tests.conftest import rows
@@ -199,12 +199,50 @@ def test_first_row_has_no_return(spark):
 def test_group_median_is_exact(spark, n):
     rnd = random.Random(n)
     vals = [("hot", round(rnd.expovariate(0.1), 3)) for _ in range(n)] + [("hot", 5.0)] * (n // 2) + [("b", 2.0), ("b", 4.0), ("c", None)]
-    got = {r.g: r.median for r in events.group_median(spark.createDataFrame(vals, "g string, v double"), "g", "v", parts=8).collect()}
+    got = {r.g: r.median for r in events.group_median(spark.createDataFrame(vals, "g string, v double"), "g", "v", rows=5).collect()}
     hot = sorted(v for g, v in vals if g == "hot")
     mid = (hot[(len(hot) - 1) // 2] + hot[len(hot) // 2]) / 2
     assert got == {"hot": mid, "b": 3.0}
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_group_quantiles_are_exact(spark, monkeypatch, few):
+    """Ties that fill most of a group, infinities, missing values and groups, one value; ranges of five values at most; cuts that miss."""
+    rng = random.Random(2)
+    vals = [("hot", rng.gauss(0, 1)) for _ in range(400)] + [("tie", 5.0)] * 300 + [("tie", rng.random() * 10) for _ in range(90)] + [("inf", x) for x in (float("inf"), float("-inf"), 1.0)]
+    vals += [("one", 7.0), ("none", None), ("none", float("nan")), (None, 1.0), (None, 2.0), ("zero", -0.0), ("zero", 0.0)]
+    if not few:
+        monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", 0)
+        monkeypatch.setattr(quantiles, "MARGIN", -0.002)  # the upper cut lies below the lower one: every sketch misses
+    probs = {"least": 0.0, "q1": 0.25, "mid": 0.5, "most": 1.0}
+    got = {r.g: r for r in quantiles.group_quantiles(spark.createDataFrame(vals, "g string, v double"), "g", "v", probs, rows=5).collect()}
+    assert set(got) == {"hot", "tie", "inf", "one", "zero", None}
+    for g in set(got) - {"inf"}:
+        x = np.array([v for k, v in vals if k == g])
+        assert [got[g][n] for n in probs] == pytest.approx([np.quantile(x, p) for p in probs.values()], abs=1e-12), g
+    assert (got["inf"].least, got["inf"].mid, got["inf"].most) == (float("-inf"), 1.0, float("inf"))
+    whole = quantiles.group_quantiles(spark.createDataFrame(vals, "g string, v double").filter("g = 'hot'"), None, "v", {"mid": 0.5}, rows=5).collect()
+    assert [r.mid for r in whole] == [got["hot"].mid] and quantiles.group_quantiles(spark.createDataFrame([], "g string, v double"), "g", "v", probs).collect() == []
+
+
+def test_no_task_orders_more_than_the_bound(spark, monkeypatch):
+    """Ten million values of one group, at most 20,000 ordered; the ranges that are ordered are counted."""
+    ordered = []
+    keep = quantiles.stored
+
+    def watch(df):
+        out = keep(df)
+        if "_state" in out.columns:
+            ordered.extend(r._n for r in out.filter("_state = 'order'").collect())
+        return out
+
+    monkeypatch.setattr(quantiles, "stored", watch)
+    d = spark.range(10_000_000).select(F.lit("a").alias("g"), ((F.col("id") * 7_368_787) % 10_000_019).cast("double").alias("v"))
+    got = quantiles.group_quantiles(d, "g", "v", {"mid": 0.5}, rows=20_000).first().mid
+    assert ordered and max(ordered) <= 22_000
+    assert got == d.selectExpr("percentile(v, 0.5)").first()[0]
+
+
 def test_walk_forward_folds(spark):
     d = spark.range(130).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
     f = events.walk_forward(d, "day", 60, 20, 20).groupBy("fold", "part").count()
