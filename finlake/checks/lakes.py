@@ -65,3 +65,60 @@ add("lake_iv_surface", lambda t: lake(t, option_chains=_contracts(t)).iv_surface
     """WITH k AS (SELECT underlying, expiration, strike, put_call, snapshot_date, max(implied_vol) AS implied_vol, max(delta) AS delta, max(volume) AS volume, max(open_interest) AS open_interest FROM chain
          WHERE underlying = 'R' GROUP BY 1, 2, 3, 4, 5)
        SELECT underlying, expiration, strike, put_call, implied_vol, delta, volume, open_interest FROM k WHERE snapshot_date = (SELECT max(snapshot_date) FROM k) AND implied_vol > 0""")
+
+
+# ---- saved queries ------------------------------------------------------------------
+
+START = "1996-01-01"
+
+
+def _company(t: Tables) -> Lake:
+    closes = t.role("prices").withColumn("day", F.lit("2000-12-29").cast("date"))
+    return lake(t, financials="financials", ohlcv_daily=closes, treasury_yields="yields")
+
+
+def _macro(t: Tables) -> Lake:
+    months = t.role("monthly")
+    return lake(t, treasury_yields="yields", ohlcv_daily="odaily", labor_market=months.select("date", "unemployment_rate"), inflation=months.select("date", "cpi"),
+                inflation_expectations=months.select("date", "market_10_year", "model_1_year"))
+
+
+same_as("lake_fundamentals_screener", "mrt11_fundamentals_screener", lambda t: _company(t).fundamentals_screener(None))
+same_as("lake_equity_risk_premium", "mrt12_equity_risk_premium", lambda t: _company(t).equity_risk_premium())
+same_as("lake_pe_list", "mrt13_pe_list", lambda t: rnd(_company(t).pe_list("2000"), 6, "pe_ratio"))
+same_as("lake_dilution_snapshot", "mrt25_dilution_snapshot", lambda t: _company(t).dilution_snapshot())
+same_as("lake_curve_history", "prj16_curve_history", lambda t: rnd(_macro(t).curve_history(START), 2, "y1"))
+same_as("lake_real_yield", "prj16_real_yield", lambda t: _macro(t).real_yield(START))
+same_as("lake_curve_vs_jobs", "prj17_curve_vs_jobs", lambda t: rnd(_macro(t).curve_vs_jobs(START), 8, "spread_2s10s"))
+same_as("lake_macro_dashboard", "agg27_macro_dashboard", lambda t: _macro(t).macro_dashboard(("5-LOW", "1-URGENT"), START))
+same_as("lake_regime_dashboard", "agg28_regime_dashboard", lambda t: _macro(t).regime_dashboard(START, "5-LOW"))
+
+# ---- more of the market, futures and energy methods ---------------------------------
+
+FIVE = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def _market(t: Tables) -> Lake:
+    return lake(t, ohlcv_daily="sdaily", universe="universe")
+
+
+same_as("lake_top_gainers", "mrt06_top_gainers", lambda t: _market(t).top_movers())
+same_as("lake_most_active", "mrt07_most_active", lambda t: _market(t).most_active())
+same_as("lake_treemap", "mrt09_treemap", lambda t: _market(t).treemap(1000))
+same_as("lake_sector_performance", "agg07_sector_performance", lambda t: _market(t).sector_performance(60))
+same_as("lake_overnight_gaps", "mrt18_overnight_gaps", lambda t: _market(t).overnight_gaps())
+same_as("lake_beta", "mrt15_beta", lambda t: lake(t, ohlcv_daily="odaily").beta("5-LOW"))
+same_as("lake_rotation", "mrt17_rotation", lambda t: lake(t, ohlcv_daily="odaily").rotation(FIVE, "5-LOW"))
+same_as("lake_correlation_matrix", "mrt16_corr_returns", lambda t: rnd(lake(t, ohlcv_daily="odaily").correlation_matrix(FIVE, 365, "returns"), 6, "correlation"))
+same_as("lake_futures_latest", "mrt22_latest_bars", lambda t: lake(t, commodities_ohlcv="futures").futures_latest().drop("ingested_at"))
+same_as("lake_futures_latest_returns", "mrt22_latest_returns", lambda t: lake(t, commodities_ohlcv="futures").futures_latest_returns())
+same_as("lake_petroleum_weekly", "mrt29_petroleum_balance", lambda t: lake(t, eia_petroleum_weekly="petro_weekly").petroleum_weekly().drop("ingested_at"))
+same_as("lake_petroleum_vs_range", "agg24_vs_range", lambda t: rnd(lake(t, eia_petroleum_weekly="petro_weekly").petroleum_vs_range(), 6, "range_avg"))
+
+
+def _sql(t: Tables) -> DataFrame:
+    """Ad-hoc SQL over the newest rows of the stored tables."""
+    return _market(t).sql("""SELECT u.type, year(d.day) AS year, count(*) AS days, max(d.close) AS high FROM ohlcv_daily d JOIN universe u USING (ticker) GROUP BY 1, 2""")
+
+
+add("lake_sql", _sql, "SELECT u.type, CAST(year(d.day) AS INTEGER) AS year, count(*) AS days, max(d.close) AS high FROM sdaily d JOIN universe u USING (ticker) GROUP BY 1, 2")

@@ -13,6 +13,7 @@ from finlake.checks import roles as R
 from finlake.checks.registry import add
 from finlake.functions.lookups import EXCHANGES, TRANSACTION_TYPES
 from finlake.operators import dedup
+from finlake.session import scratch_path
 from finlake.sources import bars as sb, common, filings as sf, options as so, reference as sr, series as ss, sinks
 
 c = F.col
@@ -365,6 +366,18 @@ add("snk02_reconcile_months", lambda t: sinks.reconcile(
     t.lineitem.select(F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ym")), t.lineitem.filter(c("l_quantity") < 50).select(F.date_format("l_shipdate", "yyyyMM").cast("int").alias("ym")), "ym"),
     """WITH s AS (SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS ym, count(*) AS source_rows, count(*) FILTER (l_quantity < 50) AS target_rows FROM lineitem GROUP BY 1)
        SELECT ym, source_rows, target_rows, source_rows = target_rows AS matches FROM s""")
+def _copied(t):
+    """Rows of both sides of a copy by month, and what the written side adds up to."""
+    path = scratch_path(t.spark, "snk02")
+    d = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    counts = sinks.copy_by_month(d, path, "l_shipdate", ["l_orderkey", "l_linenumber"])
+    written = t.spark.read.parquet(path).groupBy("ym").agg(F.sum("l_quantity").alias("quantity"), F.min("l_shipdate").cast("date").alias("first_day"), F.max("l_orderkey").alias("last_order"))
+    return counts.join(written, "ym")
+
+
+add("snk02_copy_by_month", _copied,
+    """SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS ym, count(*) AS source_rows, count(*) AS target_rows, TRUE AS matches, sum(l_quantity) AS quantity, CAST(min(l_shipdate) AS DATE) AS first_day,
+       max(l_orderkey) AS last_order FROM lineitem GROUP BY 1""")
 add("snk03_merge_latest", lambda t: dedup.merge_latest(
     t.orders.filter(c("o_orderstatus") == "F"), t.orders.withColumn("o_totalprice", c("o_totalprice") + (c("o_orderkey") % 3 - 1)), ["o_orderkey"], ["o_totalprice"]),
     """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 3 = 0 THEN o_totalprice ELSE o_totalprice + (o_orderkey % 3 - 1) END AS o_totalprice, o_orderdate, o_orderpriority FROM orders""")

@@ -399,8 +399,48 @@ class Lake:
     def import_dependency(self) -> DataFrame:
         return com.import_dependency(self.table("eia_petroleum_monthly"))
 
+    def curve_history(self, start) -> DataFrame:
+        """One-, five- and ten-year yields and their spread, day by day."""
+        return macro.curve_history(self.table("treasury_yields", start), _date(start))
+
+    def real_yield(self, start) -> DataFrame:
+        """Ten-year yield less the inflation that was expected in its month."""
+        return macro.real_yield(self.table("treasury_yields", start), self.table("inflation_expectations"), _date(start))
+
+    def curve_vs_jobs(self, start) -> DataFrame:
+        return macro.curve_vs_jobs(self.table("treasury_yields", start), self.table("labor_market"), _date(start))
+
+    def macro_dashboard(self, tickers: Sequence[str], start) -> DataFrame:
+        """Jobs, prices, expectations, yields and mean closes by month."""
+        first = F.trunc(_date(start), "month")
+        return macro.macro_dashboard(self.table("labor_market", start), self.table("inflation"), self.table("inflation_expectations"),
+                                     self.table("treasury_yields", first), self.daily(first), tuple(tickers), _date(start))
+
+    def regime_dashboard(self, start, proxy: str = BENCHMARK) -> DataFrame:
+        """Volatility, curve, price and jobs regimes by month; ``proxy`` is the ticker whose volatility counts."""
+        return macro.regime_dashboard(self.daily().filter(F.col("ticker") == proxy), self.table("treasury_yields"), self.table("inflation"), self.table("labor_market"), _date(start))
+
     # ---- statements and filings ---------------------------------------------------
 
+    def _last_closes(self) -> DataFrame:
+        """(ticker, close) of the last market day; only its year is read."""
+        return self.daily(self._now(), self._now()).select("ticker", "close")
+
+    def fundamentals_screener(self, limit: int | None = 30) -> DataFrame:
+        """Valuation, margins and leverage from each ticker's latest quarter, cheapest first."""
+        return fun.fundamentals_screener(self.table("financials"), self._last_closes(), limit)
+
+    def equity_risk_premium(self, limit: int | None = 30) -> DataFrame:
+        """Earnings yields of the latest quarter less the newest ten-year yield."""
+        return fun.equity_risk_premium(self.table("financials"), self._last_closes(), self.table("treasury_yields"), limit)
+
+    def pe_list(self, year: str, period: str = "FY") -> DataFrame:
+        return fun.pe_list(self.table("financials"), self._last_closes(), year, period)
+
+    def latest_statements(self) -> DataFrame:
+        """The newest annual statement of each ticker."""
+        return fun.latest_statements(self.table("financials"))
+
     def statements(self, ticker: str, timeframe: str = "annual", **filters) -> DataFrame:
         return fun.statements(self.table("financials"), ticker, timeframe, **filters)
 
