@@ -62,20 +62,25 @@ _XRET = [f"ret_{LABELS[a]}" for a in ASSETS]
 _XCOR = ["corr_low_urgent_20d", "corr_low_high_20d"]
 
 
-def _asset_sql():
+def _asset_sql(digits: bool = True):
+    """(CTEs, columns, joins) of the returns and correlations; without ``digits`` they are not rounded."""
+    rounded = (lambda x, n: f"round({x}, {n})") if digits else (lambda x, n: x)
     parts, joins = [], []
     for a in ASSETS:
         n = LABELS[a]
         parts.append(f"x_{n} AS (SELECT day, (close - lag(close) OVER w) / lag(close) OVER w AS r, lag(day) OVER w AS pd FROM odaily WHERE ticker = '{a}' WINDOW w AS (ORDER BY day))")
-        joins.append((f"ret_{n}", f"CASE WHEN x_{n}.pd >= cal.date - 35 THEN round(x_{n}.r, 8) END", f"ASOF LEFT JOIN x_{n} ON cal.date >= x_{n}.day"))
+        joins.append((f"ret_{n}", f"CASE WHEN x_{n}.pd >= cal.date - 35 THEN {rounded(f'x_{n}.r', 8)} END", f"ASOF LEFT JOIN x_{n} ON cal.date >= x_{n}.day"))
     for b in ("urgent", "high"):
         parts.append(f"""y_{b} AS (SELECT l.day, count(*) OVER w AS n, min(least(l.pd, o.pd)) OVER w AS f, covar_pop(l.r, o.r) OVER w / nullif(stddev_pop(l.r) OVER w * stddev_pop(o.r) OVER w, 0) AS v
             FROM x_low l JOIN x_{b} o ON l.day = o.day WHERE l.r IS NOT NULL AND o.r IS NOT NULL WINDOW w AS (ORDER BY l.day ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))""")
-        joins.append((f"corr_low_{b}_20d", f"CASE WHEN y_{b}.n >= 20 AND y_{b}.f >= cal.date - 35 THEN round(y_{b}.v, 6) END", f"ASOF LEFT JOIN y_{b} ON cal.date >= y_{b}.day"))
-    return f"WITH {', '.join(parts)} SELECT cal.date, {', '.join(f'{e} AS {n}' for n, e, _ in joins)} FROM cal {' '.join(j for _, _, j in joins)}"
+        joins.append((f"corr_low_{b}_20d", f"CASE WHEN y_{b}.n >= 20 AND y_{b}.f >= cal.date - 35 THEN {rounded(f'y_{b}.v', 6)} END", f"ASOF LEFT JOIN y_{b} ON cal.date >= y_{b}.day"))
+    return ", ".join(parts), ", ".join(f"{e} AS {n}" for n, e, _ in joins), " ".join(j for _, _, j in joins)
 
 
-add("fea03_cross_asset", lambda t: rnd(rnd(fe.GROUPS["cross_asset"](inputs(t), calendar(t)).select("date", *_XRET, *_XCOR), 8, *_XRET), 6, *_XCOR), _asset_sql())
+_ASSET = "WITH {} SELECT cal.date, {} FROM cal {}".format(*_asset_sql())
+
+
+add("fea03_cross_asset", lambda t: rnd(rnd(fe.GROUPS["cross_asset"](inputs(t), calendar(t)).select("date", *_XRET, *_XCOR), 8, *_XRET), 6, *_XCOR), _ASSET)
 
 _DTE = "(expiration - snapshot_date)"
 _ATM = "put_call = 'call' AND implied_vol > 0 AND abs(strike - underlying_price) / underlying_price < 0.02"
@@ -145,11 +150,24 @@ add("fea07_staleness", _staleness,
 
 
 def _pca(t):
-    d = fe.pca(fe.feature_matrix(*asked(t)))
-    return d.select("date", "feature_count", *[f"pc_{i}" for i in range(1, 11)])
+    return fe.pca(fe.feature_matrix(*asked(t))).select("date", "feature_count", *[f"pc_{i}" for i in range(1, 11)])
+
+
+def _rounded(d, k: int):
+    """Components without their signs: two loadings of nearly one size make those a matter of the last bits."""
+    pcs = [f"pc_{i}" for i in range(1, k + 1)]
+    return rnd(d.withColumns({p: F.abs(p) for p in pcs}), 5, *pcs)
 
 
-add("fea08_pca", _pca)
+_EVERY = [*fe.EQUITY, *_XRET, *_XCOR, *fe.OPTIONS, *fe.MACRO]
+_CROSS = _asset_sql(digits=False)
+_MATRIX = f"""{_EQ}, {_MAC}, {_OPT}, {_CROSS[0]}, xa AS (SELECT cal.date, {_CROSS[1]} FROM cal {_CROSS[2]}),
+    oo AS (SELECT cal.date, {", ".join(f"CASE WHEN op.d >= cal.date - 5 THEN op.{x} END AS {x}" for x in fe.OPTIONS)} FROM cal ASOF LEFT JOIN op ON cal.date >= op.d),
+    f AS MATERIALIZED (SELECT * FROM eq JOIN ma USING (date) JOIN xa USING (date) JOIN oo USING (date))"""
+add("fea08_pca", lambda t: _rounded(_pca(t).withColumn("feature_count", c("feature_count").cast("long")), 10),
+    f"""WITH {_MATRIX}, {eigen.components(eigen.unpivot('f', _EVERY), 10, 14)},
+        w AS (SELECT date, {", ".join(f"round(any_value(pc) FILTER (i = {i}), 5) AS pc_{i}" for i in range(1, 11))} FROM pcs GROUP BY date)
+        SELECT date, {" + ".join(f"CAST({x} IS NOT NULL AS BIGINT)" for x in _EVERY)} AS feature_count, {", ".join(f"pc_{i}" for i in range(1, 11))} FROM f JOIN w USING (date)""")
 
 
 def _invariants(t):
@@ -165,14 +183,6 @@ def _invariants(t):
 add("fea08_pca_invariants", _invariants, "SELECT i AS component, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS shared, TRUE AS falling FROM range(1, 11) t(i)")
 
 
-def _score(t):
-    x, cal = asked(t)
-    return fe.score_day(fe.feature_matrix(x, cal, ("equity", "macro")), cal.select(F.max("date")).scalar()).select("date", "pc_1", "pc_2")
-
-
-add("fea09_score_day", _score)
-
-# Components come without their signs: two loadings of nearly one size make them a matter of the last bits.
 _PCS = 3
 
 
@@ -193,7 +203,7 @@ def _scored(t):
     return rnd(d.select("date", *[F.abs(f"pc_{i}").alias(f"pc_{i}") for i in range(1, _PCS + 1)]), 5, *[f"pc_{i}" for i in range(1, _PCS + 1)])
 
 
-add("fea09_score_newest_day", _scored,
+add("fea09_score_day", _scored,
     f"""WITH {_WIDE}, e AS (SELECT max(date) AS d FROM m), w AS (SELECT m.* FROM m, e WHERE date BETWEEN d - 282 AND d), {eigen.components(eigen.unpivot('w', _TWO), _PCS, 14)}
         SELECT date, {_PCSEL} FROM pcs JOIN e ON date = d GROUP BY date""")
 
