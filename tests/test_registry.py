@@ -29,7 +29,7 @@ def con():
 
 def test_oracles_belong_to_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(entry.LLM) - set(SQL) == {"fea08_pca", "fea09_score_day"}
+    assert set(QUERIES) - set(entry.LLM) - set(SQL) == set()
 
 
 def test_entry(spark):
