@@ -102,6 +102,7 @@ _BREAKDOWN = """SELECT {k}, count(*) AS rows, count(DISTINCT underlying) AS unde
     max(snapshot_date) AS latest, count(DISTINCT expiration) AS expirations, round(avg(implied_vol), 4) AS avg_iv, round(avg(expiration - snapshot_date), 0) AS avg_dte FROM chain GROUP BY 1 {tail}"""
 add("dq12_audit_by_year", lambda t: quality.audit_breakdown(t.role("chain"), F.year("snapshot_date"), "year"),
     _BREAKDOWN.format(k="CAST(year(snapshot_date) AS INTEGER) AS year", tail=""))
+add("dq12_audit_by_source", lambda t: quality.audit_breakdown(t.role("chain").withColumn("source", F.concat(F.lit("feed_"), "put_call")), c("source"), "source"), _BREAKDOWN.format(k="'feed_' || put_call AS source", tail=""))
 add("dq12_audit_top_underlyings", lambda t: quality.audit_breakdown(t.role("chain"), c("underlying"), "underlying", 20).drop("underlyings"),
     "SELECT * EXCLUDE (underlyings) FROM (" + _BREAKDOWN.format(k="underlying", tail="ORDER BY rows DESC, 1 LIMIT 20") + ")")
 

@@ -122,3 +122,23 @@ def _sql(t: Tables) -> DataFrame:
 
 
 add("lake_sql", _sql, "SELECT u.type, CAST(year(d.day) AS INTEGER) AS year, count(*) AS days, max(d.close) AS high FROM sdaily d JOIN universe u USING (ticker) GROUP BY 1, 2")
+
+
+# ---- corporate actions and filings of one ticker ------------------------------------
+
+
+def _dividends(t: Tables) -> DataFrame:
+    return t.role("dividends").groupBy("ticker", "ex_dividend_date").agg(F.max("cash_amount").alias("cash_amount"))
+
+
+_PAID = "SELECT ticker, ex_dividend_date, max(cash_amount) AS cash_amount FROM dividends GROUP BY 1, 2"
+add("lake_dividends_of_ticker", lambda t: lake(t, dividends=_dividends(t)).dividends("7").drop("ingested_at"), f"SELECT * FROM ({_PAID}) WHERE ticker = '7'")
+add("lake_dividend_calendar", lambda t: lake(t, dividends=_dividends(t)).dividend_calendar("1998-03-01", "1998-03-31").drop("ingested_at"),
+    f"SELECT * FROM ({_PAID}) WHERE ex_dividend_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'")
+add("lake_splits_of_ticker", lambda t: lake(t, stock_splits=_dividends(t).select("ticker", F.col("ex_dividend_date").alias("execution_date"), F.col("cash_amount").alias("split_to"))).splits("7").drop("ingested_at"),
+    f"SELECT ticker, ex_dividend_date AS execution_date, cash_amount AS split_to FROM ({_PAID}) WHERE ticker = '7'")
+_NEWEST = "(SELECT max(filed_date) FROM filings)"
+add("lake_filings_of_ticker", lambda t: lake(t, sec_filings="filings").filings("7", 900, None).drop("ingested_at"),
+    f"SELECT * FROM filings WHERE ticker = '7' AND filed_date BETWEEN {_NEWEST} - 900 AND {_NEWEST}")
+add("lake_events_of_ticker", lambda t: lake(t, sec_filings="filings").filings("7", 2000, None, "event").drop("ingested_at"),
+    f"SELECT * FROM filings WHERE ticker = '7' AND form_type IN ('8-K', '8-K/A') AND filed_date BETWEEN {_NEWEST} - 2000 AND {_NEWEST}")

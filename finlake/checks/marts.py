@@ -31,6 +31,11 @@ add("prj02_futures_monthly", lambda t: com.futures_bars(t.role("futures"), ["CL=
     """SELECT ticker, name, CAST(date_trunc('month', date) AS DATE) AS period, arg_min(open, date) AS open, max(high) AS high, min(low) AS low, arg_max(close, date) AS close,
        CAST(sum(volume) AS BIGINT) AS volume FROM futures WHERE ticker IN ('CL=F', 'GC=F') AND date >= DATE '1996-01-01' GROUP BY 1, 2, 3""")
 
+for _n, _g, _t in (("weekly", "1wk", "week"), ("quarterly", "1q", "quarter"), ("yearly", "1yr", "year")):
+    add(f"prj02_futures_{_n}", (lambda g: lambda t: com.futures_bars(t.role("futures"), ["CL=F", "GC=F"], g, end=day("1997-12-31")))(_g),
+        f"""SELECT ticker, name, CAST(date_trunc('{_t}', date) AS DATE) AS period, arg_min(open, date) AS open, max(high) AS high, min(low) AS low, arg_max(close, date) AS close,
+        CAST(sum(volume) AS BIGINT) AS volume FROM futures WHERE ticker IN ('CL=F', 'GC=F') AND date <= DATE '1997-12-31' GROUP BY 1, 2, 3""")
+
 add("prj03_sparklines", lambda t: mk.sparklines(t.role("sdaily"), ["1", "2", "3", "5", "8"], R.s_asof(t), 90).select("ticker", F.concat_ws(",", F.transform("closes", lambda x: x.cast("long").cast("string"))).alias("closes")),
     f"""SELECT ticker, string_agg(CAST(CAST(trunc(close) AS BIGINT) AS VARCHAR), ',' ORDER BY day) AS closes FROM sdaily
         WHERE ticker IN ('1', '2', '3', '5', '8') AND day BETWEEN {AS_OF} - 90 AND {AS_OF} GROUP BY 1""")
@@ -56,7 +61,8 @@ add("prj09_macro_series", lambda t: macro.macro_series(t.role("yields"), day("19
     "SELECT * FROM yields WHERE date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'")
 
 for _f, _w in (("annual", "form_type IN ('10-K', '10-K/A', '20-F', '20-F/A')"), ("institutional", "form_type IN ('SC 13G', 'SC 13G/A', 'SC 13D', 'SC 13D/A', 'SCHEDULE 13G', 'SCHEDULE 13G/A', 'SCHEDULE 13D', 'SCHEDULE 13D/A')"),
-               ("prospectus", "form_type LIKE '424B%'"), ("insider", "form_type IN ('3', '4', '5')")):
+               ("prospectus", "form_type LIKE '424B%'"), ("insider", "form_type IN ('3', '4', '5')"), ("quarterly", "form_type IN ('10-Q', '10-Q/A')"), ("event", "form_type IN ('8-K', '8-K/A')"),
+               ("registration", "form_type IN ('S-1', 'S-1/A', 'S-3', 'S-3ASR', 'S-3/A', 'S-8', 'S-8 POS', 'F-1', 'F-3')")):
     add(f"prj10_filings_{_f}", (lambda f: lambda t: fil.filings_of_family(t.role("filings"), f))(_f), f"SELECT * FROM filings WHERE {_w}")
 
 add("prj11_open_market_days", lambda t: fil.within_days(fil.open_market(t.role("insider")), F.date_add(R.o_asof(t), 2), 90),

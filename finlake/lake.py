@@ -453,7 +453,7 @@ class Lake:
     def dilution_series(self, ticker: str, timeframe: str = "quarterly") -> DataFrame:
         return fun.dilution_series(self.table("financials").filter(F.col("ticker") == ticker), timeframe)
 
-    def filings(self, ticker: str, days: int = 730, limit: int = 40, family: str | None = None) -> DataFrame:
+    def filings(self, ticker: str, days: int = 730, limit: int | None = 40, family: str | None = None) -> DataFrame:
         d = self.table("sec_filings")
         d = fil.filings_of_family(d, family) if family else d
         return fil.within_days(d, self.as_of("sec_filings"), days, "filed_date", ticker, limit)
