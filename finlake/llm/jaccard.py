@@ -161,21 +161,22 @@ def _choose(n: int, df: np.ndarray, percent: int) -> tuple[int, int]:
 
 
 def prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(token, node, n, k): the prefix of each class, as rows."""
+    """(token, node, n, k, s): the prefix of each class, as rows; s shingles of the class are found elsewhere too."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 500):
                 part = batch.slice(low, 500).to_pydict()
-                token, node, size, ks = [], [], [], []
+                token, node, size, ks, elsewhere = [], [], [], [], []
                 for i, n, tokens, df in zip(part["node"], part["n"], part["common"], part["df"]):
                     k, length = _choose(n, common.unpack_ints(df, np.uint64).astype(np.float64), percent)
                     token.append(np.frombuffer(tokens, np.int64)[:length])
                     node.append(np.full(length, i))
                     size.append(np.full(length, n))
                     ks.append(np.full(length, k))
-                yield pa.record_batch({c: pa.array(np.concatenate(x).astype(np.int64)) for c, x in (("token", token), ("node", node), ("n", size), ("k", ks))})
+                    elsewhere.append(np.full(length, len(tokens) // 8))
+                yield pa.record_batch({c: pa.array(np.concatenate(x).astype(np.int64)) for c, x in (("token", token), ("node", node), ("n", size), ("k", ks), ("s", elsewhere))})
 
-    return classes.select("node", "n", "common", "df").mapInArrow(cut, "token bigint, node bigint, n bigint, k bigint")
+    return classes.select("node", "n", "common", "df").mapInArrow(cut, "token bigint, node bigint, n bigint, k bigint, s bigint")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -265,10 +266,9 @@ def _by_pivot(entries: DataFrame, classes: DataFrame, percent: int) -> tuple[Dat
 
 def link(classes: DataFrame, percent: int, long_list: int = 64) -> DataFrame:
     """(node, component) of the classes that link with another; lists of more than ``long_list`` members go by pivots."""
-    counted = classes.select("node", F.expr("length(common) DIV 8").alias("s"))
     entries = prefixes(classes, percent)
     lists = entries.groupBy("token").agg(F.count("*").alias("m")).filter("m > 1").select("token")
-    entries = stored(entries.join(lists, "token").join(counted, "node").withColumn("component", F.col("node")))
+    entries = stored(entries.join(lists, "token").withColumn("component", F.col("node")))
     star = entries.join(_heads(entries, "n - s"), "token").filter(f"node <> b AND {_fits(percent)}")
     links = stored(verified(_candidates(star), classes, percent))
     known = components(links)
@@ -293,11 +293,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, id_col:
     ``docs`` is read twice and has to give the same rows in the same order, as a stored table does.
     """
     rows = stored(sets(docs, width, percent, id_col, text_col))
-    same = rows.filter("n > 0").groupBy("n", "sig").agg(F.min("id").alias("class_id"))
-    may = rows.filter("common IS NOT NULL").groupBy("n", "sig").agg(F.min("id").alias("class_id"), F.first("common").alias("common"), F.first("df").alias("df"))
-    classes = stored(may.withColumn("node", F.monotonically_increasing_id()))
-    named = classes.select("node", "n", "sig", "class_id").join(link(classes, percent), "node")
-    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named = named.join(least, "component").select("n", "sig", "component_id")
-    out = rows.select("id", "n", "sig").join(same, ["n", "sig"], "left").join(named, ["n", "sig"], "left")
+    # copies have the same shingles, so any row of a class tells which of them are found elsewhere
+    classes = stored(rows.filter("n > 0").groupBy("n", "sig").agg(F.min("id").alias("class_id"), F.first("common").alias("common"), F.first("df").alias("df")).withColumn("node", F.monotonically_increasing_id()))
+    linked = stored(classes.select("node", "n", "sig", "class_id").join(link(classes.filter("common IS NOT NULL"), percent), "node", "left"))
+    least = linked.filter("component IS NOT NULL").groupBy("component").agg(F.min("class_id").alias("component_id"))
+    named = linked.join(least, "component", "left").select("n", "sig", "class_id", "component_id")
+    whole = rows.filter("n > 0").select("id", "n", "sig").join(named, ["n", "sig"])
+    out = whole.select("id", "n", "class_id", "component_id").union(rows.filter("n = 0").select("id", "n", F.lit(None), F.lit(None)))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "class_id", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"))
