@@ -1,12 +1,14 @@
 """WARC archives through a chunked record table.
 
-A record is rows of (record_id, chunk, data, digest): ``digest`` is the running SHA-1 state's value after the chunk, so the
-last chunk of a record has the digest of the whole payload and no step has to hold a payload again to know it.
-``chunked`` cuts payloads into such rows, ``write`` streams rows into archives, a gzip member for each record, and
-``read`` streams archives back into rows; writer and reader hold one chunk at a time.
+A record is rows of (record_id, chunk, data).  ``chunked`` cuts payloads into such rows where they are scanned, so what is
+shuffled, sorted and handed to Python are chunks, never a whole payload; ``write`` streams the rows into archives, a gzip
+member for each record, and ``read`` streams archives back into rows.  Writer and reader hold one chunk at a time and carry a
+SHA-1 from chunk to chunk, so the last chunk of a record has the digest of the whole payload and no step holds a payload
+again to know it.  A payload whose chunks do not give the digest announced in its header is an error on either side.
 
 Equal payloads are written once: the largest record id of each group is the response, the others are revisits of it
-without a block.  A group is found by digest and length, reduced before the shuffle, whatever its size.
+without a block.  A group is found by digest and length, reduced before the shuffle, whatever its size; ids and digests
+alone are joined for it, and payloads meet the verdict by their own id, so copies of a frequent payload do not meet.
 
 Archives go through ``pyarrow.fs`` into a folder that the driver and executors share.  A task writes one archive under a
 name of its own attempt, and only archives named in the manifest (a stored table, which holds finished tasks only) are
@@ -48,14 +50,32 @@ def base32(sha1_hex: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.element_at(letters, F.conv(F.substring(bits, k * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1)), "")
 
 
-def assign(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
-    """``pages`` with payload_bytes, payload_digest, record_type and refers_to."""
-    body = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    pages = pages.withColumns({"payload_bytes": F.length(body).cast("bigint"), "sha1": F.sha1(body)})
-    first = pages.groupBy("sha1", "payload_bytes").agg(F.max(id_col).alias("holder"))
-    out = pages.join(first, ["sha1", "payload_bytes"])
-    again = (F.col("payload_bytes") >= least_bytes) & ~F.col(id_col).eqNullSafe(F.col("holder"))
-    return out.select(*[c for c in pages.columns if c not in ("sha1", "payload_bytes")], "payload_bytes", base32(F.col("sha1")).alias("payload_digest"), F.when(again, REVISIT).otherwise(RESPONSE).alias("record_type"), F.when(again, F.col("holder")).alias("refers_to"))
+def _body(payload_col: str) -> Column:
+    return F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
+
+
+def _digests(pages: DataFrame, id_col: str, payload_col: str) -> DataFrame:
+    body = _body(payload_col)
+    return pages.select(F.col(id_col).alias("id"), F.sha1(body).alias("sha1"), F.length(body).cast("bigint").alias("payload_bytes"))
+
+
+def verdicts(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", least_bytes: int = 0) -> DataFrame:
+    """(id, sha1, payload_bytes, record_type, refers_to): a row for each different id and payload; no payload is shuffled."""
+    seen = _digests(pages, id_col, payload_col).groupBy("sha1", "payload_bytes", "id").agg(F.count("*").alias("rows"))
+    first = seen.groupBy("sha1", "payload_bytes").agg(F.max("id").alias("holder"))
+    out = seen.join(first, ["sha1", "payload_bytes"])
+    again = (F.col("payload_bytes") >= least_bytes) & ~F.col("id").eqNullSafe(F.col("holder"))
+    return out.select("id", "sha1", "payload_bytes", F.when(again, REVISIT).otherwise(RESPONSE).alias("record_type"), F.when(again, F.col("holder")).alias("refers_to"))
+
+
+def chunked(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url") -> DataFrame:
+    """(id, url, sha1, payload_bytes, row, chunk, data): ``pages`` as chunk rows of at most CHUNK bytes, one at least.
+
+    ``row`` tells records of one id apart.  A chunk is cut out when its row is made, so payloads are not copied as wholes.
+    """
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), _body(payload_col).alias("body")).withColumns({"sha1": F.sha1("body"), "payload_bytes": F.length("body").cast("bigint"), "row": F.monotonically_increasing_id()})
+    rows = rows.select("*", F.explode(F.expr(f"sequence(0L, greatest(payload_bytes - 1, 0) DIV {CHUNK})")).alias("chunk"))
+    return rows.select("id", "url", "sha1", "payload_bytes", "row", "chunk", F.expr(f"substring(body, CAST(chunk * {CHUNK} + 1 AS INT), {CHUNK})").alias("data"))
 
 
 def _header(row: dict, length: int) -> bytes:
@@ -68,38 +88,49 @@ def _header(row: dict, length: int) -> bytes:
     return ("\r\n".join([*lines, f"Content-Length: {length}"]) + "\r\n\r\n").encode()
 
 
-def _pieces(payload: memoryview) -> Iterator[memoryview]:
-    for low in range(0, len(payload), CHUNK):
-        yield payload[low:low + CHUNK]
-
-
-def write(pages: DataFrame, folder: str, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url") -> DataFrame:
-    """Write assigned ``pages`` as archives into ``folder``; the manifest (archive, records), stored."""
-    body = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.when(F.col("record_type") == RESPONSE, body).alias("body"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+def write(pages: DataFrame, folder: str, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url", least_bytes: int = 0) -> DataFrame:
+    """Write ``pages`` as archives into ``folder``; the manifest (archive, records, bytes), stored."""
+    told = verdicts(pages, id_col, payload_col, least_bytes).select(F.col("id").alias("its"), F.col("sha1").alias("its_sha1"), F.col("payload_bytes").alias("its_bytes"), "record_type", "refers_to")
+    rows = chunked(pages, id_col, payload_col, url_col)
+    # the id and its digest, not the digest alone: copies of one payload go to different tasks
+    rows = rows.join(told, rows["id"].eqNullSafe(told["its"]) & (rows["sha1"] == told["its_sha1"]) & (rows["payload_bytes"] == told["its_bytes"]))
+    rows = rows.filter(f"record_type = '{RESPONSE}' OR chunk = 0").withColumn("data", F.when(F.col("record_type") == RESPONSE, F.col("data")))
+    rows = rows.select("id", "url", "row", "chunk", "data", "payload_bytes", base32(F.col("sha1")).alias("payload_digest"), "record_type", "refers_to").sortWithinPartitions("id", "row", "chunk")
 
     def archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         task = TaskContext.get()
-        archive, out, n = f"part-{task.partitionId():05d}-{uuid.uuid4().hex}.warc.gz", None, 0
+        archive, out, n, left = f"part-{task.partitionId():05d}-{uuid.uuid4().hex}.warc.gz", None, 0, 0
+        member, digest = None, hashlib.sha1()
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k].as_py() for c in ("id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")}
-                body = batch.column("body")[k]
-                payload = memoryview(body.as_buffer()) if body.is_valid and row["payload_bytes"] else memoryview(b"")
-                out = out or store.open_output_stream(f"{root}/{archive}", compression=None)
-                member = zlib.compressobj(1, zlib.DEFLATED, 31)
-                out.write(member.compress(_header(row, len(payload))))
-                for piece in _pieces(payload):
-                    out.write(member.compress(piece))
-                out.write(member.compress(b"\r\n\r\n") + member.flush())
-                n += 1
+            data = batch.column("data")
+            told = batch.drop_columns(["data"]).to_pylist()
+            for k, row in enumerate(told):
+                piece = memoryview(data[k].as_buffer()) if data[k].is_valid and len(data[k].as_buffer() or b"") else memoryview(b"")
+                if row["chunk"] == 0:
+                    if left:
+                        raise RuntimeError(f"chunks of a record are missing before record {row['id']}")
+                    out = out or store.open_output_stream(f"{root}/{archive}", compression=None)
+                    left = row["payload_bytes"] if row["record_type"] == RESPONSE else 0
+                    member, digest = zlib.compressobj(1, zlib.DEFLATED, 31), hashlib.sha1()
+                    out.write(member.compress(_header(row, left)))
+                left -= len(piece)
+                digest.update(piece)
+                out.write(member.compress(piece))
+                if not left:
+                    if row["record_type"] == RESPONSE and base64.b32encode(digest.digest()).decode() != row["payload_digest"]:
+                        raise RuntimeError(f"the chunks of record {row['id']} do not give its digest")
+                    out.write(member.compress(b"\r\n\r\n") + member.flush())
+                    n += 1
+        if left:
+            raise RuntimeError("chunks of the last record are missing")
         if out:
+            size = out.tell()
             out.close()
-            yield pa.record_batch({"archive": pa.array([archive]), "records": pa.array([n], pa.int64())})
+            yield pa.record_batch({"archive": pa.array([archive]), "records": pa.array([n], pa.int64()), "bytes": pa.array([size], pa.int64())})
 
-    return stored(rows.mapInArrow(archived, "archive string, records bigint"))
+    return stored(rows.mapInArrow(archived, "archive string, records bigint, bytes bigint"))
 
 
 class _Stream:
@@ -137,21 +168,24 @@ class _Stream:
         return out
 
 
-def read(manifest: DataFrame, folder: str) -> DataFrame:
+def read(manifest: DataFrame, folder: str, with_data: bool = True) -> DataFrame:
     """(record_id, number, chunk, data, digest, size, last, record_type, refers_to, payload_length): the chunked record table.
 
     ``number`` counts the records of an archive, ``digest`` and ``size`` are those of the payload so far (bare base32).
+    Each archive is a task's work.  Without ``with_data`` every byte is still read and digested, but only the last row
+    of each record leaves the task, its data null.
     """
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             for archive in batch.column(0).to_pylist():
                 with store.open_input_stream(f"{root}/{archive}", compression=None) as source:
-                    yield from _batched(_records(_Stream(source), archive))
+                    records = _records(_Stream(source), archive)
+                    yield from _batched(records if with_data else (r | {"data": None} for r in records if r["last"]))
 
     schema = "archive string, number bigint, record_id bigint, chunk bigint, data binary, digest string, size bigint, last boolean, record_type string, refers_to bigint, payload_length bigint, named string"
-    # one archive to a task: archives are large
-    return manifest.select("archive").repartition("archive").mapInArrow(streamed, schema)
+    # a stated number of partitions stays as it is: rows of the manifest are small, archives are not
+    return manifest.select("archive").repartition(max(1, manifest.count())).mapInArrow(streamed, schema)
 
 
 def _records(stream: _Stream, archive: str) -> Iterator[dict]:
@@ -185,7 +219,7 @@ def _batched(rows: Iterator[dict], most: int = 4 << 20) -> Iterator[pa.RecordBat
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row["data"]) + 200
+        size += len(row["data"] or b"") + 200
         if size >= most:
             yield pa.record_batch({c: pa.array([r[c] for r in held], t) for c, t in kinds.items()})
             held, size = [], 0
@@ -210,5 +244,5 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "ht
     """Write ``pages`` as archives into the shared folder and read them back: ``payloads`` of the archives."""
     folder = scratch_path(pages.sparkSession, "warc")
     folder = folder if re.match(r"[a-z0-9+.-]+:", folder) else f"file://{folder}"
-    manifest = write(assign(pages.select(id_col, payload_col, url_col), id_col, payload_col, least_bytes), folder, id_col, payload_col, url_col)
-    return payloads(read(manifest, folder))
+    manifest = write(pages.select(id_col, payload_col, url_col), folder, id_col, payload_col, url_col, least_bytes)
+    return payloads(read(manifest, folder, with_data=False))

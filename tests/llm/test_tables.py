@@ -40,6 +40,7 @@ def test_components(spark, links):
             for n in x | y:
                 want[n] = x | y
     assert got == {n: min(s) for n, s in want.items()}
+    assert got == {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint").repartition(3), block=4).collect()}
 
 
 def vectors(spark, rows):
@@ -144,7 +145,7 @@ def test_archives(spark):
 
 def test_archives_are_streamed_by_chunks_and_readable(spark, tmp_path):
     big = "y" * (2 * warc.CHUNK + 5)
-    pages = warc.assign(spark.createDataFrame([(1, "u", big), (2, "u", "z")], "page_id bigint, url string, html string"))
+    pages = spark.createDataFrame([(1, "u", big), (2, "u", "z")], "page_id bigint, url string, html string")
     folder = f"file://{tmp_path}/arc"
     manifest = warc.write(pages, folder)
     chunks = warc.read(manifest, folder).orderBy("record_id", "chunk").collect()
@@ -154,6 +155,25 @@ def test_archives_are_streamed_by_chunks_and_readable(spark, tmp_path):
     assert text.count(b"WARC-Type: response\r\n") == 2 and big.encode() + b"\r\n\r\n" in text
 
 
+def test_long_payloads_travel_as_chunks_and_archives_are_read_by_a_task_each(spark, tmp_path):
+    pages = stored(spark.range(40).selectExpr("id AS page_id", "'u' AS url", "CASE WHEN id = 7 THEN repeat('0123456789abcdef', 4 << 20) WHEN id % 3 = 0 THEN 'the same' ELSE concat('page ', id) END AS html"))
+    chunks = warc.chunked(pages)
+    assert chunks.filter("id = 7").count() == 64 and chunks.selectExpr("max(length(data)) AS n").first().n == warc.CHUNK
+    folder = f"file://{tmp_path}/arc"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = warc.write(pages.repartition(20), folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    archives = manifest.count()
+    rows = warc.read(manifest, folder, with_data=False)
+    assert archives > 1 and rows.rdd.getNumPartitions() == archives and rows.filter("data IS NOT NULL").count() == 0
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.payloads(rows).collect()}
+    assert len(got) == 40 and got[7] == (64 << 20, "response", None) and got[39][1] == "response" and got[3] == (8, "revisit", 39)
+    whole = warc.read(manifest, folder).filter("record_id = 7").selectExpr("count(*) AS n", "sum(length(data)) AS size", "max(IF(last, digest, NULL)) AS digest").first()
+    assert (whole.n, whole.size, whole.digest) == (64, 64 << 20, base64.b32encode(hashlib.sha1(b"0123456789abcdef" * (4 << 20)).digest()).decode())
+
+
 def test_small_payloads_are_never_revisits(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id bigint, url string, html string")
     assert {r.page_id: r.record_type for r in warc.round_trip(pages, least_bytes=3).collect()} == {1: "response", 2: "response", 3: "revisit", 4: "response"}
