@@ -1,11 +1,12 @@
 """Language identification by bit-sliced Bloom filters of character n-grams.
 
-One array holds the filters of all languages, a bit for each, so a probe of the few slots of an n-gram returns all
-languages that contain it at once.  A text's n-grams are looked up, the bits of each language are counted over the text,
+One array holds the filters of all languages, a bit for each (a byte for every eight), so a probe of the few slots of an
+n-gram returns all languages that contain it at once.  The number of languages has no limit.  A text's n-grams are looked up, the bits of each language are counted over the text,
 each count is corrected for the share of n-grams its filter would contain by chance, and the language with the largest
 one is the answer; its part of all corrected counts is the score.
 
-``fit`` learns from at most ``sample_docs`` rows of each language (a parameter), counted by Spark.  An n-gram goes into the filter of
+``fit`` learns from at most ``sample_docs`` different rows of each language (a parameter), those whose id and text hash
+lowest, counted by Spark: a row that is repeated counts once, so neither an id nor a text in very many rows crowds out others.  An n-gram goes into the filter of
 every language that uses it at least ``share`` times as often, of all its n-grams, as the language that uses it most, so
 stray passages in another language do not count.  Prediction covers whole texts of any length, without a shuffle.
 
@@ -24,11 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SIZES = (3, 4)
 UNKNOWN = "und"
 #: Code points looked up at once.
 PIECE = 1 << 17
+#: The bits of each byte.
+BITS = np.arange(256)[:, None] >> np.arange(8) & 1
 
 
 @functools.lru_cache(maxsize=1)
@@ -55,9 +59,17 @@ def grams(code: np.ndarray, n: int) -> np.ndarray:
     return h[(code[:size] != 32) | (code[1:size + 1] != 32)]
 
 
+def places(h: np.ndarray, probes: int, size: int) -> Iterator[np.ndarray]:
+    """The slot of each n-gram at every probe; ``size`` is a power of two."""
+    shift = np.uint32(32 - size.bit_length() + 1)
+    with np.errstate(over="ignore"):
+        for k in range(probes):
+            yield (h * np.uint32(2 * k * 0x85EBCA6B + 0xC2B2AE35 & 0xFFFFFFFF)) >> shift
+
+
 @dataclass
 class Filters:
-    """Slots with a bit for each language, and how often each language's filter says yes by chance."""
+    """Slots with a bit for each language, eight to a plane, and how often each language's filter says yes by chance."""
 
     langs: list[str]
     slots: np.ndarray
@@ -66,28 +78,24 @@ class Filters:
     usual: int
 
     def masks(self, h: np.ndarray) -> np.ndarray:
-        """The languages whose filters contain each n-gram."""
-        shift, out = np.uint32(32 - int(len(self.slots)).bit_length() + 1), None
-        with np.errstate(over="ignore"):
-            for k in range(self.probes):
-                found = self.slots[(h * np.uint32(2 * k * 0x85EBCA6B + 0xC2B2AE35 & 0xFFFFFFFF)) >> shift]
-                out = found if out is None else out & found
+        """The languages whose filters contain each n-gram: a row of bytes for each plane."""
+        out = None
+        for at in places(h, self.probes, self.slots.shape[1]):
+            found = self.slots[:, at]
+            out = found if out is None else out & found
         return out
 
     def counts(self, text: str) -> tuple[np.ndarray, int]:
         """N-grams of the text in each language, and in all."""
-        code, total, each = codes(text), 0, np.zeros(len(self.langs), np.int64)
+        code, total, each = codes(text), 0, np.zeros(8 * len(self.slots), np.int64)
         for low in range(0, len(code), PIECE):
             for n in SIZES:
                 h = grams(code[low:low + PIECE + n - 1], n)
-                m = self.masks(h)
                 total += len(h)
-                if self.slots.dtype == np.uint8:
+                for plane, m in enumerate(self.masks(h)):
                     found = np.bincount(m, minlength=256)
-                    each += (found[:, None] * (np.arange(256)[:, None] >> np.arange(len(self.langs)) & 1)).sum(0)
-                else:
-                    each += [int((m >> np.uint64(k) & np.uint64(1)).sum()) for k in range(len(self.langs))]
-        return each, total
+                    each[8 * plane:8 * plane + 8] += found @ BITS
+        return each[:len(self.langs)], total
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.langs or not text or not any(map(str.isalpha, text)):
@@ -101,19 +109,20 @@ class Filters:
 
 
 def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", order_by: str = "doc_id", sample_docs: int = 2000, share: float = 0.4, least: int = 3, probes: int = 2, seed: int = 5) -> Filters:
-    """Filters of the values of ``lang_col`` (up to 64) in ``docs``; rows without one are left out.
+    """Filters of the values of ``lang_col`` in ``docs``; rows without one are left out.
 
-    ``order_by`` only decides, by its hash, which rows are in the sample.
+    ``order_by`` only decides, by its hash and the text's, which rows are in the sample.
     """
-    known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(order_by, F.lit(seed)).alias("order")).filter("lang IS NOT NULL")
-    counted = known.groupBy("lang").count().orderBy("lang").limit(65).collect()  # a row for each language
-    if len(counted) > 64:
-        raise ValueError("more than 64 languages")
+    known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(order_by, text_col, F.lit(seed)).alias("order")).filter("lang IS NOT NULL")
+    counted = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("order").alias("different")).orderBy("lang").collect()  # a row for each language
     langs = [r["lang"] for r in counted]
     if not langs:
-        return Filters([], np.zeros(2, np.uint8), probes, np.zeros(0), 0)
-    part = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
-    sample = known.filter(F.pmod("order", F.lit(1_000_000)) < part[F.col("lang")] * 1_000_000).limit(2 * sample_docs * len(langs))
+        return Filters([], np.zeros((0, 2), np.uint8), probes, np.zeros(0), 0)
+    # About twice the rows that are wanted pass by their hash; of these, the lowest of each language are taken.
+    part = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], min(1.0, 2 * sample_docs / max(1, r["different"])))])
+    share_of = F.pmod("order", F.lit(1_000_000_007))
+    near = known.filter(share_of <= part[F.col("lang")] * 1_000_000_007).dropDuplicates(["lang", "order"])
+    sample = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(share_of, "order"))).filter(F.col("place") <= sample_docs)
     number = {x: k for k, x in enumerate(langs)}
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,15 +143,11 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", order_b
     rate = n / np.maximum(1, n.sum(0))
     belongs = (rate >= share * rate.max(1, keepdims=True)) & (n >= min(least, max(1, n.sum() // (10 * max(1, len(n))))))
     size = 1 << max(10, int(8 * max(1, belongs.any(1).sum())).bit_length())
-    kind = np.uint8 if len(langs) <= 8 else np.uint64
-    out = Filters(langs, np.zeros(size, kind), probes, np.zeros(len(langs)), int(np.argmax([r["count"] for r in counted])))
-    shift = np.uint32(32 - size.bit_length() + 1)
-    with np.errstate(over="ignore"):
-        for lang in range(len(langs)):
-            mine = gram[belongs[:, lang]]
-            for k in range(probes):
-                out.slots[(mine * np.uint32(2 * k * 0x85EBCA6B + 0xC2B2AE35 & 0xFFFFFFFF)) >> shift] |= kind(1 << lang)
-    out.chance = np.array([float((out.slots >> kind(k) & kind(1)).mean()) ** probes for k in range(len(langs))])
+    out = Filters(langs, np.zeros((-(-len(langs) // 8), size), np.uint8), probes, np.zeros(len(langs)), int(np.argmax([r["n"] for r in counted])))
+    for lang in range(len(langs)):
+        for at in places(gram[belongs[:, lang]], probes, size):
+            out.slots[lang // 8, at] |= np.uint8(1 << lang % 8)
+    out.chance = np.array([float((out.slots[k // 8] >> np.uint8(k % 8) & np.uint8(1)).mean()) ** probes for k in range(len(langs))])
     return out
 
 

@@ -11,9 +11,12 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from finlake.llm import bpe, jaccard, langid, licenses, lines, packing, quality, toxicity
 from tests.llm import helpers as h
 
+SF = "/root/testdata/sf0.01"
+
 RANKS, WORD_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -154,6 +157,29 @@ def test_filters_hold_what_went_in(spark):
         assert f.predict(text)[0] == ("de", "en")[k]
 
 
+def test_seventy_languages(spark):
+    rows = [(k, f"l{k:02d}", " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{a}{b}" for a in "aeiou" for b in "ptkl")) for k in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    f = langid.fit(docs)
+    assert f.langs == [lang for _, lang, _ in rows]
+    assert {r.lang: r.lang_pred for r in langid.predict(docs, f).collect()} == {x: x for x in f.langs}
+
+
+def test_repeated_rows_do_not_crowd_out_other_languages(spark):
+    copies = spark.range(20_000).selectExpr("7L AS doc_id", "'aa' AS lang", "'zuzu zozo' AS text")
+    few = spark.createDataFrame([(k, "bb", f"kiri mira sela {k}") for k in range(60)] + [(7, "aa", f"zuma zora {k}") for k in range(40)], "doc_id bigint, lang string, text string")
+    both = copies.unionByName(few)
+    fits = [langid.fit(d, sample_docs=30) for d in (both, both.repartition(5), both.coalesce(1))]
+    assert all((f.slots == fits[0].slots).all() for f in fits)
+    assert [fits[0].predict(x)[0] for x in ("kiri sela", "zora zuma", "zuzu")] == ["bb", "aa", "aa"]
+
+
+def test_languages_of_held_out_documents(spark):
+    got = entry.queries()["op5_language_id"](spark, SF).filter("held_out").join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("lang IS NOT NULL AND lang_pred <> 'und'")
+    right, n = got.selectExpr("count_if(lang = lang_pred)", "count(*)").first()
+    assert n > 50 and right >= 0.95 * n
+
+
 def test_quality_statistics(docs):
     got = quality.statistics(docs).select("doc_id", *quality.COUNTS).collect()
     want = []
