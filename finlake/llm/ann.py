@@ -16,8 +16,9 @@ one bucket for them, cut as above, so these queries meet every vector and their
 Slot widths are fitted on at most ``sample_rows`` vectors; every vector is indexed.  Recall depends on the data: on vectors
 without any structure near neighbours are hardly nearer than the rest, and the probes cover much of the table.
 
-Defined cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
-part, neither as queries nor as candidates; a query's own row (its id) is no candidate, repeated rows of an id count once, with their smallest distance;
+Defined cases: vectors that are null, zero, of another length than most (the shorter of two as frequent), or hold null or non-finite components take no
+part, neither as queries nor as candidates; a query's own row (its id) is no candidate, repeated rows of an id count once, with their smallest distance (of all rows of the query's id and the candidate's);
+components may be of any finite size, and a distance beyond the doubles is infinite;
 ties go to the smaller id; only a table of fewer candidates gives fewer rows; an empty table gives none.  Further columns may have any name.
 """
 
@@ -60,9 +61,17 @@ def bucket(slots: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def length(x: np.ndarray) -> np.ndarray:
+    """Euclidean length of each row; powers of two keep its squares in the range of doubles and change no digit."""
+    power = np.frexp(np.abs(x).max(1))[1]
+    return np.ldexp(np.sqrt((np.ldexp(x, -power[:, None]) ** 2).sum(1)), power)
+
+
 def nearest(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, allowed, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query number, id, distance) of each query's k nearest among the vectors that ``allowed(low, high)`` says it may see."""
-    q, v = queries.astype(np.float64), vectors.astype(np.float64)
+    whole_q, whole_v = queries.astype(np.float64), vectors.astype(np.float64)
+    scale = -int(np.frexp(max(np.abs(whole_q).max(initial=0), np.abs(whole_v).max(initial=0)))[1])  # so that no square overflows
+    q, v = np.ldexp(whole_q, scale), np.ldexp(whole_v, scale)
     square, found = (v * v).sum(1), ([], [], [])
     for low in range(0, len(q), 64):
         part = q[low:low + 64]
@@ -80,7 +89,7 @@ def nearest(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, ids: np.n
                 if n == total or len(np.unique(ids[near])) >= k:
                     break
                 n = min(4 * n, total)
-            exact = np.sqrt(((v[near] - part[i]) ** 2).sum(1))
+            exact = length(whole_v[near] - whole_q[low + i])
             best = np.lexsort((ids[near], exact))
             _, first = np.unique(ids[near][best], return_index=True)
             best = best[np.sort(first)][:k]
@@ -94,12 +103,13 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
     """(query_id, rank int from 1, id, score double): of each row with ``is_query`` (SQL) the k nearest other rows found."""
     kind = "float" if vectors.schema[vector_col].dataType.elementType.simpleString() == "float" else "double"  # floats travel as floats
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"), F.expr(is_query).alias("asks"))
-    length = rows.filter("v IS NOT NULL").agg(F.mode(F.size("v"))).first()[0] or 1
-    rows = rows.filter(f"id IS NOT NULL AND size(v) = {length} AND forall(v, x -> x IS NOT NULL AND abs(x) < CAST('infinity' AS DOUBLE)) AND exists(v, x -> x <> 0)")
-    sample = np.array([r.v for r in rows.select("id", "v").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows).collect()], np.float64).reshape(-1, length)
+    size = rows.filter("v IS NOT NULL").agg(F.mode(F.size("v"), True)).first()[0] or 1
+    rows = rows.filter(f"id IS NOT NULL AND size(v) = {size} AND forall(v, x -> x IS NOT NULL AND abs(x) < CAST('infinity' AS DOUBLE)) AND exists(v, x -> x <> 0)")
+    sample = np.array([r.v for r in rows.select("id", "v").orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows).collect()], np.float64).reshape(-1, size)
     draw = np.random.default_rng(seed)
-    lines = draw.standard_normal((tables, length, hashes))
-    spread = np.array([(sample @ a).std() if len(sample) > 1 else 1.0 for a in lines])
+    lines = draw.standard_normal((tables, size, hashes))
+    peak = np.abs(sample).max(initial=0) or 1.0
+    spread = np.array([(sample / peak @ a).std() * peak if len(sample) > 1 else 1.0 for a in lines])
     wide = np.where(spread > 0, spread, 1.0) * width
     shift = draw.random((tables, 1, hashes)) * wide[:, None, None]
     parts = max(1, -(-rows.count() // part_rows))
@@ -108,7 +118,7 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
         return np.stack([(v @ lines[t] + shift[t]) / wide[t] for t in range(tables)])  # tables, rows, hashes
 
     def matrix(batch: pa.RecordBatch) -> np.ndarray:
-        return np.asarray(batch.column(1).flatten(), np.float64).reshape(-1, length)
+        return np.asarray(batch.column(1).flatten(), np.float64).reshape(-1, size)
 
     def stored_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +162,10 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_col: str = "vec_id
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         own, ids, cells = left.column("id").to_numpy(), right.column("id").to_numpy(), right.column("cell").to_numpy()
-        query, first, at = np.unique(own, return_index=True, return_inverse=True)
-        q, v = (np.asarray(x.column("v").combine_chunks().flatten()).reshape(-1, length) for x in (left, right))
+        q, v = (np.asarray(x.column("v").combine_chunks().flatten()).reshape(-1, size) for x in (left, right))
+        asks = np.concatenate([np.ascontiguousarray(x).view(np.uint8).reshape(len(own), -1) for x in (own, q)], 1)  # an id may have several vectors
+        _, first, at = np.unique(asks.view(f"V{asks.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        query = own[first]
         kinds, kind = np.unique(cells, return_inverse=True)
         place = np.searchsorted(kinds, left.column("cell").to_numpy())
         hits = (place < len(kinds)) & (kinds[np.minimum(place, len(kinds) - 1)] == left.column("cell").to_numpy())

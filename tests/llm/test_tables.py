@@ -89,6 +89,27 @@ def test_small_tables_give_all_candidates(spark, n):
     assert got == {q: sorted(set(range(n)) - {q}, key=lambda k: ((x[k] - x[q]) ** 2).sum())[:10] for q in range(n)}
 
 
+def test_queries_of_one_id_with_two_vectors(spark):
+    draw = np.random.default_rng(4)
+    rows = [(k, draw.standard_normal(6).tolist()) for k in range(300)] + [(10, draw.standard_normal(6).tolist()), (20, [9.0] * 6)]
+    for order in (rows, rows[::-1]):
+        got = ann.search(vectors(spark, order).repartition(3), "vec_id % 10 = 0", k=5, tables=2, hashes=2, width=4.0, probes=25, part_rows=40, part_queries=10).collect()
+        assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got)] == [x[:3] for x in nearest(rows, 5)]
+
+
+def test_components_of_any_finite_size(spark):
+    rows = [(k, [s * (k + 1), s * 2.0, -s]) for k, s in enumerate([1e200] * 5)] + [(10 + k, [1e-200 * (k + 1), 0.0, 0.0]) for k in range(3)]
+    df = stored(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in ann.search(df, "vec_id IN (0, 10)", k=7).collect()}
+    assert len(got) == 14 and [got[0, k][0] for k in range(1, 8)] == [1, 2, 10, 11, 12, 3, 4] and got[0, 1][1] == pytest.approx(1e200)
+    assert got[10, 1] == (11, pytest.approx(1e-200)) and got[10, 2] == (12, pytest.approx(2e-200))
+
+
+def test_of_two_lengths_as_frequent_the_shorter_counts(spark):
+    df = spark.createDataFrame([(k, [1.0 + k] * (2 + k % 2)) for k in range(8)], "vec_id bigint, embedding array<double>")
+    assert {r.vec_id for r in ann.search(df, "vec_id = 0").collect()} == {2, 4, 6}
+
+
 def test_outliers_have_neighbours(spark):
     """A tight cluster and scattered vectors of five times its norm, whose buckets hold too few others."""
     r = np.random.default_rng(8)
