@@ -124,6 +124,19 @@ def _sql(t: Tables) -> DataFrame:
 add("lake_sql", _sql, "SELECT u.type, CAST(year(d.day) AS INTEGER) AS year, count(*) AS days, max(d.close) AS high FROM sdaily d JOIN universe u USING (ticker) GROUP BY 1, 2")
 
 
+# ---- table functions: SQL only ------------------------------------------------------
+
+same_as("lake_sql_daily_returns", "win01_simple_return", lambda t: lake(t, ohlcv_daily="sdaily").sql(
+    "SELECT ticker, day, close, prev_close, round(return_pct, 6) AS return_pct FROM daily_returns(NULL, NULL, NULL)"))
+same_as("lake_sql_breadth", "mrt32_breadth_thrust", lambda t: rnd(_market(t).sql("SELECT * FROM breadth_between(NULL, NULL)"), 8, "breadth_ratio", "ema_10"))
+add("lake_sql_movers", lambda t: _market(t).sql("""SELECT u.name, m.ticker, m.day, round(m.return_pct, 6) AS return_pct, CAST(m.place AS BIGINT) AS place FROM daily_movers(NULL, 5) m JOIN universe u USING (ticker)"""),
+    """WITH r AS (SELECT ticker, day, (close - p) / nullif(p, 0) * 100 AS x FROM (SELECT ticker, day, close, lag(close) OVER (PARTITION BY ticker ORDER BY day) AS p FROM sdaily)),
+       m AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY x DESC, ticker) AS place FROM r WHERE x IS NOT NULL)
+       SELECT name, m.ticker, day, round(x, 6) AS return_pct, place FROM m JOIN universe USING (ticker) WHERE place <= 5""")
+add("lake_sql_statements", lambda t: _company(t).sql("""SELECT ticker, timeframe, count(*) AS statements, max(revenue) AS revenue, max(period_end) AS newest FROM statements_of(NULL, NULL) GROUP BY 1, 2"""),
+    """SELECT ticker, CASE WHEN fiscal_period = 'FY' THEN 'annual' ELSE 'quarterly' END AS timeframe, count(*) AS statements, max(revenue) AS revenue, max(period_end) AS newest
+       FROM financials WHERE fiscal_period IN ('FY', 'Q1', 'Q2', 'Q3', 'Q4') GROUP BY 1, 2""")
+
 # ---- corporate actions and filings of one ticker ------------------------------------
 
 

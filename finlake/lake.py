@@ -20,7 +20,7 @@ from finlake.operators.bars import ohlcv_bars, period_return
 from finlake.operators.dedup import latest_version
 from finlake.operators.pairs import wide
 from finlake.operators.returns import rolling_corr
-from finlake.plans import breadth, commodities as com, filings as fil, fundamentals as fun, macro, market as mk, options as opt
+from finlake.plans import breadth, commodities as com, filings as fil, functions, fundamentals as fun, macro, market as mk, options as opt
 from finlake.plans.features import storable
 from finlake.schemas import TABLES
 from finlake.sources import sinks
@@ -95,10 +95,13 @@ class Lake:
         return F.date_sub(self.as_of(name), days)
 
     def sql(self, text: str) -> DataFrame:
-        """Ad-hoc SQL; every stored table is a view of its newest rows."""
-        for name in TABLES:
-            if sinks._exists(self.spark, self.path(name)):
-                self.table(name).createOrReplaceTempView(name)
+        """Ad-hoc SQL; every stored table is a view of its newest rows, marts are table functions (``finlake.plans.functions``)."""
+        stored = {name for name in TABLES if sinks._exists(self.spark, self.path(name))}
+        for name in stored:
+            self.table(name).createOrReplaceTempView(name)
+        for name in functions.asked(text):
+            if stored.issuperset(functions.FUNCTIONS[name].needs):
+                functions.create(self, name)
         return self.spark.sql(text)
 
     def columns(self, name: str) -> list[tuple[str, str]]:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finlake.lake import Lake
+from finlake.plans import functions
 from tests.conftest import rows
 
 
@@ -85,3 +86,31 @@ def test_named_queries(lake):
     assert lake.breadth_thrust().count() > 700
     assert lake.sql("SELECT count(*) AS n FROM ohlcv_daily").first().n == 2400
     assert ("close", "double") in lake.columns("ohlcv_daily")
+
+
+def test_table_functions_take_arguments(lake):
+    d = lake.sql("SELECT * FROM daily_returns('AAA', DATE '2022-01-04', DATE '2022-01-05')")
+    assert sorted(rows(d, "day", "prev_close")) == [(dt.date(2022, 1, 4), 1.5), (dt.date(2022, 1, 5), pytest.approx(102.1))]
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(ticker,AAA)" in plan
+    assert lake.sql("SELECT * FROM daily_returns(NULL, NULL, NULL)").count() == 2400
+    top = lake.sql("SELECT m.ticker, u.name FROM daily_movers(DATE '2022-02-01', 1) m JOIN universe u USING (ticker)").collect()
+    assert len(top) == 1
+    assert {r.underlying for r in lake.sql("SELECT * FROM snapshot_of('SPY', NULL)").collect()} == {"SPY"}
+
+
+def test_own_table_function(lake, monkeypatch):
+    monkeypatch.setattr(functions, "FUNCTIONS", dict(functions.FUNCTIONS))
+
+    @functions.table_function("volume_between", ("ohlcv_daily",), "first_day DATE, last_day DATE", functions.between("day"))
+    def volume(lk):
+        return lk.daily().select("ticker", "day", "volume")
+
+    assert rows(lake.sql("SELECT max(volume) FROM volume_between(NULL, DATE '2022-01-12')")) == [(10,)]
+    with pytest.raises(ValueError):
+        functions.table_function("no name", (), "", "true")
+
+
+def test_functions_without_their_tables_are_unknown(lake):
+    with pytest.raises(Exception, match="statements_of"):
+        lake.sql("SELECT * FROM statements_of(NULL, 'annual')")
