@@ -98,12 +98,12 @@ add("src04_option_greeks", _chain, _CHAIN_SQL)
 
 def _oi(t):
     d, k = _contract_fields(t)
-    d = d.filter(c("put_call") == "call").select("snapshot_date", js(**k, open_interest=F.when(c("open_interest") % 7 == 0, F.lit("-")).otherwise(c("open_interest").cast("string"))).alias("payload"))
+    d = d.select("snapshot_date", js(**k, open_interest=F.when(c("open_interest") % 7 == 0, F.lit("-")).otherwise(c("open_interest").cast("string"))).alias("payload"))
     parsed = common.parse_text(d, "payload", S.OPEN_INTEREST, ("snapshot_date",))
     return so.oi_from_ndjson(parsed)
 
 
-_OI_SQL = "SELECT underlying, expiration, strike, put_call, CASE WHEN open_interest % 7 = 0 THEN 0 ELSE open_interest END AS open_interest FROM chain WHERE put_call = 'call'"
+_OI_SQL = "SELECT underlying, expiration, strike, put_call, CASE WHEN open_interest % 7 = 0 THEN 0 ELSE open_interest END AS open_interest FROM chain"
 add("src05_open_interest", _oi, _OI_SQL)
 add("src06_merge_chain_oi", lambda t: so.merge_chain_oi(
     _chain(t).select("underlying", "expiration", "strike", "put_call", "bid"), _oi(t).groupBy("underlying", "expiration", "strike", "put_call").agg(F.max("open_interest").alias("open_interest"))),
