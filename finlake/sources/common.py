@@ -12,9 +12,12 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def parse_text(df: DataFrame, column: str, schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Payload text column -> its fields (the same plan for files and message streams)."""
-    d = df.select(*keep, F.from_json(F.col(column), schema).alias("_j"))
-    return d.select(*keep, "_j.*")
+    """Payload text column -> its fields (the same plan for files and message streams).
+
+    A generator, not a projection: Spark repeats a projection's expressions in the filters that it pushes below it (a join adds
+    one for each of its keys), so each text would be parsed again for each of them.
+    """
+    return df.select(*keep, F.inline(F.array(F.from_json(F.col(column), schema))))
 
 
 def whole(column: str) -> Column:

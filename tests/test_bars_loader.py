@@ -73,3 +73,17 @@ def test_grouped_daily_filters(spark):
 def test_universe_file(spark, tmp_path):
     (tmp_path / "u.txt").write_text(" aapl \n\nMSFT\nmsft\n")
     assert sorted(r.ticker for r in common.read_universe(spark, str(tmp_path / "u.txt")).collect()) == ["AAPL", "MSFT"]
+
+
+def test_join_on_parsed_fields_parses_each_text_once(spark):
+    """A join's filters on its keys do not parse again; texts that are missing or broken give rows without values."""
+    from finlake.sources import options
+
+    text = lambda strike, **more: json.dumps({"symbol": "SPY", "expiration": "2024-03-15", "strike": strike, "right": "CALL", **more})
+    d = spark.createDataFrame([(text(1.0, bid=0.5),), (text(2.0, bid=0.7),), ("{bad",), (None,)], "payload string")
+    oi = spark.createDataFrame([(text(1.0, open_interest="7"),), (text(1.0, open_interest="-"),), (None,)], "payload string")
+    chain = options.chain_from_greeks(common.parse_text(d, "payload", S.OPTION_GREEKS), F.lit("2024-01-01")).select("underlying", "expiration", "strike", "put_call", "bid")
+    oi = options.oi_from_ndjson(common.parse_text(oi, "payload", S.OPEN_INTEREST)).groupBy("underlying", "expiration", "strike", "put_call").agg(F.max("open_interest").alias("open_interest"))
+    out = options.merge_chain_oi(chain, oi)
+    assert sorted((str(r.strike), str(r.bid), r.open_interest) for r in out.collect()) == [("1.0", "0.5", 7), ("2.0", "0.7", 0), ("None", "None", 0), ("None", "None", 0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
