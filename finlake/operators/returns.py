@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from finlake.functions.exprs import names, pct_change, positive_log, safe_corr, safe_div
 from finlake.operators.dedup import top_k_per
 from finlake.operators.ranks import trailing_rank
-from finlake.operators.series import Split, over_range, over_rows
+from finlake.operators.series import Split, mean_over_range, over_rows
 
 
 def simple_return(df: DataFrame, key, time: str, price: str = "close", prev: str = "prev_close",
@@ -77,10 +77,9 @@ def rolling_corr(df: DataFrame, key, time: str, x: str, y: str, n: int, min_rows
     return over_rows(df, key, time, build, n, None, split)
 
 
-def range_mean(df: DataFrame, key, ts: str, column: str, seconds: int = 3600, out: str = "range_mean",
-               split: bool = True) -> DataFrame:
-    """Mean over the trailing time range, the row itself included."""
-    return over_range(df, key, ts, seconds, lambda w: {out: F.avg(column).over(w)}, split)
+def range_mean(df: DataFrame, key, ts: str, column: str, seconds: int = 3600, out: str = "range_mean") -> DataFrame:
+    """Mean over the trailing time range, the row itself included; rows without a time are left out."""
+    return mean_over_range(df, key, ts, seconds, column, out)
 
 
 def percentile_rank(df: DataFrame, key, day: str, column: str, days: int = 365, strict: bool = True,

@@ -187,25 +187,27 @@ def over_rows(df: DataFrame, keys: str | Sequence[str] | None, time: str, build:
     return OrderedSeries(df, keys, time, seq, split, before).with_columns(build).done()
 
 
-def over_range(df: DataFrame, keys: str | Sequence[str] | None, time: str, reach_seconds: int,
-               build: Builder, split: bool = False) -> DataFrame:
-    """Window columns over a trailing time range of at most ``reach_seconds``.
-
-    With ``split`` the key is cut into time slots four times as wide as the range; only
-    the rows of a slot's last quarter can be inside a frame of the next one, so only they
-    are sent there as well.
+def mean_over_range(df: DataFrame, keys: str | Sequence[str] | None, time: str, reach_seconds: int, column: str, out: str) -> DataFrame:
+    """``out``: mean of ``column`` over the trailing ``reach_seconds``, the row and those at its time included.
+
+    A sliding range frame adds up all its rows anew for each row, which is quadratic in their density.  Here a key is cut into time
+    slots as wide as the range: a frame is the head of the row's own slot and the tail of the slot before it.  Heads are running
+    sums forwards; tails are running sums backwards, for which each row is also sent to the next slot, to the last moment that still
+    sees it.  Nothing is subtracted, so large values, NaN and infinities leave no trace once they are out of range.
+    Rows without a time are left out.
     """
-    ks = names(keys)
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    d = df.withColumn("_us", micros)
-    if not split:
-        w = W.partitionBy(*ks).orderBy("_us").rangeBetween(-reach_seconds * 1_000_000, 0)
-        return d.withColumns(build(w)).drop("_us")
-    width = reach_seconds * 4_000_000
-    d = d.withColumn("_home", F.floor(F.col("_us") / width))
-    late = F.pmod(F.col("_us"), F.lit(width)) >= width - reach_seconds * 1_000_000
-    d = d.withColumn("_slot", F.explode(
-        F.when(late, F.array(F.col("_home"), F.col("_home") + 1)).otherwise(F.array(F.col("_home")))))
-    w = W.partitionBy(*ks, "_slot").orderBy("_us").rangeBetween(-reach_seconds * 1_000_000, 0)
-    d = d.withColumns(build(w)).filter(F.col("_slot") == F.col("_home"))
-    return d.drop("_us", "_home", "_slot")
+    ks, reach = names(keys), reach_seconds * 1_000_000
+    kind = df.select(F.avg(column)).schema[0].dataType
+    value = F.col(column) if isinstance(kind, T.DecimalType) else F.col(column).cast("double")
+    carried = [c for c in df.columns if c != out]
+    d = df.select(*[F.col(k).alias(f"k{n}") for n, k in enumerate(ks)], F.unix_micros(F.col(time).cast("timestamp")).alias("us"), value.alias("x"), F.struct(*carried).alias("row"))
+    d = d.filter("us IS NOT NULL").withColumn("home", F.floor(F.col("us") / reach))
+    own = F.struct("home", "us", F.col("x").alias("head"), F.lit(None).cast(d.schema["x"].dataType).alias("tail"), "row")
+    sent = F.struct((F.col("home") + 1).alias("home"), (F.col("us") + reach).alias("us"), F.lit(None).cast(d.schema["x"].dataType).alias("head"), F.col("x").alias("tail"), F.lit(None).cast(d.schema["row"].dataType).alias("row"))
+    group = [*[f"k{n}" for n in range(len(ks))], "home"]
+    d = d.select(*group[:-1], F.inline(F.array(own, sent)))
+    until = lambda order: W.partitionBy(*group).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    head, tail = until(F.col("us").asc()), until(F.col("us").desc())
+    d = d.withColumns({"n": F.count("head").over(head) + F.count("tail").over(tail), "s": F.coalesce(F.sum("head").over(head), F.lit(0)) + F.coalesce(F.sum("tail").over(tail), F.lit(0))})
+    mean = F.when(F.col("n") > 0, F.col("s") / F.col("n")).cast(kind)
+    return d.filter("row IS NOT NULL").select("row.*", mean.alias(out))

@@ -138,10 +138,10 @@ def volume_spikes(rows: DataFrame, factor: float = 3.0, horizon_seconds: int = 3
 def volume_spikes_batch(bars: DataFrame, factor: float = 3.0, horizon_seconds: int = 3600, key: str = "ticker", ts: str = "timestamp",
                         volume: str = "volume") -> DataFrame:
     """The same alert over stored rows."""
-    from finlake.operators.series import over_range
+    from finlake.operators.series import mean_over_range
 
     m = bars.groupBy(F.window(ts, "1 minute").start.alias("minute"), key).agg(F.sum(volume).cast("double").alias("volume"))
-    m = over_range(m, key, "minute", horizon_seconds, lambda w: {"mean_volume": F.avg("volume").over(w)}, split=True)
+    m = mean_over_range(m, key, "minute", horizon_seconds, "volume", "mean_volume")
     return m.filter(F.col("volume") > factor * F.col("mean_volume")).select(key, F.col("minute").alias(ts), "volume", "mean_volume")
 
 

@@ -253,3 +253,22 @@ def test_forward_labels_edges(spark):
     d = spark.createDataFrame([("a", i, float(100 + (i % 3))) for i in range(30)], "k string, day int, close double")
     out = events.forward_labels(d, "k", "day").orderBy("day").collect()
     assert out[10].vol_expansion_3d is None and out[22].vol_expansion_3d in (0, 1) and out[-1].fwd_sign_5d is None
+
+
+def test_range_mean_adds_up_no_frame_twice(spark):
+    """Dense rows, ties, gaps, missing values, and values that must leave no trace; frames that only grow, so the work does not follow the density."""
+    rng = random.Random(5)
+    data = [(k, rng.randrange(-9000, 9000), i, rng.choice([None, 1.5, 2.25, 7.0, 1e18 if i % 40 == 0 else 3.0])) for i in range(700) for k in ("a", None) if k or i % 7 == 0]
+    data += [("a", 9500, 800, float("inf")), ("a", 9501, 801, float("nan")), ("b", 0, 802, None), ("b", None, 803, 1.0), ("a", 30000, 804, 4.0), ("a", 30060, 805, 6.0), ("a", 30061, 806, 8.0)]
+    d = spark.createDataFrame(data, "k string, s long, seq long, v double").select("k", F.timestamp_seconds("s").alias("ts"), "seq", "v")
+    out = returns.range_mean(d, "k", "ts", "v", 60)
+    got = {r.seq if r.k else (r.seq,): r.range_mean for r in out.collect()}
+    want = {}
+    for k, s, seq, _ in data:
+        if s is not None:
+            seen = [v for q, t, _, v in data if q == k and t is not None and s - 60 <= t <= s and v is not None]
+            want[seq if k else (seq,)] = sum(seen) / len(seen) if seen else None
+    assert got.keys() == want.keys() and (got[804], got[805], got[806]) == (4.0, 5.0, 7.0)
+    assert all(close(got[q], w) or (got[q] != got[q] and w != w) for q, w in want.items())
+    frames = out._jdf.queryExecution().executedPlan().toString().split("specifiedwindowframe(")[1:]
+    assert frames and all("unboundedpreceding" in f.split(")")[0] for f in frames)
