@@ -90,7 +90,7 @@ def recent_rows(rows: DataFrame, horizon: str = "1 hour", watermark: str = "10 m
                 value: str = "close") -> DataFrame:
     """(key, newest time, its value, rows): what each key's last ``horizon`` up to the watermark holds, told whenever it changes (update mode).
 
-    The state is the table itself, a row for each time of a key; rows leave it when the watermark has passed them by the horizon.  A
+    The state is the table's times, packed by panes of a 64th of the horizon; rows leave it when the watermark has passed them by the horizon.  A
     key whose rows have all left is told once more, without a value and with 0 rows.  Of rows with one time the largest value counts.
     """
     flat = rows.select(F.col(key).alias("key"), F.col(ts).alias("at"), F.unix_micros(ts).alias("us"), F.col(value).cast("double").alias("value")).filter("key IS NOT NULL AND at IS NOT NULL AND value IS NOT NULL")

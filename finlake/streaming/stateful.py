@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,33 +122,88 @@ class Spikes(Panes):
 
 
 class Recent(Panes):
-    """A table of the rows of the last ``horizon`` milliseconds of each key, told as newest value and number of rows whenever it changes."""
+    """A table of the rows of the last ``horizon`` milliseconds of each key, told as newest value and number of rows whenever it changes.
 
-    maps = {"rows": ("at LONG", "value DOUBLE, n LONG")}
+    The table is cut into panes of a 64th of the horizon.  ``panes`` has the first time and the number of rows of each, ``times`` the
+    milliseconds of its rows, each once with its count, as one packed value.  So a batch asks the state store for the panes that it
+    touches, not for rows, and what the watermark passes goes by panes: only the pane at the horizon is opened.  Values
+    need no table, since the newest row leaves last: ``newest`` has its time in microseconds and its value.
+    """
+
+    maps = {"panes": ("pane LONG", "oldest LONG, n LONG"), "times": ("pane LONG", "times BINARY")}
     columns = ["key", "newest", "value", "rows"]
+    #: Rows of a key that are held before they go into the state.
+    HELD = 1 << 22
 
     def __init__(self, horizon: int):
-        self.horizon = horizon
+        self.horizon, self.width = horizon, max(1, horizon // 64)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.newest = handle.getValueState("newest", "at LONG, value DOUBLE")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        before, mark = self.load("rows"), timerValues.getCurrentWatermarkInMs()
-        after = dict(before)
+        before = self.load("panes")
+        after, held, newest = dict(before), [], self.newest.get() if self.newest.exists() else None
         for b in rows:
-            for at, value in zip(b["us"].tolist(), b["value"].tolist()):
-                old = after.get((at,))
-                after[at,] = (value, 1) if old is None else (max(old[0], value), old[1] + 1)
-        yield self._tell(key, before, after, mark)
+            us, value = b["us"].to_numpy(), b["value"].to_numpy()
+            last = us.max()
+            top = (int(last), float(value[us == last].max()))
+            if newest is None or newest[0] < top[0]:
+                newest = top
+            elif newest[0] == top[0]:
+                newest = (top[0], float(np.maximum(newest[1], top[1])))
+            held.append(us // 1000)
+            if sum(map(len, held)) >= self.HELD:
+                self._put(after, np.concatenate(held))
+                held = []
+        if held:
+            self._put(after, np.concatenate(held))
+        if newest:
+            self.newest.update(tuple(newest))
+        yield self._tell(key, before, after, timerValues.getCurrentWatermarkInMs())
 
     def advance(self, key: tuple, mark: int) -> Iterator[pd.DataFrame]:
-        before = self.load("rows")
-        yield self._tell(key, before, before, mark)
-
-    def _tell(self, key: tuple, before: dict, after: dict, mark: int) -> pd.DataFrame:
-        live = {k: v for k, v in after.items() if k[0] // 1000 + self.horizon >= mark}
-        self.save("rows", before, live)
-        self.wake([min(live)[0] // 1000 + self.horizon + 1] if live else [])
-        newest = max(live, default=None)
-        return self.table([(key[0], *((newest[0], live[newest][0]) if newest else (None, None)), sum(n for _, n in live.values()))])
+        before = self.load("panes")
+        yield self._tell(key, before, dict(before), mark)
+
+    def _times(self, pane: int) -> np.ndarray:
+        """Milliseconds of a pane in order, and the rows of each."""
+        return np.frombuffer(self.state["times"].getValue((pane,))[0], np.int64).reshape(2, -1)
+
+    def _keep(self, panes: dict, pane: int, at: np.ndarray, n: np.ndarray) -> None:
+        self.state["times"].updateValue((pane,), (np.stack([at, n]).tobytes(),))
+        panes[pane,] = (int(at[0]), int(n.sum()))
+
+    def _put(self, panes: dict, ms: np.ndarray) -> None:
+        """Count more rows in their panes."""
+        at, n = np.unique(ms, return_counts=True)
+        pane, start = np.unique(at // self.width, return_index=True)
+        for p, a, m in zip(pane.tolist(), np.split(at, start[1:]), np.split(n, start[1:])):
+            if (p,) in panes:
+                had = self._times(p)
+                a, place = np.unique(np.concatenate([had[0], a]), return_inverse=True)
+                m = np.bincount(place, np.concatenate([had[1], m])).astype(np.int64)
+            self._keep(panes, p, a, m)
+
+    def _tell(self, key: tuple, before: dict, panes: dict, mark: int) -> pd.DataFrame:
+        first = mark - self.horizon  # the first millisecond that is still in the table
+        for (p,), (oldest, _) in list(panes.items()):
+            if oldest >= first:
+                continue
+            at, n = self._times(p) if p == first // self.width else (np.empty(0, np.int64), np.empty(0, np.int64))
+            live = at >= first
+            if live.any():
+                self._keep(panes, p, at[live], n[live])
+            else:
+                del panes[p,]
+                self.state["times"].removeKey((p,))
+        self.save("panes", before, panes)
+        self.wake([min(o for o, _ in panes.values()) + self.horizon + 1] if panes else [])
+        newest = self.newest.get() if panes else (None, None)
+        if not panes:
+            self.newest.clear()
+        return self.table([(key[0], *newest, sum(n for _, n in panes.values()))])
 
 
 class Chain(Panes):

@@ -145,6 +145,28 @@ def test_recent_rows_leave_with_the_watermark(spark, tmp_path):
     assert ("A", None, None, 0) in flat and ("B", None, None, 0) in flat and flat[-1][0] in "ABC" and ("C", t(500), 6.0, 1) in flat
 
 
+def test_recent_rows_are_held_by_panes(spark, tmp_path):
+    """The state grows with the panes that rows fall into, not with rows; what is told is that of a table of all rows."""
+    start, schema = dt.datetime(2024, 1, 1), "ticker string, timestamp timestamp, close double"
+    batches = [[("A", start + dt.timedelta(milliseconds=4321 * i), float(i % 97)) for i in range(3000)], [("A", start + dt.timedelta(hours=4), 5.0), ("A", start + dt.timedelta(hours=3, minutes=30), 1.0), ("A", start + dt.timedelta(hours=4), 7.0)],
+               [("A", start + dt.timedelta(hours=4, minutes=40), 2.0)]]
+    told, held = [], []
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"{i}"))
+        src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        q = jobs.recent_rows(src).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+        q = q.foreachBatch(lambda d, n: told.append([tuple(r) for r in d.collect()])).start()
+        q.awaitTermination()
+        held += [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        every = [r for x in batches[:i + 1] for r in x]
+        last = max(r[1] for r in every)
+        mark = last - dt.timedelta(minutes=10)
+        mark = mark.replace(microsecond=mark.microsecond // 1000 * 1000)
+        live = [r for r in every if r[1] + dt.timedelta(hours=1) >= mark]
+        assert [x for x in told if x][-1] == [("A", last, max(r[2] for r in every if r[1] == last), len(live))]
+    assert told[0] == [("A", batches[0][-1][1], batches[0][-1][2], 3000)] and max(held) < 1000
+
+
 def test_sliding_windows_add_up_panes(spark, tmp_path):
     d = ticks(spark)
     d.coalesce(1).write.parquet(str(tmp_path / "in"))
