@@ -255,6 +255,24 @@ def test_forward_labels_edges(spark):
     assert out[10].vol_expansion_3d is None and out[22].vol_expansion_3d in (0, 1) and out[-1].fwd_sign_5d is None
 
 
+def test_pairs_travel_as_tiles(spark, monkeypatch):
+    """Where all times fit into a span, a matrix goes to each tile, not to each block, and no sums of pairs are shuffled; the results are those of spans."""
+    rng = random.Random(8)
+    d = spark.createDataFrame([(f"s{k}", t, rng.gauss(k, 1)) for k in range(40) for t in range(30) if rng.random() < 0.6 or k == 7], "k string, t int, v double")
+    found = {}
+    for sizes in ((4, 64, 4, 4 * 4 * 40, 2), (4, 64, 4, 1, 8), (4, 4, 2, 1, 8)):
+        for name, size in zip(("SERIES", "TIMES", "SPAN", "CELLS", "TILES"), sizes):
+            monkeypatch.setattr(pairs, name, size)
+        out = pair_stats(d, "k", "t", "v")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        found[sizes] = ({(r.a, r.b): (r.n, r.covariance, r.correlation) for r in out.collect()}, "sums" in plan)
+    (tiles, summed), (blocks, blocks_summed), (spans, spans_summed) = found.values()
+    assert (summed, blocks_summed, spans_summed) == (False, False, True)
+    assert len(tiles) == 40 * 39 // 2 and tiles.keys() == blocks.keys() == spans.keys()
+    for k, v in spans.items():
+        assert v == pytest.approx(tiles[k], abs=1e-9) and v == pytest.approx(blocks[k], abs=1e-9)
+
+
 def test_range_mean_adds_up_no_frame_twice(spark):
     """Dense rows, ties, gaps, missing values, and values that must leave no trace; frames that only grow, so the work does not follow the density."""
     rng = random.Random(5)
