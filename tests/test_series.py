@@ -273,6 +273,34 @@ def test_pairs_travel_as_tiles(spark, monkeypatch):
         assert v == pytest.approx(tiles[k], abs=1e-9) and v == pytest.approx(blocks[k], abs=1e-9)
 
 
+def test_matrices_are_shuffled_once(spark, monkeypatch):
+    """Values and matrices go through one exchange each, however many blocks meet; blocks with other times, and instants that several local times share."""
+    rng = random.Random(11)
+    data = [(f"s{k}", dt.datetime(2024, 3, 1) + dt.timedelta(days=t), rng.gauss(k, 1)) for k in range(40) for t in range(3 * k % 50, 3 * k % 50 + 30) if rng.random() < 0.7]
+    wide = pd.DataFrame(data, columns=["k", "t", "v"]).set_index(["t", "k"]).v.unstack()
+    want = {(a, b): wide[[a, b]].dropna().cov(ddof=0).loc[a, b] for a in wide for b in wide if a < b and len(wide[[a, b]].dropna())}
+    gap = dt.datetime(2024, 3, 31, 2, 30)  # not on the clock in Berlin: half past three
+    data += [(k, gap + dt.timedelta(hours=h), v) for k, h, v in (("gap", 0, 2.0), ("gap", 1, 1.0), ("noon", 1, 4.0), ("gap", 24, 5.0), ("noon", 24, 5.0))] + [(k, gap, v) for k, v in (("gap", 1.0), ("noon", 3.0))]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    monkeypatch.setattr(pairs, "SERIES", 4)
+
+    def written(p):
+        """Records that the exchanges of a plan have written, each exchange once."""
+        name = p.getClass().getSimpleName()
+        own = p.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        below = [p.executedPlan()] if name == "AdaptiveSparkPlanExec" else [p.plan()] if name.endswith("QueryStageExec") else [p.children().apply(k) for k in range(p.children().size())]
+        return own + sum(map(written, below))
+
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        out = pair_stats(spark.createDataFrame(data, "k string, t timestamp_ntz, v double"), "k", "t", "v")
+        got = {(r.a, r.b): (r.n, r.covariance) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got.pop(("gap", "noon")) == (2, 0.75) and got.keys() == want.keys() and all(got[k][1] == pytest.approx(v, abs=1e-9) for k, v in want.items())
+    assert written(out._jdf.queryExecution().executedPlan()) < len(data) + 30
+
+
 def test_range_mean_adds_up_no_frame_twice(spark):
     """Dense rows, ties, gaps, missing values, and values that must leave no trace; frames that only grow, so the work does not follow the density."""
     rng = random.Random(5)
